@@ -25,6 +25,16 @@ from paramo.operators import wide as W  # noqa: E402
 from paramo.operators.clean import clean_normals  # noqa: E402
 from paramo.sources.normals import normals_from_tpch  # noqa: E402
 from paramo.sources.star import star_from_tpch  # noqa: E402
+from paramo.plans import analysis as A  # noqa: E402
+from paramo.operators import pairwise as P  # noqa: E402
+from paramo.operators import clustering as K  # noqa: E402
+from paramo.operators import anomaly as N  # noqa: E402
+from paramo.operators import supervised as S  # noqa: E402
+from paramo.operators import profiles as H  # noqa: E402
+from paramo.operators import features as FE  # noqa: E402
+from paramo.operators.clean import resolve_features  # noqa: E402
+from paramo.sources.normals import KEY  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -56,6 +66,143 @@ def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_normals(normals_from_tpch(spark, sf_dir))
 
 
+def _scaled(spark, sf_dir, feats=None):
+    return A.scaled_table(wide_table(spark, sf_dir), feats)
+
+
+def _q_f3(spark, sf_dir):
+    s = _scaled(spark, sf_dir)
+    return A.rounded(s.drop("x"), osql.FEATURES)
+
+
+def _q_k7(spark, sf_dir):
+    return A.rounded(P.knn_distance(_scaled(spark, sf_dir)), ["k_dist"])
+
+
+def _q_k8(spark, sf_dir):
+    return A.rounded(P.auto_eps(_scaled(spark, sf_dir)), ["eps"])
+
+
+def _q_k9(feats=None):
+    def q(spark, sf_dir):
+        s = _scaled(spark, sf_dir, feats).persist()
+        eps, ms = A.eps_params(s)
+        return P.dbscan(s, eps, ms)
+    return q
+
+
+def _q_k6(spark, sf_dir):
+    s = A.fixed_label(_scaled(spark, sf_dir))
+    return A.rounded(P.silhouette_euclid(s, "lab"), ["silhouette"])
+
+
+def _q_k5(spark, sf_dir):
+    return K.silhouette_sq(A.fixed_label(_scaled(spark, sf_dir)), "lab")
+
+
+def _q_k4(spark, sf_dir):
+    return K.cluster_stats(A.fixed_label(wide_table(spark, sf_dir)), "lab")
+
+
+def _q_n2(spark, sf_dir):
+    return A.rounded(P.lof(_scaled(spark, sf_dir)), ["anomaly_score_lof"])
+
+
+def _q_n3(spark, sf_dir):
+    return N.anomaly_agreement(A.fixed_flags(wide_table(spark, sf_dir)))
+
+
+def _fixed_pred(spark, sf_dir):
+    w = wide_table(spark, sf_dir)
+    return w.select(KEY, (F.col(KEY) % 3).cast("int").alias("y"),
+                    (F.floor("ANUAL").cast("long") % 3).cast("int").alias("yhat"))
+
+
+def _q_r4(spark, sf_dir):
+    return A.rounded(S.accuracy(_fixed_pred(spark, sf_dir)), ["accuracy"])
+
+
+def _q_r5(spark, sf_dir):
+    return A.rounded(S.macro_f1(_fixed_pred(spark, sf_dir)), ["f1_macro"])
+
+
+def _q_r2(spark, sf_dir):
+    folds = S.stratified_folds(A.fixed_label(wide_table(spark, sf_dir)), "lab", 3)
+    return folds.groupBy("lab", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _q_h1(spark, sf_dir):
+    w = A.fixed_label(wide_table(spark, sf_dir)).withColumn("is_anomaly_if", F.col(KEY) % 20 == 0)
+    return H.cluster_profiles(w, "lab", osql.FEATURES).withColumnRenamed("lab", "cluster")
+
+
+def _q_v5(spark, sf_dir):
+    w = wide_table(spark, sf_dir)
+    sc = w.select(KEY, (F.col("ANUAL") / 1000.0 - (F.col(KEY) % 7)).alias("s"), (F.col(KEY) % 20 == 0).alias("flag"))
+    return A.rounded(H.score_histogram(sc, "s", "flag"), ["desde", "hasta", "umbral"])
+
+
+def _q_v7(spark, sf_dir):
+    b = H.boxplot_data(A.fixed_label(wide_table(spark, sf_dir)), "lab")
+    return A.rounded(b, ["q1", "mediana", "q3", "bigote_inf", "bigote_sup"])
+
+
+# Learned-model operators: rows-only checks (no SQL oracle), property tests in tests/.
+
+def _vec(spark, sf_dir):
+    w = wide_table(spark, sf_dir)
+    feats = resolve_features(w)
+    return w, feats, FE.standardize_sample(w, feats).select(KEY, "features", *feats).persist()
+
+
+def _q_k1(spark, sf_dir):
+    _, _, v = _vec(spark, sf_dir)
+    return K.kmeans_sweep(v)[0]
+
+
+def _q_k3(spark, sf_dir):
+    _, _, v = _vec(spark, sf_dir)
+    sweep, models = K.kmeans_sweep(v)
+    return K.kmeans_assign(models[int(K.best_k(sweep).first()["k"])], v)
+
+
+def _q_f4(spark, sf_dir):
+    _, feats, v = _vec(spark, sf_dir)
+    return FE.pca_variance(v, feats)
+
+
+def _q_f5(spark, sf_dir):
+    s = _scaled(spark, sf_dir)
+    return FE.pca_project(s, osql.FEATURES)
+
+
+def _q_f6(spark, sf_dir):
+    return FE.pca_loadings(_scaled(spark, sf_dir), osql.FEATURES)
+
+
+def _q_k11(spark, sf_dir):
+    return K.ward(_scaled(spark, sf_dir), osql.FEATURES, 2)[0]
+
+
+def _q_k12(spark, sf_dir):
+    return K.ward(_scaled(spark, sf_dir), osql.FEATURES, 2)[1]
+
+
+def _q_n1(spark, sf_dir):
+    return N.isolation_forest(_scaled(spark, sf_dir), osql.FEATURES)
+
+
+def _q_r1(spark, sf_dir):
+    s = A.fixed_label(_scaled(spark, sf_dir))
+    return S.train_rf(s, osql.FEATURES, "lab", anomaly=None)[1]
+
+
+def _q_r6(spark, sf_dir):
+    s = A.fixed_label(_scaled(spark, sf_dir))
+    model, _ = S.train_rf(s, osql.FEATURES, "lab", anomaly=None)
+    return S.feature_importance(model, osql.FEATURES, spark)
+
+
 def _wide_query(fn, **kw):
     return lambda spark, sf_dir: fn(wide_table(spark, sf_dir), **kw)
 
@@ -88,6 +235,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "e8_top_correlations": _wide_query(W.top_correlations),
         "e9_iqr_outliers": _wide_query(W.iqr_outliers),
         "e9_iqr_outlier_total": _wide_query(W.iqr_outlier_total),
+        "f3_standardize_population": _q_f3,
+        "k7_knn_distance": _q_k7,
+        "k8_auto_eps": _q_k8,
+        "k9_dbscan": _q_k9(),
+        "k9_dbscan_anual_altitud": _q_k9(["ANUAL", "ALTITUD_m"]),
+        "k6_silhouette_euclid_fixed": _q_k6,
+        "k5_silhouette_sq_fixed": _q_k5,
+        "k4_cluster_stats_fixed": _q_k4,
+        "n2_lof": _q_n2,
+        "n3_anomaly_agreement_fixed": _q_n3,
+        "r4_accuracy_fixed": _q_r4,
+        "r5_macro_f1_fixed": _q_r5,
+        "r2_stratified_fold_sizes": _q_r2,
+        "h1_cluster_profiles_fixed": _q_h1,
+        "v5_score_histogram_fixed": _q_v5,
+        "v7_boxplot_fixed": _q_v7,
+        "k1_kmeans_sweep": _q_k1,
+        "k3_kmeans_assign": _q_k3,
+        "f4_pca_variance": _q_f4,
+        "f5_pca_project": _q_f5,
+        "f6_pca_loadings": _q_f6,
+        "k11_ward_labels": _q_k11,
+        "k12_ward_merges": _q_k12,
+        "n1_isolation_forest": _q_n1,
+        "r1_random_forest_predictions": _q_r1,
+        "r6_feature_importance": _q_r6,
     })
     return q
 
@@ -119,5 +292,21 @@ def oracle_sql() -> dict[str, str]:
         "e8_top_correlations": osql.E8,
         "e9_iqr_outliers": osql.E9,
         "e9_iqr_outlier_total": osql.E9_TOTAL,
+        "f3_standardize_population": osql.F3,
+        "k7_knn_distance": osql.K7,
+        "k8_auto_eps": osql.K8,
+        "k9_dbscan": osql.K9,
+        "k9_dbscan_anual_altitud": osql.K9_2F,
+        "k6_silhouette_euclid_fixed": osql.K6,
+        "k5_silhouette_sq_fixed": osql.K5,
+        "k4_cluster_stats_fixed": osql.K4,
+        "n2_lof": osql.N2,
+        "n3_anomaly_agreement_fixed": osql.N3,
+        "r4_accuracy_fixed": osql.R4,
+        "r5_macro_f1_fixed": osql.R5,
+        "r2_stratified_fold_sizes": osql.r2_fold_sizes(3),
+        "h1_cluster_profiles_fixed": osql.H1,
+        "v5_score_histogram_fixed": osql.V5,
+        "v7_boxplot_fixed": osql.V7,
     })
     return o
