@@ -102,10 +102,22 @@ def clean_normals(df: DataFrame, materialize: bool = True) -> DataFrame:
     the chain) and later plans start from a parquet leaf instead of carrying
     the cleaning filters through the optimizer.
     """
-    out = clean_columns(df)
-    out = filter_min_support(out)
-    out = coerce_numeric(out)
-    out = drop_incomplete(out)
+    out = coerce_numeric(clean_columns(df))
+    feats = resolve_features(out)
+    core = _all_valid([c for c in CORE if c in out.columns])
+    complete = core & _all_valid(feats)
+    has_param = "PARAMETRO" in out.columns
+    match = (F.coalesce(F.lower(F.col("PARAMETRO")).contains("precip"), F.lit(False))
+             if has_param else F.lit(True))
+    # Both keep-all decisions (B2: >= 100 matches, B5: >= 50 complete rows)
+    # from one aggregate pass; only three numbers reach the driver.
+    n = out.agg(F.count_if(match).alias("m"), F.count_if(match & complete).alias("mc"),
+                F.count_if(complete).alias("c")).first()
+    use_match = has_param and n["m"] >= 100
+    n_complete = n["mc"] if use_match else n["c"]
+    if use_match:
+        out = out.where(match)
+    out = out.where(complete if n_complete >= 50 else core)
     out = with_row_key(out)
     if materialize:
         from paramo.plans.materialize import materialize as _write

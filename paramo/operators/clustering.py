@@ -163,7 +163,7 @@ def cut_tree(z: np.ndarray, m: int, k: int) -> np.ndarray:
 
 
 def micro_clusters(points: DataFrame, features: Sequence[str], m: int, key: str = KEY,
-                   seed: int = 42) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+                   seed: int = 42) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray]:
     """Assign rows to at most ``m`` micro-clusters: ``(key, micro)`` plus the
     counts and centroids (m x d).  With m >= rows every row is its own one."""
     feats = list(features)
@@ -174,7 +174,9 @@ def micro_clusters(points: DataFrame, features: Sequence[str], m: int, key: str
     else:
         from pyspark.ml.feature import VectorAssembler
         vec = VectorAssembler(inputCols=feats, outputCol="_v").transform(points)
-        model = KMeans(featuresCol="_v", predictionCol="micro", k=m, seed=seed, maxIter=50).fit(vec)
+        # a compression step: random init and few iterations are enough
+        model = KMeans(featuresCol="_v", predictionCol="micro", k=m, seed=seed, maxIter=10,
+                       initMode="random").fit(vec)
         assign = model.transform(vec).select(key, F.col("micro").cast("long"))
     stats = (points.join(assign, key).groupBy("micro")
              .agg(F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f) for f in feats])

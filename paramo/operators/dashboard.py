@@ -51,11 +51,20 @@ def readings(star: Star, parametros: Iterable[str], exclude_meses: Iterable[str]
     pids = star.ids("dim_parametro", include=parametros)
     tids = star.ids("dim_tiempo", exclude=exclude_meses) if exclude_meses else None
     fact = star.fact(param_ids=pids, tiempo_ids=tids)
-    params = (star.dim("dim_parametro")
-              .where(F.col("parametro").isin(parametros))
-              .select("id_parametro", "parametro", "unidad_medida"))
-    # Constant-size dimension (one row per parameter): broadcast is bounded.
-    out = fact.join(F.broadcast(params), "id_parametro")
+    rows = star.constants.get("dim_parametro")
+    if pids is not None and rows is not None:
+        # Constant dimension, keys already pruned: its attributes are a
+        # literal lookup on the key, no join at all.
+        name = F.create_map(*[x for pid, n, _ in rows for x in (F.lit(pid), F.lit(n))])
+        unit = F.create_map(*[x for pid, _, u in rows for x in (F.lit(pid), F.lit(u))])
+        out = fact.withColumns({"parametro": name[F.col("id_parametro")],
+                                "unidad_medida": unit[F.col("id_parametro")]})
+    else:
+        params = (star.dim("dim_parametro")
+                  .where(F.col("parametro").isin(parametros))
+                  .select("id_parametro", "parametro", "unidad_medida"))
+        # One row per parameter: the broadcast is bounded by the dimension.
+        out = fact.join(F.broadcast(params), "id_parametro")
     if exclude_meses:
         months = (star.dim("dim_tiempo")
                   .where(~F.col("nombre_mes").isin(exclude_meses)).select("id_tiempo"))

@@ -69,6 +69,7 @@ class Star:
     fact_source: Callable[[frozenset | None, frozenset | None], DataFrame]
     dims: dict[str, DataFrame]
     catalogs: dict[str, dict[str, int]] = field(default_factory=dict)
+    constants: dict[str, tuple] = field(default_factory=dict)
 
     def fact(self, param_ids: Iterable[int] | None = None,
              tiempo_ids: Iterable[int] | None = None) -> DataFrame:
@@ -100,12 +101,27 @@ class Star:
             df.createOrReplaceTempView(name)
 
 
+def _sql_literal(v, sql_type: str) -> str:
+    if v is None:
+        return f"CAST(NULL AS {sql_type})"
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return f"CAST({v} AS {sql_type})"
+
+
+def values_frame(spark: SparkSession, rows, schema: list[tuple[str, str]]) -> DataFrame:
+    """A constant table as an inline ``VALUES`` relation (a local relation
+    with exact size statistics, so the optimizer broadcasts it by itself)."""
+    body = ", ".join("(" + ", ".join(_sql_literal(v, t) for v, (_, t) in zip(r, schema)) + ")" for r in rows)
+    cols = ", ".join(n for n, _ in schema)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({cols})")
+
+
 def _constant_dims(spark: SparkSession) -> dict[str, DataFrame]:
-    tiempo = spark.createDataFrame(
-        list(MESES), "id_tiempo INT, nombre_mes STRING, num_mes INT")
-    periodo = spark.createDataFrame(list(PERIODOS), "id_periodo INT, periodo STRING")
-    parametro = spark.createDataFrame(
-        list(PARAMETROS), "id_parametro INT, parametro STRING, unidad_medida STRING")
+    tiempo = values_frame(spark, MESES, [("id_tiempo", "INT"), ("nombre_mes", "STRING"), ("num_mes", "INT")])
+    periodo = values_frame(spark, PERIODOS, [("id_periodo", "INT"), ("periodo", "STRING")])
+    parametro = values_frame(spark, PARAMETROS, [("id_parametro", "INT"), ("parametro", "STRING"),
+                                                 ("unidad_medida", "STRING")])
     return {"dim_tiempo": tiempo, "dim_periodo": periodo, "dim_parametro": parametro}
 
 
@@ -197,7 +213,8 @@ def star_from_tpch(spark: SparkSession, sf_dir: str) -> Star:
         "dim_tiempo": {name: tid for tid, name, _ in MESES},
         "dim_periodo": {name: pid for pid, name in PERIODOS},
     }
-    return Star(fact_source=fact_source, dims=dims, catalogs=catalogs)
+    constants = {"dim_parametro": PARAMETROS, "dim_tiempo": MESES, "dim_periodo": PERIODOS}
+    return Star(fact_source=fact_source, dims=dims, catalogs=catalogs, constants=constants)
 
 
 def read_star(spark: SparkSession, path: str, fmt: str = "parquet") -> Star:
