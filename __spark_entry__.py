@@ -197,6 +197,71 @@ def _q_r1(spark, sf_dir):
     return S.train_rf(s, osql.FEATURES, "lab", anomaly=None)[1]
 
 
+def _q_k2(spark, sf_dir):
+    _, _, v = _vec(spark, sf_dir)
+    return K.best_k(K.kmeans_sweep(v)[0])
+
+
+def _dbscan_parts(spark, sf_dir, feats=None):
+    s = _scaled(spark, sf_dir, feats).persist()
+    eps, ms = A.eps_params(s)
+    return s, P.dbscan(s, eps, ms), eps, ms
+
+
+def _q_k10(spark, sf_dir):
+    s, db, eps, ms = _dbscan_parts(spark, sf_dir, ["ANUAL", "ALTITUD_m"])
+    sil = P.silhouette_euclid(s.join(db, KEY), "cluster_dbscan", exclude_noise=True)
+    return P.dbscan_summary(db, eps, ms, sil)
+
+
+def _q_k10_counts(spark, sf_dir):
+    return P.dbscan_counts(_dbscan_parts(spark, sf_dir, ["ANUAL", "ALTITUD_m"])[1])
+
+
+def _q_k13(spark, sf_dir):
+    s = _scaled(spark, sf_dir)
+    labels, _ = K.ward(s, osql.FEATURES, 2)
+    sil = P.silhouette_euclid(s.join(labels, KEY), "cluster_jerarquico")
+    return K.ward_summary(labels, 2, sil, s.count())
+
+
+def _q_v4(spark, sf_dir):
+    return H.dendrogram_data(K.ward(_scaled(spark, sf_dir), osql.FEATURES, 2)[1], 2)[0]
+
+
+def _q_v1(spark, sf_dir):
+    _, _, v = _vec(spark, sf_dir)
+    sweep = K.kmeans_sweep(v)[0].persist()
+    return H.elbow_data(sweep, int(K.best_k(sweep).first()["k"]))
+
+
+def _q_v2(spark, sf_dir):
+    _, feats, v = _vec(spark, sf_dir)
+    return H.scree_data(FE.pca_variance(v, feats))
+
+
+def _q_v3(spark, sf_dir):
+    s = _scaled(spark, sf_dir)
+    return H.scatter_data(FE.pca_project(s, osql.FEATURES), A.fixed_label(s.select(KEY)), "lab")
+
+
+def _q_r3(spark, sf_dir):
+    s = A.fixed_label(_scaled(spark, sf_dir))
+    return S.cross_validate(s, osql.FEATURES, "lab", n_trees=20)
+
+
+def _q_v6(spark, sf_dir):
+    return H.importance_top(_q_r6(spark, sf_dir))
+
+
+def _q_k14(spark, sf_dir):
+    s = _scaled(spark, sf_dir)
+    lab = A.fixed_label(s)
+    sq = K.silhouette_sq(lab, "lab").first()["silhouette"]
+    eu = P.silhouette_euclid(lab, "lab").first()["silhouette"]
+    return K.compare_clusterings(spark, [("Etiqueta fija", "Referencia", float(sq), float(eu), 3, "id_fila % 3")])
+
+
 def _q_r6(spark, sf_dir):
     s = A.fixed_label(_scaled(spark, sf_dir))
     model, _ = S.train_rf(s, osql.FEATURES, "lab", anomaly=None)
@@ -261,6 +326,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "n1_isolation_forest": _q_n1,
         "r1_random_forest_predictions": _q_r1,
         "r6_feature_importance": _q_r6,
+        "k2_best_k": _q_k2,
+        "k10_dbscan_summary": _q_k10,
+        "k10_dbscan_counts": _q_k10_counts,
+        "k13_ward_summary": _q_k13,
+        "k14_compare_clusterings": _q_k14,
+        "r3_cross_validate": _q_r3,
+        "v1_elbow": _q_v1,
+        "v2_scree": _q_v2,
+        "v3_scatter": _q_v3,
+        "v4_dendrogram": _q_v4,
+        "v6_importance_top": _q_v6,
     })
     return q
 
