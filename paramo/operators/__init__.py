@@ -1,0 +1 @@
+"""Operators: plain ``DataFrame -> DataFrame`` functions, grouped by stage."""

@@ -1,0 +1 @@
+"""Whole plans built from the operators, and lineage-cut helpers."""

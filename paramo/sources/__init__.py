@@ -1,0 +1 @@
+"""Sources (star schema, wide normals table) and sinks (labels, bundles)."""

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference application has no stream sources, watermarks, windows or
+stateful operators (its data are a star schema in a database and a
+workbook), so there is nothing to re-express with Structured Streaming.
+All operators here are batch DataFrame functions.
+"""
