@@ -102,7 +102,11 @@ def clean_normals(df: DataFrame, materialize: bool = True) -> DataFrame:
     the chain) and later plans start from a parquet leaf instead of carrying
     the cleaning filters through the optimizer.
     """
+    from paramo.plans.materialize import materialize as _write
     out = coerce_numeric(clean_columns(df))
+    if materialize:
+        # the expensive upstream (e.g. an aggregate over readings) runs once
+        out = _write(out, "normals_raw")
     feats = resolve_features(out)
     core = _all_valid([c for c in CORE if c in out.columns])
     complete = core & _all_valid(feats)
@@ -120,6 +124,5 @@ def clean_normals(df: DataFrame, materialize: bool = True) -> DataFrame:
     out = out.where(complete if n_complete >= 50 else core)
     out = with_row_key(out)
     if materialize:
-        from paramo.plans.materialize import materialize as _write
         out = _write(out, "normals")
     return out
