@@ -43,9 +43,12 @@ def global_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     parts = _partitions(df, num_partitions)
-    keys = group_cols + order_cols
+    # a unique tiebreaker in the range key: many equal values (a hot value)
+    # are split over partitions instead of landing in one
+    keys = group_cols + order_cols + ["_tb"]
     s = (
-        df.repartitionByRange(parts, *keys)
+        df.withColumn("_tb", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id()
@@ -62,7 +65,7 @@ def global_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     return (
         s.join(stats, ["_pid", *group_cols])
         .withColumn(rank_col, F.col("_off") + F.col("_pos") - F.col("_first"))
-        .drop("_pid", "_pos", "_first", "_off")
+        .drop("_pid", "_pos", "_first", "_off", "_tb")
     )
 
 

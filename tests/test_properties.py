@@ -136,6 +136,13 @@ def test_global_rank_and_quantiles(spark):
         assert val == pytest.approx(np.percentile(v[g == gg], qq * 100), abs=1e-12)
 
 
+def test_rank_splits_a_hot_value(spark):
+    df = spark.range(4000).selectExpr("CAST(0 AS INT) AS g", "CAST(id % 3 = 0 AS DOUBLE) AS v")
+    r = global_rank(df, ["g"], ["v"], num_partitions=8).toPandas()
+    assert sorted(r["rank"]) == list(range(4000))
+    assert (r.sort_values("rank")["v"].diff().dropna() >= 0).all()
+
+
 def test_kmeans_nearest_centre(spark):
     rng = np.random.default_rng(5)
     x = np.r_[rng.normal(0, 0.2, (40, 2)), rng.normal(4, 0.2, (40, 2))]
