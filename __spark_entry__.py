@@ -225,6 +225,10 @@ def _q_k13(spark, sf_dir):
     return K.ward_summary(labels, 2, sil, s.count())
 
 
+def _q_k12_sample(spark, sf_dir):
+    return K.ward_sample_linkage(_scaled(spark, sf_dir), osql.FEATURES)
+
+
 def _q_v4(spark, sf_dir):
     return H.dendrogram_data(K.ward(_scaled(spark, sf_dir), osql.FEATURES, 2)[1], 2)[0]
 
@@ -329,6 +333,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "k2_best_k": _q_k2,
         "k10_dbscan_summary": _q_k10,
         "k10_dbscan_counts": _q_k10_counts,
+        "k12_ward_sample_merges": _q_k12_sample,
         "k13_ward_summary": _q_k13,
         "k14_compare_clusterings": _q_k14,
         "r3_cross_validate": _q_r3,

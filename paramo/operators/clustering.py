@@ -203,6 +203,16 @@ def ward(points: DataFrame, features: Sequence[str], k: int, m: int = 2000, key:
     return labels, merges
 
 
+def ward_sample_linkage(points: DataFrame, features: Sequence[str], n_sample: int = 300,
+                        seed: int = 42, key: str = KEY) -> DataFrame:
+    """K12 option: exact Ward merge table of a seeded sample of ``n_sample``
+    rows (the reference's dendrogram input).  The sample is the rows with the
+    smallest ``xxhash64(key, seed)`` — a distributed top-k, independent of
+    partitioning; the sample size is the feature here, not a cap."""
+    sample = points.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n_sample)
+    return ward(sample, features, 2, m=n_sample, key=key, seed=seed)[1]
+
+
 def ward_summary(labels: DataFrame, k: int, silhouette: DataFrame, n_linked: int) -> DataFrame:
     """K, linkage, silhouette (round 4) and the number of linked units."""
     return silhouette.select(F.lit(int(k)).alias("n_clusters"), F.lit("ward").alias("linkage"),

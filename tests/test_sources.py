@@ -23,3 +23,31 @@ def test_write_read_star_round_trip(spark):
     assert a == b
     plan = D.precip_by_month_period(stored)._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruningexpression" in plan.lower()
+
+
+def test_read_normals_csv_round_trip(spark):
+    """A2: a wide table written as CSV with raw headers reads back and cleans
+    to the same rows as the derived one."""
+    import os
+
+    from paramo.operators.clean import clean_normals
+    from paramo.sources.normals import normals_from_tpch, read_normals
+
+    raw = normals_from_tpch(spark, SF_SMALL)
+    path = os.path.join(tempfile.mkdtemp(prefix="paramo-csv-"), "normals")
+    raw.toDF(*[(" ALTITUD (m) " if c == "ALTITUD_m" else c) for c in raw.columns]) \
+        .write.option("header", True).csv(path)
+    back = clean_normals(read_normals(spark, path, "csv"))
+    want = clean_normals(raw)
+    assert "ALTITUD_m" in back.columns
+    assert back.count() == want.count()
+    assert sorted(r[0] for r in back.select("id_fila").collect()) == \
+        sorted(r[0] for r in want.select("id_fila").collect())
+
+
+def test_ward_sample_linkage(spark):
+    from paramo.operators.clustering import ward_sample_linkage
+    from paramo.plans.analysis import scaled_table, wide_table
+
+    z = ward_sample_linkage(scaled_table(wide_table(spark, SF_SMALL)), ["ANUAL", "ALTITUD_m"], n_sample=40)
+    assert z.count() == 39
