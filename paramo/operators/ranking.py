@@ -79,7 +79,10 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     group_cols = list(group_cols)
     v = F.col(value_col)
     valid = df.select(*group_cols, v.cast("double").alias("_v")).where(v.isNotNull() & ~F.isnan(v))
-    counts = valid.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_cnt"))
+    # rank first: the ranked table is written once, so the group sizes below
+    # come from it instead of re-running the input plan
+    ranked = global_rank(valid, group_cols, ["_v"], num_partitions=num_partitions)
+    counts = ranked.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_cnt"))
     pos = F.col("q") * (F.col("_cnt") - 1)
     targets = (
         counts.withColumn("q", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
@@ -88,7 +91,6 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
         .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_cnt") - 1))
     )
     needed = targets.select(*group_cols, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("rank"))
-    ranked = global_rank(valid, group_cols, ["_v"], num_partitions=num_partitions)
     picked = ranked.join(needed.distinct(), [*group_cols, "rank"])
     lo = picked.withColumnRenamed("rank", "_lo").withColumnRenamed("_v", "_vlo")
     hi = picked.withColumnRenamed("rank", "_hi").withColumnRenamed("_v", "_vhi")
