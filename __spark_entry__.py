@@ -167,8 +167,8 @@ def _q_k3(spark, sf_dir):
 
 
 def _q_f4(spark, sf_dir):
-    _, feats, v = _vec(spark, sf_dir)
-    return FE.pca_variance(v, feats)
+    # ratios are the same for sample- or population-standardised columns
+    return FE.pca_variance(_scaled(spark, sf_dir), osql.FEATURES)
 
 
 def _q_f5(spark, sf_dir):
@@ -240,8 +240,7 @@ def _q_v1(spark, sf_dir):
 
 
 def _q_v2(spark, sf_dir):
-    _, feats, v = _vec(spark, sf_dir)
-    return H.scree_data(FE.pca_variance(v, feats))
+    return H.scree_data(FE.pca_variance(_scaled(spark, sf_dir), osql.FEATURES))
 
 
 def _q_v3(spark, sf_dir):

@@ -88,7 +88,9 @@ class PcaModel:
 
 
 def fit_pca(scaled: DataFrame, features: Sequence[str], k: int | None = None) -> PcaModel:
-    """Spark ML PCA (distributed Gramian) on already-scaled feature columns."""
+    """Spark ML PCA (distributed Gramian) on already-scaled feature columns
+    (the output of :func:`standardize_population`; raw columns would weight
+    features by their units)."""
     feats = list(features)
     k = k or min(len(feats), 8)
     vec = VectorAssembler(inputCols=feats, outputCol="_v", handleInvalid="skip").transform(scaled)

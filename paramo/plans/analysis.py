@@ -74,7 +74,7 @@ def run_analysis(wide: DataFrame, k_min: int = 2, k_max: int = 8, seed: int = 42
     out["kmeans_cluster_stats"] = K.cluster_stats(wide.join(km, KEY), "cluster_kmeans")
 
     scaled = FE.standardize_population(wide, feats, keep=(KEY,)).persist()
-    out["pca_varianza"] = FE.pca_variance(vec, feats)
+    out["pca_varianza"] = FE.pca_variance(scaled, feats)
     pcs = FE.pca_project(scaled, feats)
     out["pca_loadings"] = FE.pca_loadings(scaled, feats)
 

@@ -187,3 +187,16 @@ def test_silhouettes_single_cluster(spark):
     x = np.random.default_rng(9).normal(0, 1, (30, 2))
     df = _frame(spark, x, {"lab": np.zeros(30, int)})
     assert P.silhouette_euclid(df, "lab").first()["silhouette"] == 0.0
+
+
+def test_pca_variance_uses_scaled_columns(spark):
+    """Ratios must not depend on feature units: rescaling a raw column changes
+    nothing once the columns are standardised."""
+    rng = np.random.default_rng(10)
+    x = rng.normal(0, 1, (200, 3)) @ rng.normal(0, 1, (3, 3))
+    y = x.copy()
+    y[:, 0] *= 1000.0
+    feats = ["f0", "f1", "f2"]
+    a = FE.pca_variance(FE.standardize_population(_frame(spark, x), feats), feats).toPandas()
+    b = FE.pca_variance(FE.standardize_population(_frame(spark, y), feats), feats).toPandas()
+    np.testing.assert_allclose(a["varianza_explicada"], b["varianza_explicada"], atol=1e-4)
