@@ -97,3 +97,22 @@ def test_rank_ties_are_broken(spark):
     a = D.rainiest_peak_months(star).collect()
     b = D.rainiest_peak_months(star).collect()
     assert a == b and len(a) == 6
+
+
+def test_dashboard_bundle(spark):
+    """The eight dashboard results by name, all runnable."""
+    bundle = D.dashboard_bundle(star_from_tpch(spark, SF_SMALL))
+    assert sorted(bundle) == sorted(["precip_por_mes_periodo", "amplitud_termica", "indice_combinado",
+                                     "tendencia_periodos", "meses_lluviosos", "departamentos",
+                                     "parametros", "periodos"])
+    n_stations = spark.read.parquet(f"{SF_SMALL}/supplier.parquet").count()
+    assert bundle["amplitud_termica"].count() == min(15, n_stations)
+    assert bundle["parametros"].count() == 5
+
+
+def test_row_key_without_business_key(spark):
+    """Without a key column, a content hash independent of partitioning."""
+    df = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (3.0, "c")], "ANUAL DOUBLE, ESTACION STRING")
+    a = {r.ESTACION: r.id_fila for r in C.with_row_key(df).collect()}
+    b = {r.ESTACION: r.id_fila for r in C.with_row_key(df.repartition(3)).collect()}
+    assert a == b and len(set(a.values())) == 3
