@@ -36,6 +36,14 @@ from paramo.operators.clean import resolve_features  # noqa: E402
 from paramo.sources.normals import KEY  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from paramo.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:  # only the corpus operators themselves may be absent
+    if missing.name not in ("corpus_pipeline", "paramo.llm", "paramo.llm.queries"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Registered filter-query parameter sets.
@@ -342,6 +350,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "v4_dendrogram": _q_v4,
         "v6_importance_top": _q_v6,
     })
+    if llm_queries is not None:
+        q.update(llm_queries.QUERIES)
+        q["pipeline"] = corpus_pipeline.run
     return q
 
 
@@ -389,4 +400,8 @@ def oracle_sql() -> dict[str, str]:
         "v5_score_histogram_fixed": osql.V5,
         "v7_boxplot_fixed": osql.V7,
     })
+    if llm_queries is not None:
+        o.update(llm_queries.ORACLES)
+        if corpus_pipeline.ORACLE_SQL is not None:
+            o["pipeline"] = corpus_pipeline.ORACLE_SQL
     return o
