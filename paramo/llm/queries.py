@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paramo.llm import mixing, sharding
+from paramo.llm import chat, exact_dedup, mixing, sharding, urlfilter
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
@@ -18,20 +19,83 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+#: A conversation whose texts hold what templates use as control strings.
+EXTRA_CHAT = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests read back from the formatted conversations."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(EXTRA_CHAT, "conv_id long, turn long, role string, text string")
+    done = chat.format_chats(rows.unionByName(extra))
+    read = done.select("conv_id", "formatted", chat.parsed_turns(F.col("formatted")).alias("turns"),
+                       chat.masked_text(F.col("formatted"), F.col("loss")).alias("trained"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+                       F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, slot and shard of every document, over 64 shards and 6,421 slots."""
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARDS)
 
 
+#: (verdict, host, path)
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def labelled_urls(pages: DataFrame) -> DataFrame:
+    """``(url, label)`` of the pages that a rule judges (1: block): what the classifier learns from."""
+    host, path = urlfilter.host_of(F.col("url")), urlfilter.path_of(F.col("url"))
+    ruled = pages.select("url", urlfilter.matched_rule(host, path, URL_RULES)["verdict"].alias("verdict"))
+    return ruled.where("verdict IS NOT NULL").select("url", (F.col("verdict") == "block").cast("int").alias("label"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return urlfilter.judge(pages, urlfilter.fit(labelled_urls(pages)), URL_RULES)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op2_chat": op2_chat,
     "op6_sharding": op6_sharding,
+    "op8_url_filter": op8_url_filter,
     "op10_mixing": op10_mixing,
 }
 
+OP1 = r"""
+WITH rows AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+hashed AS (SELECT doc_id, n, sha256(norm) AS text_sha256 FROM rows)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER best = 1 AS kept, text_sha256
+FROM hashed WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
+"""
+
+OP2 = r"""
+WITH rows AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+told AS (
+  SELECT *, coalesce(role = lag(role) OVER (PARTITION BY conv_id ORDER BY turn), false) AS goes_on,
+         length(text) + length(regexp_replace(text, '[^\\<>]', '', 'g')) AS written FROM rows)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(written + CASE WHEN goes_on THEN 3 ELSE length(role) + 16 END)::BIGINT AS formatted_chars
+FROM told GROUP BY conv_id
+"""
+
 OP6 = """
 WITH RECURSIVE prefs AS (
   SELECT i, ('0x' || substr(md5(printf('offset:shard-%03d', i)), 1, 15))::BIGINT % 6421 AS off,
@@ -77,4 +141,4 @@ drawn AS (
 SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM drawn
 """
 
-ORACLES: dict[str, str] = {"op6_sharding": OP6, "op10_mixing": OP10}
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op2_chat": OP2, "op6_sharding": OP6, "op10_mixing": OP10}
