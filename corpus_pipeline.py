@@ -9,10 +9,27 @@ next, so a lost executor costs the current stage only.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paramo.llm import mixing, sharding
+from paramo.llm import decontam, langid, mixing, sharding, simhash
 from paramo.llm.common import store
-from paramo.llm.queries import SHARDS
+from paramo.llm.queries import RADIUS, SHARDS, SHINGLE
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID (3): documents go whose language the classifier rejects."""
+    return langid.keep_identified(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-dedup (4): the document with the smallest id of each group stays."""
+    return simhash.keep_one(docs, shingle=SHINGLE, radius=RADIUS)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination (9): spans of test items are cut out; documents that are mostly such spans go."""
+    clean = decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return clean.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,6 +43,9 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", decontaminate),
     ("mixing", mix_sources),
     ("sharding", shard),
 ]

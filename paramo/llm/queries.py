@@ -10,8 +10,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paramo.llm import chat, exact_dedup, mixing, sharding, urlfilter
+from paramo.llm import chat, decontam, exact_dedup, langid, mixing, sharding, simhash, tokenbin, urlfilter
+from paramo.llm.common import scratch_path
 
+#: SimHash: words in a shingle, and the most bits by which linked fingerprints differ.
+SHINGLE, RADIUS = 4, 4
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
 
@@ -40,6 +43,24 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_language(_table(spark, sf_dir, "documents"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=SHINGLE, radius=RADIUS)
+    return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the token shards and their index, and reads every document back by its key."""
+    import public_tokenizers
+
+    docs, folder = _table(spark, sf_dir, "documents"), scratch_path(spark, "tokens")
+    shards = tokenbin.write_tokens(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end=2)
+    return tokenbin.read_tokens(docs, folder, shards)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, slot and shard of every document, over 64 shards and 6,421 slots."""
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARDS)
@@ -61,6 +82,12 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(pages, urlfilter.fit(labelled_urls(pages)), URL_RULES)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(_table(spark, sf_dir, "documents"))
 
@@ -68,8 +95,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat": op2_chat,
+    "op3_language": op3_language,
+    "op4_simhash": op4_simhash,
+    "op5_token_shards": op5_token_shards,
     "op6_sharding": op6_sharding,
     "op8_url_filter": op8_url_filter,
+    "op9_decontamination": op9_decontamination,
     "op10_mixing": op10_mixing,
 }
 
@@ -141,4 +172,23 @@ drawn AS (
 SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM drawn
 """
 
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op2_chat": OP2, "op6_sharding": OP6, "op10_mixing": OP10}
+OP9 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT coalesce(item_id::VARCHAR, 'null') AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, list_slice(w, i, i + least(len(w), 10) - 1) AS win
+  FROM item_words, range(1, greatest(len(w) - 9, 1) + 1) t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS win FROM words, sizes, range(1, len(w) - n + 2) t(i) WHERE len(w) >= n),
+found AS (SELECT p.doc_id, p.i, p.n, x.item_id FROM places p JOIN windows x ON p.win = x.win),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words w LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op2_chat": OP2, "op6_sharding": OP6, "op9_decontamination": OP9, "op10_mixing": OP10}
