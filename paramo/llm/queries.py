@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paramo.llm import chat, decontam, exact_dedup, langid, mixing, sharding, simhash, tokenbin, urlfilter
+from paramo.llm import chat, decontam, exact_dedup, langid, mixing, pii, sharding, simhash, tokenbin, urlfilter
 from paramo.llm.common import scratch_path
 
 #: SimHash: words in a shingle, and the most bits by which linked fingerprints differ.
@@ -66,6 +66,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(_table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 #: (verdict, host, path)
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_token_shards": op5_token_shards,
     "op6_sharding": op6_sharding,
+    "op7_personal_data": op7_personal_data,
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_mixing": op10_mixing,
