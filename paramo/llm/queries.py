@@ -68,7 +68,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(_table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    counts = [F.size(F.expr(f"filter(base, s -> s.rank = {i})")).cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
 
 

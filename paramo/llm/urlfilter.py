@@ -55,12 +55,11 @@ def matched_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 
 def grams(host: Column, path: Column, sizes: Sequence[int] = GRAMS) -> Column:
     """Character n-grams of ``^host$`` and ``^path$``, marked by where they come from."""
-    def of(mark: str, s: Column) -> Column:
+    def of(mark: str, s: Column, n: int) -> Column:
         s = F.concat(F.lit("^"), s, F.lit("$"))
-        parts = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - n + 1, F.lit(1))), lambda i, n=n: F.concat(F.lit(mark), F.substr(s, i, F.lit(n)))) for n in sizes]
-        return F.concat(*parts)
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - n + 1, F.lit(1))), lambda i: F.concat(F.lit(mark), F.substr(s, i, F.lit(n))))
 
-    return F.concat(of("h", host), of("p", path))
+    return F.concat(*[of(mark, s, n) for mark, s in (("h", host), ("p", path)) for n in sizes])
 
 
 def fit(labelled: DataFrame, url: str = "url", label: str = "label", most: int = MOST, features: int = FEATURES):
