@@ -33,7 +33,11 @@ from paramo.operators import supervised as S  # noqa: E402
 from paramo.operators import profiles as H  # noqa: E402
 from paramo.operators import features as FE  # noqa: E402
 from paramo.operators.clean import resolve_features  # noqa: E402
+from paramo.plans.materialize import materialize as written  # noqa: E402
 from paramo.sources.normals import KEY  # noqa: E402
+from paramo.functions import round_half_up  # noqa: E402
+from paramo.operators.ranking import global_rank  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 try:
@@ -69,13 +73,13 @@ def _d10(case):
     return lambda spark, sf_dir: D.filter_query(star_from_tpch(spark, sf_dir), p, g, per)
 
 
-def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_table(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
     """The cleaned wide table (B1-B6) derived from the test tables."""
-    return clean_normals(normals_from_tpch(spark, sf_dir))
+    return clean_normals(normals_from_tpch(spark, sf_dir), materialize)
 
 
 def _scaled(spark, sf_dir, feats=None):
-    return A.scaled_table(wide_table(spark, sf_dir), feats)
+    return A.scaled_table(wide_table(spark, sf_dir, materialize=True), feats)
 
 
 def _q_f3(spark, sf_dir):
@@ -93,7 +97,7 @@ def _q_k8(spark, sf_dir):
 
 def _q_k9(feats=None):
     def q(spark, sf_dir):
-        s = _scaled(spark, sf_dir, feats).persist()
+        s = written(_scaled(spark, sf_dir, feats), "scaled")
         eps, ms = A.eps_params(s)
         return P.dbscan(s, eps, ms)
     return q
@@ -158,9 +162,9 @@ def _q_v7(spark, sf_dir):
 # Learned-model operators: rows-only checks (no SQL oracle), property tests in tests/.
 
 def _vec(spark, sf_dir):
-    w = wide_table(spark, sf_dir)
+    w = wide_table(spark, sf_dir, materialize=True)
     feats = resolve_features(w)
-    return w, feats, FE.standardize_sample(w, feats).select(KEY, "features", *feats).persist()
+    return w, feats, written(FE.standardize_sample(w, feats).select(KEY, "features", *feats), "features")
 
 
 def _q_k1(spark, sf_dir):
@@ -211,19 +215,19 @@ def _q_k2(spark, sf_dir):
 
 
 def _dbscan_parts(spark, sf_dir, feats=None):
-    s = _scaled(spark, sf_dir, feats).persist()
+    s = written(_scaled(spark, sf_dir, feats), "scaled")
     eps, ms = A.eps_params(s)
-    return s, P.dbscan(s, eps, ms), eps, ms
+    return s, written(P.dbscan(s, eps, ms), "dbscan"), eps, ms
 
 
 def _q_k10(spark, sf_dir):
-    s, db, eps, ms = _dbscan_parts(spark, sf_dir, ["ANUAL", "ALTITUD_m"])
+    s, db, eps, ms = _dbscan_parts(spark, sf_dir)
     sil = P.silhouette_euclid(s.join(db, KEY), "cluster_dbscan", exclude_noise=True)
     return P.dbscan_summary(db, eps, ms, sil)
 
 
 def _q_k10_counts(spark, sf_dir):
-    return P.dbscan_counts(_dbscan_parts(spark, sf_dir, ["ANUAL", "ALTITUD_m"])[1])
+    return P.dbscan_counts(_dbscan_parts(spark, sf_dir)[1])
 
 
 def _q_k13(spark, sf_dir):
@@ -233,17 +237,13 @@ def _q_k13(spark, sf_dir):
     return K.ward_summary(labels, 2, sil, s.count())
 
 
-def _q_k12_sample(spark, sf_dir):
-    return K.ward_sample_linkage(_scaled(spark, sf_dir), osql.FEATURES)
-
-
 def _q_v4(spark, sf_dir):
     return H.dendrogram_data(K.ward(_scaled(spark, sf_dir), osql.FEATURES, 2)[1], 2)[0]
 
 
 def _q_v1(spark, sf_dir):
     _, _, v = _vec(spark, sf_dir)
-    sweep = K.kmeans_sweep(v)[0].persist()
+    sweep = written(K.kmeans_sweep(v)[0], "sweep")
     return H.elbow_data(sweep, int(K.best_k(sweep).first()["k"]))
 
 
@@ -258,7 +258,7 @@ def _q_v3(spark, sf_dir):
 
 def _q_r3(spark, sf_dir):
     s = A.fixed_label(_scaled(spark, sf_dir))
-    return S.cross_validate(s, osql.FEATURES, "lab", n_trees=20)
+    return S.cross_validate(s, osql.FEATURES, "lab")
 
 
 def _q_v6(spark, sf_dir):
@@ -266,11 +266,67 @@ def _q_v6(spark, sf_dir):
 
 
 def _q_k14(spark, sf_dir):
-    s = _scaled(spark, sf_dir)
-    lab = A.fixed_label(s)
-    sq = K.silhouette_sq(lab, "lab").first()["silhouette"]
-    eu = P.silhouette_euclid(lab, "lab").first()["silhouette"]
-    return K.compare_clusterings(spark, [("Etiqueta fija", "Referencia", float(sq), float(eu), 3, "id_fila % 3")])
+    """The comparison of three methods, on fixed labels in their place."""
+    s = written(_scaled(spark, sf_dir), "scaled")
+    rows = []
+    for (name, kind, text), label, noise in ((A.KMEANS, F.col(KEY) % 3, False), (A.DBSCAN, F.col(KEY) % 4 - 1, True), (A.WARD, F.col(KEY) % 2, False)):
+        labels = s.select(KEY, label.cast("int").alias("lab"))
+        sq, eu = A.both_silhouettes(s, labels, "lab", exclude_noise=noise)
+        found = labels.where("lab <> -1").select("lab").distinct().count()
+        rows.append((name, kind, sq, eu, found, text.format(labels.where("lab = -1").count())))
+    return A.rounded(K.compare_clusterings(spark, rows), ["silhouette_euclid"])
+
+
+def _q_f2(spark, sf_dir):
+    w = wide_table(spark, sf_dir)
+    v = FE.standardize_sample(w, osql.FEATURES).select(KEY, vector_to_array("features").alias("v"))
+    return A.rounded(v.select(KEY, *[F.col("v")[i].alias(f) for i, f in enumerate(osql.FEATURES)]), osql.FEATURES)
+
+
+def _fixed_dbscan(spark, sf_dir):
+    return wide_table(spark, sf_dir).select(KEY, (F.col(KEY) % 4 - 1).cast("int").alias("cluster_dbscan"))
+
+
+def _q_k10_fixed(spark, sf_dir):
+    return P.dbscan_summary(_fixed_dbscan(spark, sf_dir), 0.5, 4, spark.range(1).select(F.lit(0.25).alias("silhouette")))
+
+
+def _q_k12_totals(spark, sf_dir):
+    merges = K.ward(_scaled(spark, sf_dir), osql.FEATURES, 2)[1]
+    return A.rounded(merges.agg(F.count(F.lit(1)).alias("merges"), (F.sum(F.col("height") ** 2) / 2).alias("half_squares")), ["half_squares"], 4)
+
+
+def _q_k13_fixed(spark, sf_dir):
+    s = A.fixed_label(written(_scaled(spark, sf_dir), "scaled"))
+    return K.ward_summary(s, 3, P.silhouette_euclid(s, "lab"), s.count())
+
+
+def _fixed_sweep(spark, sf_dir):
+    per_k = wide_table(spark, sf_dir).groupBy((F.col(KEY) % 7 + 2).cast("int").alias("k"))
+    return per_k.agg(round_half_up(F.avg("ANUAL") / 10000, 4).alias("silhouette"), round_half_up(F.sum("ANUAL"), 2).alias("inertia"))
+
+
+def _q_v1_fixed(spark, sf_dir):
+    sweep = written(_fixed_sweep(spark, sf_dir), "sweep")
+    return H.elbow_data(sweep, int(K.best_k(sweep).first()["k"]))
+
+
+def _q_v4_fixed(spark, sf_dir):
+    w = wide_table(spark, sf_dir).select(F.lit(0).alias("_g"), KEY, F.col("ANUAL").alias("height"))
+    merges = global_rank(w, ["_g"], [KEY], "at").select(
+        (F.col("at") + 1).cast("int").alias("step"), F.col(KEY).alias("left"), (F.col(KEY) + 1).alias("right"), "height", F.lit(2).cast("long").alias("size"))
+    last, cut = H.dendrogram_data(merges, 3)
+    return last.withColumn("umbral", F.lit(cut.first()["umbral"]))
+
+
+def _q_v6_fixed(spark, sf_dir):
+    w = wide_table(spark, sf_dir)
+    return H.importance_top(w.groupBy(F.col("DEPARTAMENTO").alias("feature")).agg(round_half_up(F.count(F.lit(1)) / F.lit(float(w.count())), 4).alias("importance")))
+
+
+def _q_r1_rows(spark, sf_dir):
+    w = wide_table(spark, sf_dir)
+    return S.training_rows(w.withColumn("is_anomaly_if", F.col(KEY) % 20 == 0)).select(KEY)
 
 
 def _q_r6(spark, sf_dir):
@@ -340,9 +396,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "k2_best_k": _q_k2,
         "k10_dbscan_summary": _q_k10,
         "k10_dbscan_counts": _q_k10_counts,
-        "k12_ward_sample_merges": _q_k12_sample,
         "k13_ward_summary": _q_k13,
-        "k14_compare_clusterings": _q_k14,
+        "f2_standardize_sample": _q_f2,
+        "k14_compare_clusterings_fixed": _q_k14,
+        "k13_ward_summary_fixed": _q_k13_fixed,
+        "k12_ward_totals": _q_k12_totals,
+        "k10_dbscan_summary_fixed": _q_k10_fixed,
+        "k10_dbscan_counts_fixed": lambda spark, sf_dir: P.dbscan_counts(_fixed_dbscan(spark, sf_dir)),
+        "k2_best_k_fixed": lambda spark, sf_dir: K.best_k(_fixed_sweep(spark, sf_dir)),
+        "v1_elbow_fixed": _q_v1_fixed,
+        "v4_dendrogram_fixed": _q_v4_fixed,
+        "v6_importance_top_fixed": _q_v6_fixed,
+        "r1_training_rows_fixed": _q_r1_rows,
         "r3_cross_validate": _q_r3,
         "v1_elbow": _q_v1,
         "v2_scree": _q_v2,
@@ -399,6 +464,17 @@ def oracle_sql() -> dict[str, str]:
         "h1_cluster_profiles_fixed": osql.H1,
         "v5_score_histogram_fixed": osql.V5,
         "v7_boxplot_fixed": osql.V7,
+        "f2_standardize_sample": osql.F2,
+        "k14_compare_clusterings_fixed": osql.K14_FIXED,
+        "k13_ward_summary_fixed": osql.K13_FIXED,
+        "k12_ward_totals": osql.K12_TOTALS,
+        "k10_dbscan_summary_fixed": osql.K10_FIXED,
+        "k10_dbscan_counts_fixed": osql.K10_COUNTS_FIXED,
+        "k2_best_k_fixed": osql.K2_FIXED,
+        "v1_elbow_fixed": osql.V1_FIXED,
+        "v4_dendrogram_fixed": osql.V4_FIXED,
+        "v6_importance_top_fixed": osql.V6_FIXED,
+        "r1_training_rows_fixed": osql.R1_ROWS_FIXED,
     })
     if llm_queries is not None:
         o.update(llm_queries.ORACLES)

@@ -1,12 +1,8 @@
 """Clustering.
 
 K-Means, its silhouette and cost are Spark ML (distributed).  Ward
-agglomeration is two-stage: K-Means micro-clusters give ``m`` weighted
-centroids (m x d numbers, a model), and exact Ward merging continues from
-that partition by nearest-neighbour chains on the cluster statistics; when
-``m`` is at least the row count every row is its own micro-cluster and the
-result is the exact Ward hierarchy of all rows.  Only the micro-cluster
-statistics ever leave the executors.
+agglomeration merges, round by round, all pairs of clusters that are nearest
+to each other; clusters and merges stay DataFrames.
 """
 
 from __future__ import annotations
@@ -14,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
@@ -21,6 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paramo.functions import round_half_up
+from paramo.operators.pairwise import block_pairs
+from paramo.operators.ranking import global_rank
+from paramo.plans.materialize import materialize
 from paramo.sources.normals import KEY
 
 
@@ -84,133 +84,161 @@ def silhouette_sq(df: DataFrame, label: str, vec: str = "x") -> DataFrame:
 
 # ------------------------------------------------------------------ Ward
 
-def ward_linkage(counts: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """Exact Ward merges of weighted centroids by nearest-neighbour chains.
-
-    Returns an (m-1) x 4 array ``(left, right, height, size)`` sorted by
-    height, ids as in the usual linkage convention (new cluster m + step).
-    Height = sqrt(2 a b / (a + b)) * |ca - cb|.
-    """
-    m = len(counts)
-    size = counts.astype(float).copy()
-    cent = centroids.astype(float).copy()
-    alive = np.ones(m, bool)
-    ident = np.arange(m)
-    merges = []
-
-    def dist_from(i):
-        d = np.sqrt(2 * size[i] * size / (size[i] + size)) * np.linalg.norm(cent - cent[i], axis=1)
-        d[~alive] = np.inf
-        d[i] = np.inf
-        return d
-
-    chain: list[int] = []
-    next_id = m
-    remaining = m
-    while remaining > 1:
+#: Clusters from which on a single task finishes the merging (the result is the same either way).
+TAIL = 2000
+_CLUSTER = "cid long, n double, c array<double>, h double, born_round int, born_cid long"
+_MERGE = "lo long, hi long, height double, size double, round int, lo_round int, lo_cid long, hi_round int, hi_cid long"
+
+
+def _heights(ca: np.ndarray, na: np.ndarray, cb: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Ward heights of pairs of clusters, the same in either direction."""
+    diff = ca - cb
+    return np.sqrt(2.0 * (na * nb / (na + nb)) * np.einsum("...j,...j->...", diff, diff))
+
+
+def _best_partner(ids, c, n, other_ids, oc, on, chunk: int = 512):
+    """For each cluster the other one with the smallest (height, lower id, higher id): arrays of partner id and height (inf: none).
+
+    Matrix products give candidates up to rounding error; direct differences decide among them."""
+    partner, height = np.full(len(ids), -1, np.int64), np.full(len(ids), np.inf)
+    square = (oc * oc).sum(1)
+    for s in range(0, len(ids), chunk):
+        a, na, ia = c[s:s + chunk], n[s:s + chunk], ids[s:s + chunk]
+        near = (a * a).sum(1)[:, None] + square[None, :] - 2.0 * (a @ oc.T)
+        slack = 1e-9 * ((a * a).sum(1)[:, None] + square[None, :] + 1.0)
+        coef = 2.0 * na[:, None] * on[None, :] / (na[:, None] + on[None, :])
+        same = ia[:, None] == other_ids[None, :]
+        low = np.where(same, np.inf, coef * (near - slack))
+        bound = np.where(same, np.inf, coef * (near + slack)).min(axis=1)
+        i, j = np.nonzero(low <= bound[:, None])
+        keep = ~same[i, j]
+        i, j = i[keep], j[keep]
+        h = _heights(a[i], na[i], oc[j], on[j])
+        lo, hi = np.minimum(ia[i], other_ids[j]), np.maximum(ia[i], other_ids[j])
+        order = np.lexsort((hi, lo, h, i))
+        first = order[np.unique(i[order], return_index=True)[1]]
+        partner[s + i[first]], height[s + i[first]] = other_ids[j[first]], h[first]
+    return partner, height
+
+
+def _finish(pdf: pd.DataFrame, start: int) -> pd.DataFrame:
+    """All merges of the given clusters, by nearest-neighbour chains; numbered on from round ``start``."""
+    m = len(pdf)
+    ids, n, h = pdf["cid"].to_numpy().copy(), pdf["n"].to_numpy(float).copy(), pdf["h"].to_numpy(float).copy()
+    c = np.stack(pdf["c"].to_numpy()).astype(float)
+    born = list(zip(pdf["born_round"].tolist(), pdf["born_cid"].tolist()))
+    alive, chain, out = np.ones(m, bool), [], []
+    while len(out) < m - 1:
         if not chain:
             chain.append(int(np.flatnonzero(alive)[0]))
         a = chain[-1]
-        d = dist_from(a)
-        b = int(np.argmin(d))
+        d = _heights(c, n, c[a], n[a])
+        d[~alive] = np.inf
+        d[a] = np.inf
+        b = int(np.lexsort((ids, d))[0])
         if len(chain) > 1 and d[chain[-2]] <= d[b]:
             b = chain[-2]
-        if len(chain) > 1 and b == chain[-2]:
-            chain.pop()
-            chain.pop()
-            h = d[b]
-            na, nb = size[a], size[b]
-            merges.append((ident[a], ident[b], h, na + nb))
-            cent[a] = (na * cent[a] + nb * cent[b]) / (na + nb)
-            size[a] = na + nb
-            alive[b] = False
-            ident[a] = next_id
-            next_id += 1
-            remaining -= 1
+            chain = chain[:-2]
+            lo, hi = (a, b) if ids[a] < ids[b] else (b, a)
+            top = max(d[b], h[lo], h[hi])
+            out.append((ids[lo], ids[hi], top, n[lo] + n[hi], start + len(out), *born[lo], *born[hi]))
+            c[lo] = (n[lo] * c[lo] + n[hi] * c[hi]) / (n[lo] + n[hi])
+            n[lo] += n[hi]
+            h[lo], alive[hi] = top, False
+            born[lo] = (out[-1][4], int(ids[lo]))
         else:
             chain.append(b)
-    # relabel in height order, keeping merge dependencies valid
-    z = np.array(merges, dtype=float)
-    order = np.argsort(z[:, 2], kind="stable")
-    old_to_new = {}
-    out = np.zeros_like(z)
-    for new_step, idx in enumerate(order):
-        lft, rgt, h, sz = z[idx]
-        lft = old_to_new.get(int(lft), int(lft))
-        rgt = old_to_new.get(int(rgt), int(rgt))
-        out[new_step] = (min(lft, rgt), max(lft, rgt), h, sz)
-        old_to_new[m + int(idx)] = m + new_step
+    return pd.DataFrame(out, columns=["lo", "hi", "height", "size", "round", "lo_round", "lo_cid", "hi_round", "hi_cid"])
+
+
+def ward_merges(points: DataFrame, features: Sequence[str], key: str = KEY, tail: int = TAIL, block_size: int = 2000) -> DataFrame:
+    """The exact Ward merges of all rows, one row each, in rounds.
+
+    In a round every cluster finds its nearest one by blocks of pairs
+    (:func:`paramo.operators.pairwise.block_pairs`), and all pairs that are
+    nearest to each other merge; Ward's distance never shrinks by a merge, so
+    this gives the tree that merging one pair at a time gives.  Rows with
+    equal features are merged first, without looking at pairs.  When at most
+    ``tail`` clusters are left, one task merges those.  The work is that of
+    all pairs in the first round and shrinks with the clusters."""
+    leaves = materialize(global_rank(points.select(key, F.array(*[F.col(f).cast("double") for f in features]).alias("c")).withColumn("_g", F.lit(0)),
+                                     ["_g"], [key], "cid").drop("_g"), "ward_leaves")
+    # equal rows: the lowest leaf takes the others in turn, at height 0
+    copies = global_rank(leaves.select("c", "cid"), ["c"], ["cid"], "at")
+    first = leaves.groupBy("c").agg(F.min("cid").alias("lo"), F.count(F.lit(1)).alias("n"))
+    zero = copies.where("at > 0").join(first, "c").select(
+        "lo", F.col("cid").alias("hi"), F.lit(0.0).alias("height"), (F.col("at") + 1).cast("double").alias("size"), F.col("at").cast("int").alias("round"),
+        F.when(F.col("at") > 1, F.col("at") - 1).otherwise(-1).cast("int").alias("lo_round"), "lo", F.lit(-1).alias("hi_round"), F.col("cid").alias("hi_cid"))
+    merges = [materialize(zero.toDF(*[f.split()[0] for f in _MERGE.split(", ")]), "ward_merges")]
+    clusters = materialize(first.select(F.col("lo").alias("cid"), F.col("n").cast("double").alias("n"), "c", F.lit(0.0).alias("h"),
+                                        F.when(F.col("n") > 1, F.col("n") - 1).otherwise(-1).cast("int").alias("born_round"), F.col("lo").alias("born_cid")), "ward_clusters")
+    rounds = int(first.agg(F.max("n")).first()[0] or 1)
+    while (left := clusters.count()) > max(tail, 1):
+        def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
+            parts = [pdf] if pdf["_diag"].iloc[0] else [pdf[pdf["_side"] == 0], pdf[pdf["_side"] == 1]]
+            out = []
+            for a, b in ((parts[0], parts[-1]), (parts[-1], parts[0]))[: len(parts)]:
+                if len(a) and len(b):
+                    arrays = [(x["cid"].to_numpy(), np.stack(x["c"].to_numpy()).astype(float), x["n"].to_numpy(float)) for x in (a, b)]
+                    to, h = _best_partner(*arrays[0], *arrays[1])
+                    found = to >= 0
+                    out.append(pd.DataFrame({"cid": arrays[0][0][found], "to": to[found], "height": h[found]}))
+            return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"cid": np.empty(0, np.int64), "to": np.empty(0, np.int64), "height": np.empty(0)})
+
+        found = block_pairs(clusters.select("cid", "n", "c"), "cid", block_size).groupBy("_pair").applyInPandas(nearest, "cid long, to long, height double")
+        order = F.struct("height", F.least("cid", "to").alias("lo"), F.greatest("cid", "to").alias("hi"))
+        best = materialize(found.groupBy("cid").agg(F.min(order).alias("b")).select("cid", "b.*"), "ward_nearest")
+        # a pair that both its clusters chose
+        pairs = materialize(best.groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("votes"), F.first("height").alias("d")).where("votes = 2").drop("votes"), "ward_pairs")
+        low, high = (clusters.toDF(*[f"{side}_{c}" for c in clusters.columns]) for side in ("l", "r"))
+        merged = (pairs.join(low, pairs["lo"] == low["l_cid"]).join(high, pairs["hi"] == high["r_cid"])
+                  .withColumns({"height": F.greatest("d", "l_h", "r_h"), "size": F.col("l_n") + F.col("r_n"), "round": F.lit(rounds)}))
+        merged = materialize(merged, "ward_round")
+        merges.append(merged.select("lo", "hi", "height", "size", "round", F.col("l_born_round").alias("lo_round"), F.col("l_born_cid").alias("lo_cid"),
+                                    F.col("r_born_round").alias("hi_round"), F.col("r_born_cid").alias("hi_cid")))
+        mean = F.zip_with(F.col("l_c"), F.col("r_c"), lambda x, y: (F.col("l_n") * x + F.col("r_n") * y) / (F.col("l_n") + F.col("r_n")))
+        new = merged.select(F.col("lo").alias("cid"), F.col("size").alias("n"), mean.alias("c"), F.col("height").alias("h"), F.col("round").alias("born_round"), F.col("lo").alias("born_cid"))
+        gone = pairs.select(F.explode(F.array("lo", "hi")).alias("cid"))
+        clusters = materialize(clusters.join(gone, "cid", "left_anti").unionByName(new), "ward_clusters")
+        rounds += 1
+    if left > 1:
+        # at most ``tail`` clusters: bounded whatever the rows
+        rest = clusters.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(lambda pdf: _finish(pdf.sort_values("cid").reset_index(drop=True), rounds), _MERGE)
+        merges.append(materialize(rest, "ward_merges"))
+    out = merges[0]
+    for more in merges[1:]:
+        out = out.unionByName(more)
     return out
 
 
-def cut_tree(z: np.ndarray, m: int, k: int) -> np.ndarray:
-    """Cluster index (0..k-1) per leaf after undoing the last k-1 merges,
-    numbered by each cluster's smallest leaf."""
-    parent = np.arange(2 * m - 1)
-    for step in range(m - k):
-        a, b = int(z[step, 0]), int(z[step, 1])
-        parent[a] = m + step
-        parent[b] = m + step
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-    roots = np.array([root(i) for i in range(m)])
-    _, first = np.unique(roots, return_index=True)
-    order = {r: n for n, r in enumerate(roots[np.sort(first)])}
-    return np.array([order[r] for r in roots])
-
-
-def micro_clusters(points: DataFrame, features: Sequence[str], m: int, key: str = KEY,
-                   seed: int = 42) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray]:
-    """Assign rows to at most ``m`` micro-clusters: ``(key, micro)`` plus the
-    counts and centroids (m x d).  With m >= rows every row is its own one."""
-    feats = list(features)
+def ward(points: DataFrame, features: Sequence[str], k: int, key: str = KEY, tail: int = TAIL,
+         block_size: int = 2000) -> tuple[DataFrame, DataFrame]:
+    """K11 + K12: Ward labels ``(key, cluster_jerarquico)`` at ``k`` clusters and the
+    merge table ``(step, left, right, height, size)`` of all rows.
+
+    Leaves are numbered 0.. by key, the cluster made in step s is n + s - 1;
+    steps go by height.  Labels are numbered by each cluster's lowest leaf."""
+    merges = materialize(global_rank(ward_merges(points, features, key, tail, block_size).withColumn("_g", F.lit(0)), ["_g"], ["height", "round", "lo"], "at").drop("_g"), "ward_tree")
     n = points.count()
-    if n <= m:
-        from paramo.operators.ranking import global_rank
-        assign = global_rank(points.select(key).withColumn("_g", F.lit(0)), ["_g"], [key], "micro").drop("_g")
-    else:
-        from pyspark.ml.feature import VectorAssembler
-        vec = VectorAssembler(inputCols=feats, outputCol="_v").transform(points)
-        # a compression step: random init and few iterations are enough
-        model = KMeans(featuresCol="_v", predictionCol="micro", k=m, seed=seed, maxIter=10,
-                       initMode="random").fit(vec)
-        assign = model.transform(vec).select(key, F.col("micro").cast("long"))
-    stats = (points.join(assign, key).groupBy("micro")
-             .agg(F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f) for f in feats])
-             .orderBy("micro").toPandas())
-    return assign, stats["n"].to_numpy(), stats[feats].to_numpy(), stats["micro"].to_numpy()
-
-
-def ward(points: DataFrame, features: Sequence[str], k: int, m: int = 2000, key: str = KEY,
-         seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """K11 + K12: Ward labels ``(key, cluster_jerarquico)`` at ``k`` clusters
-    and the merge table ``(step, left, right, height, size)``."""
-    assign, counts, cents, micro_ids = micro_clusters(points, features, m, key, seed)
-    z = ward_linkage(counts, cents)
-    mm = len(counts)
-    lab = cut_tree(z, mm, min(k, mm))
-    spark = points.sparkSession
-    mapping = spark.createDataFrame([(int(a), int(b)) for a, b in zip(micro_ids, lab)],
-                                    "micro LONG, cluster_jerarquico INT")
-    # mapping has one row per micro-cluster (bounded by m): broadcast is bounded
-    labels = assign.join(F.broadcast(mapping), "micro").select(key, "cluster_jerarquico")
-    merges = spark.createDataFrame(
-        [(i + 1, int(r[0]), int(r[1]), float(r[2]), int(r[3])) for i, r in enumerate(z)],
-        "step INT, left BIGINT, right BIGINT, height DOUBLE, size BIGINT")
-    return labels, merges
-
-
-def ward_sample_linkage(points: DataFrame, features: Sequence[str], n_sample: int = 300,
-                        seed: int = 42, key: str = KEY) -> DataFrame:
-    """K12 option: exact Ward merge table of a seeded sample of ``n_sample``
-    rows (the reference's dendrogram input).  The sample is the rows with the
-    smallest ``xxhash64(key, seed)`` — a distributed top-k, independent of
-    partitioning; the sample size is the feature here, not a cap."""
-    sample = points.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n_sample)
-    return ward(sample, features, 2, m=n_sample, key=key, seed=seed)[1]
+    made = merges.select(F.col("round").alias("r"), F.col("lo").alias("c"), (F.col("at") + n).alias("node"))
+    named = (merges.join(made.toDF("lo_round", "lo_cid", "lo_node"), ["lo_round", "lo_cid"], "left")
+             .join(made.toDF("hi_round", "hi_cid", "hi_node"), ["hi_round", "hi_cid"], "left")
+             .withColumns({"lo_node": F.coalesce("lo_node", "lo_cid"), "hi_node": F.coalesce("hi_node", "hi_cid")}))
+    table = named.select((F.col("at") + 1).cast("int").alias("step"), F.least("lo_node", "hi_node").alias("left"), F.greatest("lo_node", "hi_node").alias("right"),
+                         "height", F.col("size").cast("long").alias("size"))
+    # every merge but the last k - 1 points its higher leaf at its lower one: jump until nothing moves
+    up = materialize(merges.where(F.col("at") < n - k).select(F.col("hi").alias("leaf"), F.col("lo").alias("to")), "ward_up")
+    while True:
+        onward = up.select(F.col("leaf").alias("to"), F.col("to").alias("end"))
+        jumped = materialize(up.join(onward, "to", "left").select("leaf", F.coalesce("end", "to").alias("to"), F.col("end").isNotNull().alias("moved")), "ward_up")
+        up = jumped.select("leaf", "to")
+        if jumped.where("moved").isEmpty():
+            break
+    leaves = global_rank(points.select(key).withColumn("_g", F.lit(0)), ["_g"], [key], "leaf").drop("_g")
+    rooted = materialize(leaves.join(up, "leaf", "left").select(key, F.coalesce("to", "leaf").alias("root")), "ward_roots")
+    numbers = global_rank(rooted.select("root").distinct().withColumn("_g", F.lit(0)), ["_g"], ["root"], "cluster_jerarquico").drop("_g")
+    labels = rooted.join(numbers, "root").select(key, F.col("cluster_jerarquico").cast("int").alias("cluster_jerarquico"))
+    return labels, table
 
 
 def ward_summary(labels: DataFrame, k: int, silhouette: DataFrame, n_linked: int) -> DataFrame:
@@ -229,8 +257,8 @@ def label_counts(labels: DataFrame, label: str) -> DataFrame:
 
 def compare_clusterings(spark, rows: Sequence[tuple]) -> DataFrame:
     """One row per method that ran: ``(metodo, tipo, silhouette_sq,
-    silhouette_euclid, clusters, nota)``; both silhouette kinds are reported
+    silhouette_euclid, clusters, ventaja)``; both silhouette kinds are reported
     because the methods are scored on different distances."""
     return spark.createDataFrame(
         list(rows), "metodo STRING, tipo STRING, silhouette_sq DOUBLE, silhouette_euclid DOUBLE, "
-                    "clusters INT, nota STRING")
+                    "clusters INT, ventaja STRING")

@@ -21,7 +21,6 @@ the decimal value).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -140,7 +139,7 @@ def combined_index(star: Star) -> DataFrame:
         .agg(round_half_up(_avg("s_p", "c_p"), 2).alias("precip_promedio"),
              round_half_up(_avg("s_t", "c_t"), 2).alias("temp_promedio"),
              round_half_up(_avg("s_d", "c_d"), 2).alias("dias_lluvia"),
-             round_half_up(F.sum(F.col("altitud").cast("long") * F.col("n"))
+             round_half_up(F.sum(F.col("altitud").cast("double") * F.col("n"))
                            / F.nullif(F.sum(alt_rows), F.lit(0)), 0).alias("altitud_media"))
         .orderBy(F.col("precip_promedio").desc_nulls_last(), "departamento")
     )
@@ -262,27 +261,63 @@ class FreeQueryRejected(ValueError):
     """Raised when a free query is not a plain read-only SELECT."""
 
 
-# Constructs that would run code or read arbitrary paths through a SELECT.
-_FORBIDDEN = re.compile(
-    r"\busing\s*['\"]"                                  # TRANSFORM ... USING 'script'
-    r"|\b(reflect|java_method|try_reflect)\s*\("          # JVM reflection
-    r"|\.\s*`[^`]*[/:\\][^`]*`",                          # path reads: fmt.`/some/path`
-    re.IGNORECASE,
-)
+# Functions that would run code outside the query engine.
+_RUNS_CODE = {"reflect", "java_method", "try_reflect"}
+
+
+def _nodes(node):
+    """All plan and expression nodes below a parsed query, those of subqueries and common table expressions included."""
+    yield node
+    below = [node.children(), node.innerChildren()]
+    if "logical" in node.getClass().getName() or node.getClass().getSimpleName() == "UnresolvedRelation":
+        below.append(node.expressions())
+    for seq in below:
+        for i in range(seq.size()):
+            yield from _nodes(seq.apply(i))
+
+
+def _check_read_only(spark: SparkSession, sql: str, views: set[str]) -> None:
+    """Refuse a query that reads anything but ``views`` or runs code, by what Spark's own parser makes of it."""
+    try:
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    except Exception as error:
+        raise FreeQueryRejected(f"not a query: {str(error)[:200]}") from None
+    relations, aliases = set(), set()
+    for node in _nodes(plan):
+        kind = node.getClass().getSimpleName()
+        if kind == "ScriptTransformation":
+            raise FreeQueryRejected("the query runs a script")
+        if kind == "UnresolvedFunction" and node.nameParts().mkString(".").lower() in _RUNS_CODE:
+            raise FreeQueryRejected("the query calls into the virtual machine")
+        if kind == "UnresolvedRelation":
+            relations.add(node.multipartIdentifier().mkString(".").lower())
+        if kind == "SubqueryAlias":
+            aliases.add(node.alias().lower())
+    if foreign := relations - views - aliases:
+        raise FreeQueryRejected(f"only {sorted(views)} can be read, not {sorted(foreign)}")
 
 
 def free_select(spark: SparkSession, star: Star, sql: str) -> DataFrame:
     """A caller's read-only query over the star views.
 
-    Same admission rule as the dashboard (trimmed text must start with
-    ``SELECT``, case-insensitively); the text is then wrapped as a subquery so
-    that statements, ``;`` chains and commands fail to parse, and script
-    transforms, reflection and path reads are refused.
-    """
+    The trimmed text must start with ``SELECT`` (case-insensitively) and
+    parse as one query; script transforms, calls into the virtual machine and
+    all relations but the star's (files, tables, the caller's own views) are
+    refused by walking the parsed plan.  The star's views exist only while
+    the query is analysed; views of the same names are put back after."""
     text = (sql or "").strip()
     if not text.upper().startswith("SELECT"):
         raise FreeQueryRejected("only SELECT queries are allowed")
-    if _FORBIDDEN.search(text):
-        raise FreeQueryRejected("query uses a construct that is not read-only")
-    star.register_views(spark)
-    return spark.sql("SELECT * FROM (\n" + text + "\n)")
+    tables = star.tables()
+    _check_read_only(spark, text, {name.lower() for name in tables})
+    shadowed = {t.name: spark.table(t.name) for t in spark.catalog.listTables() if t.isTemporary and t.name in tables}
+    try:
+        for name, df in tables.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(text)
+    finally:
+        for name in tables:
+            if name in shadowed:
+                shadowed[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)

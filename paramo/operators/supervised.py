@@ -41,7 +41,7 @@ def training_rows(df: DataFrame, anomaly: str | None = "is_anomaly_if", min_rows
 
 
 def train_rf(df: DataFrame, features: Sequence[str], label: str, n_trees: int = 100, seed: int = 42,
-             max_depth: int = 15, anomaly: str | None = "is_anomaly_if", key: str = KEY):
+             max_depth: int = 30, anomaly: str | None = "is_anomaly_if", key: str = KEY):
     """Fit on the training rows, predict every row.
 
     Returns ``(model, predictions(key, y, yhat))``.
@@ -85,7 +85,7 @@ def macro_f1(pred: DataFrame, y: str = "y", yhat: str = "yhat") -> DataFrame:
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], label: str, n_trees: int = 100, seed: int = 42,
-                   max_depth: int = 15, key: str = KEY) -> DataFrame:
+                   max_depth: int = 30, key: str = KEY) -> DataFrame:
     """Macro-F1 per stratified fold, plus mean and population std (round 4)."""
     n_classes = df.select(label).distinct().count()
     n_splits = min(5, n_classes)

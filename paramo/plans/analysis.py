@@ -13,6 +13,8 @@ independently of any learned model.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,12 +27,13 @@ from paramo.operators import profiles as H
 from paramo.operators import supervised as S
 from paramo.operators import wide as W
 from paramo.operators.clean import clean_normals, resolve_features
+from paramo.plans.materialize import materialize
 from paramo.sources.normals import KEY, normals_from_tpch
 
 
-def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_table(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
     """Cleaned wide table derived from the test tables."""
-    return clean_normals(normals_from_tpch(spark, sf_dir))
+    return clean_normals(normals_from_tpch(spark, sf_dir), materialize)
 
 
 def scaled_table(wide: DataFrame, features=None) -> DataFrame:
@@ -55,83 +58,114 @@ def eps_params(scaled: DataFrame) -> tuple[float, int]:
     return float(row["eps"]), int(row["min_samples"])
 
 
-def run_analysis(wide: DataFrame, k_min: int = 2, k_max: int = 8, seed: int = 42,
-                 n_trees: int = 100, rf_depth: int = 15, ward_m: int = 2000) -> dict[str, DataFrame]:
-    """Every stage of the deep analysis; returns the result tables by name."""
+# Method names, kinds and advantages of the comparison.
+KMEANS = ("K-Means (Spark MLlib)", "Centroide", "Escalable, reproducible, distribuido")
+DBSCAN = ("DBSCAN", "Densidad", "Forma arbitraria, detecta ruido ({} pts)")
+WARD = ("Jerárquico (Ward)", "Jerárquico", "Dendrograma interpretable, sin k previo")
+
+
+def both_silhouettes(scaled: DataFrame, labels: DataFrame, label: str, exclude_noise: bool = False) -> tuple[float, float]:
+    """K5 and K6 of one labelling; with noise left out, 0 unless two clusters and a spare row remain."""
+    points = materialize(scaled.select(KEY, "x").join(labels.select(KEY, label), KEY), "labelled")
+    if exclude_noise:
+        points = points.where(F.col(label) != -1)
+    euclid = P.silhouette_euclid(points, label).select("silhouette", "k", "n").first()
+    told = euclid["k"] >= 2 and euclid["n"] > euclid["k"]
+    return (float(K.silhouette_sq(points, label).first()["silhouette"]) if told else 0.0), float(euclid["silhouette"])
+
+
+def run_analysis(wide: DataFrame, k_min: int = 2, k_max: int = 8, seed: int = 42, n_trees: int = 100, rf_depth: int = 30,
+                 contamination: float = 0.05, n_neighbors: int = 20) -> dict[str, DataFrame]:
+    """Every stage of the deep analysis; returns the result tables by name.
+
+    The wide and scaled tables and every method's labels and scores are
+    written once and read by all that follows; K6, whose work is that of all
+    pairs, runs once a method."""
+    started = time.time()
     spark = wide.sparkSession
+    wide = materialize(wide, "normals")
     feats = resolve_features(wide)
+    n_rows = wide.count()
     out: dict[str, DataFrame] = {}
     out["eda_estadisticas"] = W.eda_stats(wide, feats)
     out["eda_top_correlaciones"] = W.top_correlations(wide, feats)
-    out["eda_outliers_iqr"] = W.iqr_outliers(wide, feats)
+    outliers = materialize(W.iqr_outliers(wide, feats), "outliers")
+    out["eda_outliers_iqr"] = outliers
+    out["eda"] = outliers.agg(F.sum("n_outliers").cast("long").alias("n_outliers_iqr"), F.lit(len(feats)).alias("n_features"))
 
-    vec = FE.standardize_sample(wide, feats).select(KEY, "features", *feats).persist()
+    vec = materialize(FE.standardize_sample(wide, feats).select(KEY, "features", *feats), "features")
     sweep, models = K.kmeans_sweep(vec, k_min, k_max, seed)
-    sweep = sweep.persist()
-    best = int(K.best_k(sweep).first()["k"])
-    km = K.kmeans_assign(models[best], vec)
+    sweep = materialize(sweep, "sweep")
+    best = K.best_k(sweep).first()
+    k = int(best["k"])
+    km = materialize(K.kmeans_assign(models[k], vec), "kmeans")
     out["kmeans_por_k"] = sweep
     out["kmeans_cluster_stats"] = K.cluster_stats(wide.join(km, KEY), "cluster_kmeans")
+    out["cluster_info"] = K.label_counts(km, "cluster_kmeans")
 
-    scaled = FE.standardize_population(wide, feats, keep=(KEY,)).persist()
+    scaled = materialize(FE.standardize_population(wide, feats, keep=(KEY,)), "scaled")
     out["pca_varianza"] = FE.pca_variance(scaled, feats)
-    pcs = FE.pca_project(scaled, feats)
+    pcs = materialize(FE.pca_project(scaled, feats), "pcs")
     out["pca_loadings"] = FE.pca_loadings(scaled, feats)
 
     eps, ms = eps_params(scaled)
-    db = P.dbscan(scaled, eps, ms)
-    db_sil = P.silhouette_euclid(scaled.join(db, KEY), "cluster_dbscan", exclude_noise=True)
-    out["dbscan"] = P.dbscan_summary(db, eps, ms, db_sil)
+    db = materialize(P.dbscan(scaled, eps, ms), "dbscan")
+    db_sq, db_eu = both_silhouettes(scaled, db, "cluster_dbscan", exclude_noise=True)
+    out["dbscan"] = materialize(P.dbscan_summary(db, eps, ms, spark.range(1).select(F.lit(db_eu).alias("silhouette"))), "dbscan_summary")
     out["dbscan_conteos"] = P.dbscan_counts(db)
 
-    ward_labels, merges = K.ward(scaled, feats, best, ward_m)
-    ward_sil = P.silhouette_euclid(scaled.join(ward_labels, KEY), "cluster_jerarquico")
-    out["jerarquico"] = K.ward_summary(ward_labels, best, ward_sil, min(ward_m, scaled.count()))
+    ward_labels, merges = K.ward(scaled, feats, k)
+    ward_labels, merges = materialize(ward_labels, "ward"), materialize(merges, "ward_merges")
+    w_sq, w_eu = both_silhouettes(scaled, ward_labels, "cluster_jerarquico")
+    out["jerarquico"] = K.ward_summary(ward_labels, k, spark.range(1).select(F.lit(w_eu).alias("silhouette")), n_rows)
     out["jerarquico_conteos"] = K.label_counts(ward_labels, "cluster_jerarquico")
 
-    iso = N.isolation_forest(scaled, feats, seed=seed)
-    lof = P.lof(scaled)
-    flags = iso.join(lof, KEY)
-    out["anomalias"] = N.anomaly_agreement(flags)
+    iso = materialize(N.isolation_forest(scaled, feats, seed=seed, contamination=contamination), "iforest")
+    lof = materialize(P.lof(scaled, n_neighbors, contamination), "lof")
+    out["anomalias"] = N.anomaly_agreement(iso.join(lof, KEY)).withColumns(
+        {"contamination": F.lit(contamination), "n_neighbors": F.lit(n_neighbors)})
 
-    labelled = scaled.join(km, KEY).join(iso.select(KEY, "is_anomaly_if"), KEY)
+    labelled = materialize(scaled.join(km, KEY).join(iso.select(KEY, "is_anomaly_if"), KEY), "labelled")
     model, pred = S.train_rf(labelled, feats, "cluster_kmeans", n_trees, seed, rf_depth)
-    out["rf_metricas"] = S.accuracy(pred).join(S.macro_f1(pred))
-    out["rf_cv"] = S.cross_validate(labelled.where(~F.col("is_anomaly_if")), feats, "cluster_kmeans",
-                                    n_trees, seed, rf_depth)
+    pred = materialize(pred, "rf")
     imp = S.feature_importance(model, feats, spark)
+    top = imp.first()
+    acc, f1 = S.accuracy(pred).first()["accuracy"], S.macro_f1(pred).first()["f1_macro"]
+    out["random_forest"] = spark.range(1).select(
+        round_half_up(F.lit(acc), 4).alias("accuracy"), round_half_up(F.lit(f1), 4).alias("f1_score"),
+        F.lit(n_trees).alias("n_estimators"), F.lit(top["feature"] if top else "").alias("top_feature"))
+    out["rf_cv"] = S.cross_validate(S.training_rows(labelled), feats, "cluster_kmeans", n_trees, seed, rf_depth)
     out["rf_importancia"] = imp
 
-    enriched = wide.join(km, KEY).join(iso, KEY)
-    out["perfiles"] = H.cluster_profiles(enriched, "cluster_kmeans", feats)
-    best_sil = sweep.where(F.col("k") == best).select("silhouette").first()["silhouette"]
-    km_eu = P.silhouette_euclid(scaled.join(km, KEY), "cluster_kmeans").first()["silhouette"]
+    out["perfiles"] = H.cluster_profiles(wide.join(km, KEY).join(iso, KEY), "cluster_kmeans", feats)
+    _, km_eu = both_silhouettes(scaled, km, "cluster_kmeans")
     db_row = out["dbscan"].first()
-    w_row = ward_sil.first()
     out["comparativa_clustering"] = K.compare_clusterings(spark, [
-        ("K-Means (Spark MLlib)", "Centroide", float(best_sil), float(km_eu), best, "Escalable, distribuido"),
-        ("DBSCAN", "Densidad", None, float(db_row["silhouette"]), int(db_row["n_clusters"]),
-         f"Detecta ruido ({db_row['n_noise']} pts)"),
-        ("Jerárquico (Ward)", "Jerárquico", None, float(w_row["silhouette"]), best, "Dendrograma interpretable"),
+        (*KMEANS[:2], float(best["silhouette"]), km_eu, k, KMEANS[2]),
+        (*DBSCAN[:2], db_sq, db_eu, int(db_row["n_clusters"]), DBSCAN[2].format(db_row["n_noise"])),
+        (*WARD[:2], w_sq, w_eu, k, WARD[2]),
     ])
 
     out["indicadores_globales"] = W.global_indicators(wide)
     out["zonas_altitudinales"] = W.altitude_zones(wide)
     out["top_departamentos"] = W.top_departments(wide)
 
-    out["grafico_elbow"] = H.elbow_data(sweep, best)
+    out["grafico_elbow"] = H.elbow_data(sweep, k)
     out["grafico_scree"] = H.scree_data(out["pca_varianza"])
     out["grafico_scatter_kmeans"] = H.scatter_data(pcs, km, "cluster_kmeans")
     out["grafico_scatter_dbscan"] = H.scatter_data(pcs, db, "cluster_dbscan")
-    last, cut = H.dendrogram_data(merges, best)
-    out["grafico_dendrograma"] = last
-    out["grafico_dendrograma_corte"] = cut
+    out["grafico_dendrograma"], out["grafico_dendrograma_corte"] = H.dendrogram_data(merges, k)
     out["grafico_anomalias_if"] = H.score_histogram(iso, "anomaly_score_if", "is_anomaly_if")
     out["grafico_anomalias_lof"] = H.score_histogram(lof, "anomaly_score_lof", "is_anomaly_lof")
     out["grafico_importancia"] = H.importance_top(imp)
     out["grafico_perfiles"] = H.boxplot_data(wide.join(km, KEY), "cluster_kmeans")
     out["etiquetas"] = (wide.select(KEY).join(km, KEY).join(db, KEY).join(ward_labels, KEY)
                         .join(iso, KEY).join(lof, KEY).join(pcs.select(KEY, "PC1", "PC2"), KEY))
+    out["resumen"] = spark.range(1).select(
+        F.lit(True).alias("exito"), F.lit(f"Apache Spark {spark.version}").alias("motor"),
+        F.lit(round(time.time() - started, 2)).alias("tiempo_procesamiento"), F.lit(n_rows).alias("num_registros"),
+        F.lit(k).alias("mejor_k"), F.lit(float(best["silhouette"])).alias("mejor_silhouette"),
+        F.lit(float(best["inertia"])).alias("mejor_inertia"), F.array(*[F.lit(f) for f in feats]).alias("features_usadas"))
     return out
 
 

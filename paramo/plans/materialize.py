@@ -15,14 +15,27 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from paramo.session import ensure_checkpoint_dir
 
+_written: list[str] = []
+
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/paramo-{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    _written.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables this process has materialised so far; call it when no result that reads them is needed any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone

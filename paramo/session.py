@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,8 +42,9 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The folder comes from ``spark.checkpoint.dir``.  Only when it is unset
-    (local tests) a fresh scratch folder is created and registered.
+    The folder comes from ``spark.checkpoint.dir``.  Only on a local master a
+    fresh scratch folder stands in when it is unset; on a cluster a folder of
+    the driver's machine would not be seen by the executors, so that raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
+        if not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: it has to name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="paramo-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

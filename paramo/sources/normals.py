@@ -20,10 +20,9 @@ KEY = "id_fila"
 
 
 def read_normals(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Read the wide table: CSV (header, UTF-8, inferred types) or parquet."""
+    """Read the wide table: CSV (header, UTF-8; texts, which B3 parses) or parquet."""
     if fmt == "csv":
-        return (spark.read.option("header", True).option("inferSchema", True)
-                .option("encoding", "UTF-8").csv(path))
+        return spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
     return spark.read.format(fmt).load(path)
 
 

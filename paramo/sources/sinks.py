@@ -29,5 +29,8 @@ def write_labels(df: DataFrame, path: str, fmt: str = "csv", key: str = KEY) ->
 def write_bundle(results: dict[str, DataFrame], path: str, fmt: str = "json") -> list[str]:
     """A4: one folder per named result table; returns the names written."""
     for name, df in results.items():
-        df.write.mode("overwrite").format(fmt).save(f"{path}/{name}")
+        writer = df.write.mode("overwrite").format(fmt)
+        if fmt == "json":
+            writer = writer.option("ignoreNullFields", False)
+        writer.save(f"{path}/{name}")
     return sorted(results)

@@ -95,11 +95,6 @@ class Star:
         out.update(self.dims)
         return out
 
-    def register_views(self, spark: SparkSession) -> None:
-        """Temp views named after the tables (for ``free_select``)."""
-        for name, df in self.tables().items():
-            df.createOrReplaceTempView(name)
-
 
 def _sql_literal(v, sql_type: str) -> str:
     if v is None:

@@ -13,13 +13,23 @@ from .conftest import SF_SMALL
 
 def test_run_analysis_and_sinks(spark):
     wide = wide_table(spark, SF_SMALL)
-    out = run_analysis(wide, k_min=2, k_max=3, n_trees=10, rf_depth=5, ward_m=50)
+    out = run_analysis(wide, k_min=2, k_max=3, n_trees=10, rf_depth=5)
     labels = out["etiquetas"]
     assert labels.count() == wide.count()
     assert {"cluster_kmeans", "cluster_dbscan", "cluster_jerarquico", "is_anomaly_if",
             "is_anomaly_lof", "PC1", "PC2"} <= set(labels.columns)
     assert out["perfiles"].count() >= 2
-    assert out["comparativa_clustering"].count() == 3
+    compared = out["comparativa_clustering"].collect()
+    assert [r["metodo"] for r in compared] == ["K-Means (Spark MLlib)", "DBSCAN", "Jerárquico (Ward)"]
+    assert all(-1 <= r[c] <= 1 for r in compared for c in ("silhouette_sq", "silhouette_euclid"))
+    summary = out["resumen"].first()
+    assert summary["num_registros"] == wide.count() and summary["mejor_k"] in (2, 3) and len(summary["features_usadas"]) == 16
+    assert {"exito", "motor", "tiempo_procesamiento", "mejor_silhouette", "mejor_inertia"} <= set(out["resumen"].columns)
+    assert out["eda"].first().asDict().keys() == {"n_outliers_iqr", "n_features"}
+    assert {"contamination", "n_neighbors"} <= set(out["anomalias"].columns)
+    assert {"accuracy", "f1_score", "n_estimators", "top_feature"} == set(out["random_forest"].columns)
+    assert out["cluster_info"].agg({"registros": "sum"}).first()[0] == wide.count()
+    assert out["jerarquico"].first()["n_muestra"] == wide.count()
     tmp = tempfile.mkdtemp(prefix="paramo-sink-")
     write_labels(labels, os.path.join(tmp, "labels"))
     back = spark.read.option("header", True).csv(os.path.join(tmp, "labels"))
@@ -28,3 +38,5 @@ def test_run_analysis_and_sinks(spark):
                          os.path.join(tmp, "bundle"))
     assert names == ["anomalias", "dbscan", "perfiles"]
     assert spark.read.json(os.path.join(tmp, "bundle", "dbscan")).count() == 1
+    write_bundle({"nulls": spark.sql("SELECT 1 AS a, CAST(NULL AS INT) AS num_mes")}, os.path.join(tmp, "nulls"))
+    assert "num_mes" in spark.read.json(os.path.join(tmp, "nulls", "nulls")).columns

@@ -113,7 +113,7 @@ def test_ward_exact_on_small_data(spark):
     rng = np.random.default_rng(3)
     x = np.r_[rng.normal(0, 0.3, (20, 2)), rng.normal(3, 0.3, (20, 2)), rng.normal((0, 3), 0.3, (20, 2))]
     df = _frame(spark, x)
-    labels, merges = K.ward(df, ["f0", "f1"], 3, m=100)
+    labels, merges = K.ward(df, ["f0", "f1"], 3)
     z = merges.orderBy("step").toPandas()
     np.testing.assert_allclose(z["height"].to_numpy(), np.sort(_ward_bruteforce(x)), rtol=1e-9)
     lab = labels.toPandas().sort_values("id_fila")["cluster_jerarquico"].to_numpy()
