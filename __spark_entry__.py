@@ -155,7 +155,7 @@ def _q_v5(spark, sf_dir):
 
 
 def _q_v7(spark, sf_dir):
-    b = H.boxplot_data(A.fixed_label(wide_table(spark, sf_dir)), "lab")
+    b = H.boxplot_data(A.fixed_label(wide_table(spark, sf_dir, materialize=True)), "lab")
     return A.rounded(b, ["q1", "mediana", "q3", "bigote_inf", "bigote_sup"])
 
 
@@ -335,8 +335,8 @@ def _q_r6(spark, sf_dir):
     return S.feature_importance(model, osql.FEATURES, spark)
 
 
-def _wide_query(fn, **kw):
-    return lambda spark, sf_dir: fn(wide_table(spark, sf_dir), **kw)
+def _wide_query(fn, materialize=False, **kw):
+    return lambda spark, sf_dir: fn(wide_table(spark, sf_dir, materialize), **kw)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -363,10 +363,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "e4_department_stats": _wide_query(W.department_stats, digits=6),
         "e5_band_stats": _wide_query(W.band_stats, digits=6),
         "e6_annual_summary": _wide_query(W.annual_summary, digits=6),
-        "e7_eda_stats": _wide_query(W.eda_stats),
-        "e8_top_correlations": _wide_query(W.top_correlations),
-        "e9_iqr_outliers": _wide_query(W.iqr_outliers),
-        "e9_iqr_outlier_total": _wide_query(W.iqr_outlier_total),
+        "e7_eda_stats": _wide_query(W.eda_stats, materialize=True),
+        "e8_top_correlations": _wide_query(W.top_correlations, materialize=True),
+        "e9_iqr_outliers": _wide_query(W.iqr_outliers, materialize=True),
+        "e9_iqr_outlier_total": _wide_query(W.iqr_outlier_total, materialize=True),
         "f3_standardize_population": _q_f3,
         "k7_knn_distance": _q_k7,
         "k8_auto_eps": _q_k8,

@@ -15,13 +15,14 @@ consecutive partitions of bounded size:
    #partitions rows per group);
 3. rank = offset + position - first position.
 
-Quantiles then pick the rows at the two ranks around ``q * (n - 1)`` with an
-equi-join on (group, rank) against a target table of size groups x probs x 2.
+Quantiles need no such order: see :func:`exact_quantiles`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,33 +70,44 @@ def global_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     )
 
 
-def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], num_partitions: int | None = None) -> DataFrame:
+#: A quantile's bracket reaches so far to either side, as a share of the group's rows; the sketch errs by a tenth of that at most.
+REACH, ACCURACY = 0.001, 10_000
+
+
+def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, probs: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation (the pandas/numpy default).
 
     NULL and NaN values are ignored.  Returns ``group_cols + [q, value]`` with
-    one row per group and probability.
-    """
-    group_cols = list(group_cols)
+    one row per group and probability.  No group is sorted: a sketch gives,
+    for each probability, a bracket of values that holds the wanted ranks;
+    one pass counts the rows below each bracket and those of each value
+    inside (equal values, and all rows below, are one row a task), and the
+    wanted ranks are found among the values of the bracket.  Groups of under
+    5 / REACH rows have all their values in the bracket."""
+    group_cols, probs = list(group_cols), [float(p) for p in probs]
     v = F.col(value_col)
     valid = df.select(*group_cols, v.cast("double").alias("_v")).where(v.isNotNull() & ~F.isnan(v))
-    # rank first: the ranked table is written once, so the group sizes below
-    # come from it instead of re-running the input plan
-    ranked = global_rank(valid, group_cols, ["_v"], num_partitions=num_partitions)
-    counts = ranked.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_cnt"))
-    pos = F.col("q") * (F.col("_cnt") - 1)
-    targets = (
-        counts.withColumn("q", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("_lo", F.floor(pos).cast("long"))
-        .withColumn("_frac", pos - F.col("_lo"))
-        .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_cnt") - 1))
-    )
-    needed = targets.select(*group_cols, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("rank"))
-    picked = ranked.join(needed.distinct(), [*group_cols, "rank"])
-    lo = picked.withColumnRenamed("rank", "_lo").withColumnRenamed("_v", "_vlo")
-    hi = picked.withColumnRenamed("rank", "_hi").withColumnRenamed("_v", "_vhi")
-    t = (targets.join(lo, [*group_cols, "_lo"]).join(hi, [*group_cols, "_hi"]))
-    diff = F.col("_vhi") - F.col("_vlo")
-    value = F.when(F.col("_frac") >= 0.5, F.col("_vhi") - diff * (1 - F.col("_frac"))) \
-        .otherwise(F.col("_vlo") + diff * F.col("_frac"))
-    return t.select(*group_cols, "q", value.alias("value"))
+    ends = [min(1.0, max(0.0, p + side)) for p in probs for side in (-REACH, REACH)]
+    sketch = valid.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, ACCURACY).alias("_ends"))
+
+    def bracket(i: int, p: float):
+        small = F.col("_n") * REACH < 5
+        low = F.when(small | F.lit(p <= REACH), F.lit(float("-inf"))).otherwise(F.col("_ends")[2 * i])
+        high = F.when(small | F.lit(p >= 1 - REACH), F.lit(float("inf"))).otherwise(F.col("_ends")[2 * i + 1])
+        return F.struct(F.lit(p).alias("q"), low.alias("lo"), high.alias("hi"))
+
+    brackets = sketch.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_n", F.array(*[bracket(i, p) for i, p in enumerate(probs)]).alias("_b"))
+    same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group_cols)]
+    # a null value stands for all rows below the bracket
+    near = valid.join(brackets, reduce(and_, same)).select(*group_cols, "_n", "_v", F.explode(F.filter("_b", lambda b: F.col("_v") <= b["hi"])).alias("_b"))
+    counted = near.groupBy(*group_cols, "_n", F.col("_b.q").alias("q"), F.when(F.col("_v") >= F.col("_b.lo"), F.col("_v")).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*group_cols, "q").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    pos = F.col("q") * (F.col("_n") - 1)
+    found = counted.withColumns({"_upto": upto, "_pos": pos}).groupBy(*group_cols, "q").agg(
+        F.first("_pos").alias("_pos"),
+        F.min(F.when(F.col("_upto") > F.floor("_pos"), F.coalesce("_v", F.lit(float("-inf"))))).alias("_vlo"),
+        F.min(F.when(F.col("_upto") > F.least(F.floor("_pos") + 1, F.col("_n") - 1), F.coalesce("_v", F.lit(float("-inf"))))).alias("_vhi"))
+    frac, diff = F.col("_pos") - F.floor("_pos"), F.col("_vhi") - F.col("_vlo")
+    value = F.when(frac >= 0.5, F.col("_vhi") - diff * (1 - frac)).otherwise(F.col("_vlo") + diff * frac)
+    checked = F.when(F.col("_vlo").isNull() | F.col("_vhi").isNull() | (F.col("_vlo") == float("-inf")), F.raise_error(F.lit("a quantile lies outside its bracket"))).otherwise(value)
+    return found.select(*group_cols, "q", checked.alias("value"))

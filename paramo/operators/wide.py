@@ -161,28 +161,19 @@ def top_correlations(df: DataFrame, features: Sequence[str] | None = None,
     """Feature pairs (i < j) with |r| > ``min_abs`` on the unrounded Pearson
     r, by |rounded r| descending (ties: pair order), first ``n``.
 
-    Each row is expanded into one (pair, x, y) record per feature pair and a
-    single ``groupBy(pair)`` computes ``corr`` (pairwise-complete rows); the
-    partial aggregate keeps the shuffle at one buffer per pair and partition.
+    Each row becomes one record per feature, paired with the array of all its
+    values; one aggregate per feature correlates it with those after it
+    (pairs where either value is missing do not count).  The partial
+    aggregate leaves one buffer per feature and task to shuffle.
     """
     feats = list(features) if features is not None else resolve_features(df)
-    k = len(feats)
-    pair_ids = [i * k + j for i in range(k) for j in range(i + 1, k)]
     names = F.array(*[F.lit(f) for f in feats])
-    # The generator explodes literal pair ids only; the features travel as one
-    # array column, so the optimizer's work does not grow with pairs x filters.
-    vals = F.array(*[F.when(F.isnan(F.col(f).cast("double")), F.lit(None))
-                     .otherwise(F.col(f).cast("double")) for f in feats])
-    i_idx = (F.col("pair") / k).cast("int")
-    j_idx = F.col("pair") % k
-    rows = (
-        df.select(vals.alias("_a"))
-        .select("_a", F.explode(F.array(*[F.lit(p) for p in pair_ids])).alias("pair"))
-        .select("pair", F.get("_a", i_idx).alias("x"), F.get("_a", j_idx).alias("y"))
-        .groupBy("pair").agg(F.corr("x", "y").alias("r"))
-        .select("pair", F.get(names, (F.col("pair") / k).cast("int")).alias("feat1"),
-                F.get(names, F.col("pair") % k).alias("feat2"), "r")
-    )
+    values = F.array(*[F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")) for f in feats])
+    one = df.select(values.alias("_a")).select("_a", F.posexplode("_a").alias("i", "x"))
+    per = one.groupBy("i").agg(*[F.corr("x", F.get("_a", F.lit(j))).alias(f"r{j}") for j in range(len(feats))])
+    later = F.filter(F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"r{j}").alias("r")) for j in range(len(feats))]), lambda p: p["j"] > F.col("i"))
+    rows = per.select("i", F.explode(later).alias("p")).select(
+        (F.col("i") * len(feats) + F.col("p.j")).alias("pair"), F.get(names, F.col("i")).alias("feat1"), F.get(names, F.col("p.j")).alias("feat2"), F.col("p.r").alias("r"))
     return (
         rows.where(F.abs("r") > min_abs)
         .select("pair", "feat1", "feat2", round_half_up("r", 3).alias("correlation"))

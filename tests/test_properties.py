@@ -131,7 +131,7 @@ def test_global_rank_and_quantiles(spark):
     for _, grp in r.groupby("g"):
         assert sorted(grp["rank"]) == list(range(len(grp)))
         assert (grp.sort_values("rank")["v"].diff().dropna() >= 0).all()
-    q = exact_quantiles(df, ["g"], "v", [0.1, 0.5, 0.9], num_partitions=5).toPandas()
+    q = exact_quantiles(df, ["g"], "v", [0.1, 0.5, 0.9]).toPandas()
     for (gg, qq), val in q.set_index(["g", "q"])["value"].items():
         assert val == pytest.approx(np.percentile(v[g == gg], qq * 100), abs=1e-12)
 
