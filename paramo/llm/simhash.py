@@ -186,7 +186,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     own = store(found.where("id = component_id").groupBy("id").agg(F.count(F.lit(1)).alias("rows")).withColumnRenamed("id", "own"), "simhash-stay")
     rows, plain = numbered(docs, id=key, txt=text)
     least = F.min_by(F.struct(*plain), F.struct(F.col("txt").isNotNull(), "txt")).alias("row")
-    staying = rows.join(own, F.col("id") == F.col("own"))
+    # the staying keys grow with the corpus, so they are never broadcast: a shuffle join at any size
+    staying = rows.join(own.hint("merge"), F.col("id") == F.col("own"))
     out = staying.where("rows = 1").select(*plain)
     if not own.where("rows > 1").isEmpty():
         out = out.union(staying.where("rows > 1").groupBy("id").agg(least).select("row.*"))
