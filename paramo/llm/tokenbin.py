@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 from paramo.llm.common import pick, store
 
 #: Chunks of text whose ids a worker remembers; bytes of text a shard holds, about; keys an index part holds, about.
-REMEMBER, SHARD_BYTES, PART_KEYS = 400_000, 64 << 20, 250_000
+REMEMBER, SHARD_BYTES, PART_KEYS = 1_000_000, 64 << 20, 250_000
+#: Texts that are encoded together.
+SLICE = 256
 NULL_KEY = -(2**63)
 
 
@@ -53,7 +55,7 @@ class Encoder:
         tokenizer = Tokenizer.from_file(path)
         if tokenizer.get_vocab_size() > 256**width:
             raise ValueError(f"ids of {path} do not fit {width} bytes")
-        self.encode, self.kind, self.chunked, self.known = tokenizer.encode_batch, f"<u{width}", chunked, {}
+        self.encode, self.kind, self.chunked, self.known = tokenizer.encode_batch_fast, f"<u{width}", chunked, {}
 
     def __call__(self, texts: list[bytes], end: int) -> list[bytes]:
         chunks = [t.split() if self.chunked else [t] for t in texts]
@@ -200,7 +202,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int, key: st
             if placed is None:
                 shard = b.column(0)[0].as_py()
                 placed = _Placed(f"{folder}/payload", f"{shard:05d}.bin")
-            coded = encode(b.column(2).cast(pa.binary()).to_pylist(), end)
+            texts = b.column(2).cast(pa.binary())
+            # few texts at a time: their chunks are many small objects
+            coded = [ids for at_row in range(0, len(texts), SLICE) for ids in encode(texts.slice(at_row, SLICE).to_pylist(), end)]
             n = np.fromiter(map(len, coded), np.int64, len(coded)) // width
             placed.out.write(b"".join(coded))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), shard)), b.column(1), pa.array(at + np.cumsum(n) - n), pa.array(n)], ["shard", "id", "at", "n"])
