@@ -39,8 +39,8 @@ BRILLO_SOLAR = "BRILLO SOLAR"
 ANUAL = "Anual"
 
 
-def readings(star: Star, parametros: Iterable[str], exclude_meses: Iterable[str] = ()) -> DataFrame:
-    """Fact rows of the named parameters, with ``parametro`` / ``unidad_medida``.
+def cells(star: Star, parametros: Iterable[str], exclude_meses: Iterable[str] = ()) -> DataFrame:
+    """The named parameters' readings summed up on the fact's keys, with ``parametro`` / ``unidad_medida``.
 
     Inner-join semantics with the parameter (and, when months are excluded,
     the time) dimension; the key-set restriction happens before any join.
@@ -49,7 +49,7 @@ def readings(star: Star, parametros: Iterable[str], exclude_meses: Iterable[str]
     exclude_meses = list(exclude_meses)
     pids = star.ids("dim_parametro", include=parametros)
     tids = star.ids("dim_tiempo", exclude=exclude_meses) if exclude_meses else None
-    fact = star.fact(param_ids=pids, tiempo_ids=tids)
+    fact = star.cells(param_ids=pids, tiempo_ids=tids)
     rows = star.constants.get("dim_parametro")
     if pids is not None and rows is not None:
         # Constant dimension, keys already pruned: its attributes are a
@@ -62,8 +62,8 @@ def readings(star: Star, parametros: Iterable[str], exclude_meses: Iterable[str]
         params = (star.dim("dim_parametro")
                   .where(F.col("parametro").isin(parametros))
                   .select("id_parametro", "parametro", "unidad_medida"))
-        # One row per parameter: the broadcast is bounded by the dimension.
-        out = fact.join(F.broadcast(params), "id_parametro")
+        # broadcast by the planner if the table is small
+        out = fact.join(params, "id_parametro")
     if exclude_meses:
         months = (star.dim("dim_tiempo")
                   .where(~F.col("nombre_mes").isin(exclude_meses)).select("id_tiempo"))
@@ -75,15 +75,15 @@ def _avg(s: str, c: str) -> Column:
     return F.sum(s) / F.nullif(F.sum(c), F.lit(0))
 
 
-def _when_param(name: str, value: str = "valor_medicion") -> Column:
+def _when_param(name: str, value: str) -> Column:
     return F.when(F.col("parametro") == name, F.col(value))
 
 
 def precip_by_month_period(star: Star) -> DataFrame:
     """Mean precipitation per place, month and period (annual row last)."""
-    pre = (readings(star, [PRECIPITACION])
+    pre = (cells(star, [PRECIPITACION])
            .groupBy("id_geo", "id_tiempo", "id_periodo")
-           .agg(F.sum("valor_medicion").alias("s"), F.count("valor_medicion").alias("c")))
+           .agg(F.sum("s").alias("s"), F.sum("c").alias("c")))
     return (
         pre.join(star.dim("dim_geografia"), "id_geo")
         .join(star.dim("dim_tiempo"), "id_tiempo")
@@ -100,10 +100,10 @@ def thermal_range_top15(star: Star, n: int = 15) -> DataFrame:
     Ties on the rounded range are broken by station, altitude and place
     (the reference leaves them undefined).
     """
-    pre = (readings(star, [TEMP_MAX, TEMP_MIN])
+    pre = (cells(star, [TEMP_MAX, TEMP_MIN])
            .groupBy("id_estacion", "id_geo")
-           .agg(F.max(_when_param(TEMP_MAX)).alias("tmax"),
-                F.min(_when_param(TEMP_MIN)).alias("tmin")))
+           .agg(F.max(_when_param(TEMP_MAX, "mx")).alias("tmax"),
+                F.min(_when_param(TEMP_MIN, "mn")).alias("tmin")))
     grouped = (
         pre.join(star.dim("dim_estacion"), "id_estacion")
         .join(star.dim("dim_geografia"), "id_geo")
@@ -125,12 +125,11 @@ def thermal_range_top15(star: Star, n: int = 15) -> DataFrame:
 def combined_index(star: Star) -> DataFrame:
     """D3: per place, mean precipitation, mean temperature, rainy days and
     fact-row-weighted mean station altitude."""
-    r = readings(star, [PRECIPITACION, TEMP_MEDIA, DIAS_LLUVIA])
+    r = cells(star, [PRECIPITACION, TEMP_MEDIA, DIAS_LLUVIA])
     aggs = []
     for tag, name in (("p", PRECIPITACION), ("t", TEMP_MEDIA), ("d", DIAS_LLUVIA)):
-        v = _when_param(name)
-        aggs += [F.sum(v).alias(f"s_{tag}"), F.count(v).alias(f"c_{tag}")]
-    pre = r.groupBy("id_geo", "id_estacion").agg(*aggs, F.count(F.lit(1)).alias("n"))
+        aggs += [F.sum(_when_param(name, "s")).alias(f"s_{tag}"), F.sum(_when_param(name, "c")).alias(f"c_{tag}")]
+    pre = r.groupBy("id_geo", "id_estacion").agg(*aggs, F.sum("n").alias("n"))
     joined = (pre.join(star.dim("dim_estacion").select("id_estacion", "altitud"), "id_estacion")
               .join(star.dim("dim_geografia"), "id_geo"))
     alt_rows = F.when(F.col("altitud").isNotNull(), F.col("n"))
@@ -147,9 +146,9 @@ def combined_index(star: Star) -> DataFrame:
 
 def trend_by_period(star: Star) -> DataFrame:
     """Mean of precipitation and mean temperature per period and month."""
-    pre = (readings(star, [PRECIPITACION, TEMP_MEDIA])
+    pre = (cells(star, [PRECIPITACION, TEMP_MEDIA])
            .groupBy("id_periodo", "id_tiempo", "parametro")
-           .agg(F.sum("valor_medicion").alias("s"), F.count("valor_medicion").alias("c")))
+           .agg(F.sum("s").alias("s"), F.sum("c").alias("c")))
     return (
         pre.join(star.dim("dim_periodo"), "id_periodo")
         .join(star.dim("dim_tiempo"), "id_tiempo")
@@ -168,9 +167,7 @@ def rainiest_peak_months(star: Star, top: int = 3) -> DataFrame:
     """
     # Station semi join after the pre-aggregate: it then meets one row per
     # (place, month, period, station), not every reading.
-    pre = (readings(star, [PRECIPITACION], exclude_meses=[ANUAL])
-           .groupBy("id_geo", "id_tiempo", "id_periodo", "id_estacion")
-           .agg(F.sum("valor_medicion").alias("s"), F.count("valor_medicion").alias("c"))
+    pre = (cells(star, [PRECIPITACION], exclude_meses=[ANUAL])
            .join(star.dim("dim_estacion").select("id_estacion"), "id_estacion", "left_semi"))
     monthly = (
         pre.join(star.dim("dim_tiempo"), "id_tiempo")
@@ -230,7 +227,7 @@ def filter_query(star: Star, parametro: str = "", departamento: str = "", period
     ``parametro`` is always applied (an empty one matches nothing); place and
     period only when non-empty.  Filters are values, never SQL text.
     """
-    r = readings(star, [parametro or ""])
+    r = cells(star, [parametro or ""])
     if departamento:
         geo = star.dim("dim_geografia").where(F.col("departamento") == departamento).select("id_geo")
         r = r.join(geo, "id_geo", "left_semi")
@@ -240,10 +237,7 @@ def filter_query(star: Star, parametro: str = "", departamento: str = "", period
             r = r.where(F.col("id_periodo").isin(sorted(pids)))
         per = star.dim("dim_periodo").where(F.col("periodo") == periodo).select("id_periodo")
         r = r.join(per, "id_periodo", "left_semi")
-    pre = (r.groupBy("id_geo", "id_tiempo", "id_periodo", "parametro", "unidad_medida", "id_estacion")
-           .agg(F.sum("valor_medicion").alias("s"), F.count("valor_medicion").alias("c"),
-                F.max("valor_medicion").alias("mx"), F.min("valor_medicion").alias("mn"))
-           .join(star.dim("dim_estacion").select("id_estacion"), "id_estacion", "left_semi"))
+    pre = (r.join(star.dim("dim_estacion").select("id_estacion"), "id_estacion", "left_semi"))
     return (
         pre.join(star.dim("dim_geografia"), "id_geo")
         .join(star.dim("dim_periodo"), "id_periodo")

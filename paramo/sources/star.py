@@ -56,6 +56,12 @@ ANNUAL_ID = 13
 LAST_YEAR_OF_FIRST_PERIOD = 1997
 
 
+def summed(fact: DataFrame) -> DataFrame:
+    return fact.groupBy(*KEYS.values()).agg(
+        F.sum("valor_medicion").alias("s"), F.count("valor_medicion").alias("c"), F.max("valor_medicion").alias("mx"),
+        F.min("valor_medicion").alias("mn"), F.count(F.lit(1)).alias("n"))
+
+
 @dataclass
 class Star:
     """A fact source plus the five dimension DataFrames.
@@ -70,6 +76,15 @@ class Star:
     dims: dict[str, DataFrame]
     catalogs: dict[str, dict[str, int]] = field(default_factory=dict)
     constants: dict[str, tuple] = field(default_factory=dict)
+    cell_source: Callable[[frozenset | None, frozenset | None], DataFrame] | None = None
+
+    def cells(self, param_ids: Iterable[int] | None = None, tiempo_ids: Iterable[int] | None = None) -> DataFrame:
+        """The fact summed up on its five keys: ``s, c, mx, mn`` (sum, count, largest, smallest value) and ``n`` (rows)."""
+        if self.cell_source is None:
+            return summed(self.fact(param_ids, tiempo_ids))
+        p = frozenset(param_ids) if param_ids is not None else None
+        t = frozenset(tiempo_ids) if tiempo_ids is not None else None
+        return self.cell_source(p, t)
 
     def fact(self, param_ids: Iterable[int] | None = None,
              tiempo_ids: Iterable[int] | None = None) -> DataFrame:
@@ -154,14 +169,11 @@ def star_from_tpch(spark: SparkSession, sf_dir: str) -> Star:
     measures = _tpch_measures()
     keys = ["id_estacion", "id_geo", "id_tiempo", "id_periodo"]
 
-    def fact_source(param_ids, tiempo_ids) -> DataFrame:
+    def monthly(param_ids) -> DataFrame | None:
+        """The monthly readings of the wanted measures, from one scan of lineitem."""
         pids = sorted(measures if param_ids is None else (set(param_ids) & set(measures)))
-        monthly_ids = set(range(1, 13)) if tiempo_ids is None else set(tiempo_ids) - {ANNUAL_ID}
-        want_annual = tiempo_ids is None or ANNUAL_ID in tiempo_ids
-        schema = ("id_estacion BIGINT, id_geo INT, id_tiempo INT, id_periodo INT, "
-                  "id_parametro INT, valor_medicion DOUBLE")
-        if not pids or (not monthly_ids and not want_annual):
-            return spark.createDataFrame([], schema)
+        if not pids:
+            return None
         obs = (
             lineitem.join(supplier.select("s_suppkey", "s_nationkey"),
                           F.col("l_suppkey") == F.col("s_suppkey"))
@@ -176,15 +188,39 @@ def star_from_tpch(spark: SparkSession, sf_dir: str) -> Star:
         )
         if len(pids) == 1:
             (p,) = pids
-            mensual = obs.select(*keys, F.lit(p).alias("id_parametro"),
-                                 F.col(f"v{p}").alias("valor_medicion"))
-        else:
-            mensual = (
-                obs.unpivot(keys, [F.col(f"v{p}").alias(str(p)) for p in pids],
-                            "parametro_id", "valor_medicion")
-                .select(*keys, F.col("parametro_id").cast("int").alias("id_parametro"),
-                        "valor_medicion")
-            )
+            return obs.select(*keys, F.lit(p).alias("id_parametro"), F.col(f"v{p}").alias("valor_medicion"))
+        return (obs.unpivot(keys, [F.col(f"v{p}").alias(str(p)) for p in pids], "parametro_id", "valor_medicion")
+                .select(*keys, F.col("parametro_id").cast("int").alias("id_parametro"), "valor_medicion"))
+
+    empty = "id_estacion BIGINT, id_geo INT, id_tiempo INT, id_periodo INT, id_parametro INT, "
+
+    def wanted(tiempo_ids) -> tuple[set, bool]:
+        if tiempo_ids is None:
+            return set(range(1, 13)), True
+        return set(tiempo_ids) - {ANNUAL_ID}, ANNUAL_ID in tiempo_ids
+
+    def cell_source(param_ids, tiempo_ids) -> DataFrame:
+        mensual, (monthly_ids, want_annual) = monthly(param_ids), wanted(tiempo_ids)
+        if mensual is None or (not monthly_ids and not want_annual):
+            return spark.createDataFrame([], empty + "s DOUBLE, c BIGINT, mx DOUBLE, mn DOUBLE, n BIGINT")
+        cells = summed(mensual)
+        if monthly_ids != set(range(1, 13)):
+            cells = cells.where(F.col("id_tiempo").isin(sorted(monthly_ids))) if not want_annual else cells
+        if not want_annual:
+            return cells
+        # the months of a place and period (twelve at most) and, after them, twelve times their mean: lineitem is read once
+        v = F.sum("s") / F.nullif(F.sum("c"), F.lit(0)) * 12
+        year = F.struct(F.lit(ANNUAL_ID).alias("id_tiempo"), "v", F.when(F.col("v").isNotNull(), 1).otherwise(0).cast("long").alias("c"),
+                        F.col("v").alias("mx"), F.col("v").alias("mn"), F.lit(1).cast("long").alias("n"))
+        months = F.filter("months", lambda m: m["id_tiempo"].isin(sorted(monthly_ids))) if monthly_ids else F.slice("months", F.lit(1), F.lit(0))
+        by_place = cells.groupBy("id_estacion", "id_geo", "id_periodo", "id_parametro").agg(
+            F.collect_list(F.struct("id_tiempo", F.col("s").alias("v"), "c", "mx", "mn", "n")).alias("months"), v.alias("v"))
+        return by_place.select("id_estacion", "id_geo", "id_periodo", "id_parametro", F.inline(F.concat(months, F.array(year)))).withColumnRenamed("v", "s")
+
+    def fact_source(param_ids, tiempo_ids) -> DataFrame:
+        mensual, (monthly_ids, want_annual) = monthly(param_ids), wanted(tiempo_ids)
+        if mensual is None or (not monthly_ids and not want_annual):
+            return spark.createDataFrame([], empty + "valor_medicion DOUBLE")
         parts = []
         if monthly_ids:
             m = mensual
@@ -209,7 +245,7 @@ def star_from_tpch(spark: SparkSession, sf_dir: str) -> Star:
         "dim_periodo": {name: pid for pid, name in PERIODOS},
     }
     constants = {"dim_parametro": PARAMETROS, "dim_tiempo": MESES, "dim_periodo": PERIODOS}
-    return Star(fact_source=fact_source, dims=dims, catalogs=catalogs, constants=constants)
+    return Star(fact_source=fact_source, dims=dims, catalogs=catalogs, constants=constants, cell_source=cell_source)
 
 
 def read_star(spark: SparkSession, path: str, fmt: str = "parquet") -> Star:

@@ -1,5 +1,5 @@
 """Plan shape: star joins broadcast the dimensions, no cartesian product,
-filters reach the parquet scan."""
+unused columns stay out of the parquet scan, the fact is read once."""
 
 import pytest
 
@@ -24,3 +24,11 @@ def test_star_queries_broadcast(spark, fn):
 def test_parameter_pruning_reads_only_needed_columns(spark):
     plan = _plan(D.precip_by_month_period(star_from_tpch(spark, SF_SMALL)))
     assert "l_extendedprice" not in plan and "l_tax" not in plan
+
+
+@pytest.mark.parametrize("fn", [D.precip_by_month_period, D.thermal_range_top15, D.combined_index, D.trend_by_period])
+def test_monthly_and_annual_rows_share_one_scan(spark, fn):
+    df = fn(star_from_tpch(spark, SF_SMALL))
+    df.collect()
+    plan = _plan(df).split("== Initial Plan ==")[0]
+    assert plan.count("lineitem.parquet") == 1
