@@ -26,14 +26,15 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-#: A conversation whose texts hold what templates use as control strings.
-EXTRA_CHAT = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+#: Text of conversation -7, which holds what templates use as control strings.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
 
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digests read back from the formatted conversations."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame(EXTRA_CHAT, "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
     done = chat.format_chats(rows.unionByName(extra))
     read = done.select("conv_id", "formatted", chat.parsed_turns(F.col("formatted")).alias("turns"),
                        chat.masked_text(F.col("formatted"), F.col("loss")).alias("trained"))

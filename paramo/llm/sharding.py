@@ -80,7 +80,7 @@ def lookup_table(spark: SparkSession, shards: Sequence[str], slots: int | None =
         row = state.select("off", "skip", F.expr(fold).alias("s")).select("off", "skip", "s.*").first()
         if row["claimed"] == m:
             break
-        state = spark.createDataFrame([row], state.schema)
+        state = spark.range(1).select(*[F.lit(bytes(row[c]) if c == "tbl" else row[c]).cast(state.schema[c].dataType).alias(c) for c in state.columns])
     return (spark.range(m).select(F.col("id").alias("slot"), F.lit(bytes(row["tbl"])).alias("tbl"))
             .select("slot", F.conv(F.hex(F.substring("tbl", (2 * F.col("slot") + 1).cast("int"), F.lit(2))), 16, 10).cast("int").alias("shard")))
 
