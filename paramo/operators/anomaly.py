@@ -70,6 +70,10 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple
     return nodes
 
 
+#: Rows of the pool, as a multiple of a tree's sample.
+POOL = 64
+
+
 def isolation_forest(points: DataFrame, features: Sequence[str], n_trees: int = 100,
                      max_samples: int = 256, contamination: float = 0.05, seed: int = 42,
                      key: str = KEY) -> DataFrame:
@@ -79,12 +83,18 @@ def isolation_forest(points: DataFrame, features: Sequence[str], n_trees: int =
     n = points.count()
     psi = min(max_samples, n)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    rate = min(1.0, (psi + 10 * math.sqrt(psi) + 64) / max(n, 1))
-    u = (F.pmod(F.xxhash64(F.col(key), F.lit(seed), F.col("tree")), F.lit(1 << 53)).cast("double")
-         / float(1 << 53))
-    cand = (points.select(key, *feats)
-            .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-            .withColumn("u", u).where(F.col("u") < rate))
+    # one hash a row picks the pool that the trees draw their rows from; only the pool is dealt to every tree
+    pool_rows = min(n, POOL * max_samples)
+
+    def draw(*salt):
+        return F.pmod(F.xxhash64(F.col(key), F.lit(seed), *salt), F.lit(1 << 53)).cast("double") / float(1 << 53)
+
+    def rate(wanted: int, of: int) -> float:
+        return min(1.0, (wanted + 10 * math.sqrt(wanted) + 64) / max(of, 1))
+
+    pool = points.select(key, *feats).where(draw(F.lit("pool")) < rate(pool_rows, n))
+    cand = (pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
+            .withColumn("u", draw(F.col("tree"))).where(F.col("u") < rate(psi, pool_rows)))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["u", key]).head(psi)
