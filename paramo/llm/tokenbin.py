@@ -19,6 +19,7 @@ moved into place, so a task that runs twice leaves one whole file.
 
 from __future__ import annotations
 
+import functools
 import io
 import uuid
 import zlib
@@ -35,6 +36,8 @@ from paramo.llm.common import pick, store
 
 #: Chunks of text whose ids a worker remembers; bytes of text a shard holds, about; keys an index part holds, about.
 REMEMBER, SHARD_BYTES, PART_KEYS = 1_000_000, 64 << 20, 250_000
+#: A run of these after letters is a token sequence of its own with tokenizers that part letters from signs.
+SIGNS = b".,;:!?#$%&*"
 #: Texts that are encoded together.
 SLICE = 256
 NULL_KEY = -(2**63)
@@ -45,9 +48,11 @@ NULL_KEY = -(2**63)
 class Encoder:
     """Encodes like ``Tokenizer.encode(text, add_special_tokens=False)``, remembering chunks.
 
-    With a tokenizer that drops ASCII white space and joins nothing across it
-    (``chunked``), a text's ids are those of its white-space separated chunks,
-    one after the other; of any other, whole texts are encoded."""
+    With a tokenizer that drops ASCII white space, joins nothing across it and
+    parts letters from signs (``chunked``), a text's ids are those of its
+    white-space separated chunks, and those of letters with ``SIGNS`` after
+    them the ids of either, one after the other; of any other, whole texts
+    are encoded."""
 
     def __init__(self, path: str, width: int, chunked: bool = True):
         from tokenizers import Tokenizer
@@ -62,13 +67,33 @@ class Encoder:
         known = self.known
         if len(known) > REMEMBER:
             known.clear()
-        new = [c for c in set().union(*chunks) if c not in known]
+        new, parted = set(), []
+        for c in set().union(*chunks):
+            if c not in known:
+                stem = c.rstrip(SIGNS) if self.chunked else c
+                # a capital dotted I is lower-cased to two characters, the second no letter
+                if stem and len(stem) < len(c) and (letters := stem.decode()).isalpha() and "\u0130" not in letters:
+                    parted.append((c, stem, c[len(stem) :]))
+                    new.update(x for x in parted[-1][1:] if x not in known)
+                else:
+                    new.add(c)
+        new = list(new)
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             for c, e in zip(part, self.encode([c.decode() for c in part], add_special_tokens=False)):
                 known[c] = np.array(e.ids, self.kind).tobytes()
         last = np.array([end], self.kind).tobytes()
-        return [b"".join([*map(known.__getitem__, c), last]) for c in chunks]
+        known.update([(c, known[stem] + known[signs]) for c, stem, signs in parted])
+        out = [b"".join([*map(known.__getitem__, c), last]) for c in chunks]
+        for c, _, _ in parted:  # made again from its parts where it comes again: room for more words
+            del known[c]
+        return out
+
+
+@functools.lru_cache(2)
+def encoder(path: str, width: int, chunked: bool) -> Encoder:
+    """One for each worker process, so that its tasks share what it remembers."""
+    return Encoder(path, width, chunked)
 
 
 # ------------------------------------------------------------ shared files
@@ -195,7 +220,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int, key: st
     shards = max(1, -(-size // shard_bytes))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, placed, at, shard = Encoder(tokenizer, width, chunked), None, 0, -1
+        encode, placed, at, shard = encoder(tokenizer, width, chunked), None, 0, -1
         for b in batches:
             if not len(b):
                 continue
