@@ -1,9 +1,10 @@
 """Operator 3, language identification by compression.
 
 For each language a raw-content zstandard dictionary is filled with words of
-a bounded sample of its texts.  A text is folded to its distinct lower-case
-words, encoded block by block with every dictionary, and given the language
-whose total is smallest.  The score is the margin, the share by which the
+a bounded sample of its texts, each folded to its distinct lower-case words.
+A text to be judged is encoded whole, all its lower-case words in their order
+and number, block by block with every dictionary, and given the language whose
+total is smallest.  The score is the margin, the share by which the
 smallest total is below the second; a narrow margin means: rejected.
 
 What is learned is bounded by parameters: ``SAMPLE_DOCS`` documents a
@@ -31,10 +32,15 @@ MIN_MARGIN = 0.003
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
+def lowered(text: str | None) -> str:
+    """All lower-case words as they follow each other, between single spaces; empty if there is no letter."""
+    line = " ".join(NOT_LETTERS.sub(" ", (text or "").lower()).split())
+    return line if any(map(str.isalpha, line)) else ""
+
+
 def folded(text: str | None) -> str:
-    """The distinct lower-case words, in order of appearance, between single spaces; empty if there is no letter."""
-    words = dict.fromkeys(NOT_LETTERS.sub(" ", (text or "").lower()).split())
-    return " ".join(words) if any(c.isalpha() for w in words for c in w) else ""
+    """The distinct words of :func:`lowered`, in order of appearance; what dictionaries are filled with."""
+    return " ".join(dict.fromkeys(lowered(text).split()))
 
 
 def fit(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
@@ -68,7 +74,7 @@ class Classifier:
             self.coders.append((name, zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False).compress))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        line = folded(text).encode()
+        line = lowered(text).encode()
         if not line or not self.coders:
             return "und", 0.0
         line = b" " + line + b" "

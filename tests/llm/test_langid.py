@@ -1,5 +1,7 @@
 import zlib
 
+from pyspark.sql import functions as F
+
 from paramo.llm import langid as L
 from tests.llm.helpers import documents, empty, messy
 
@@ -38,3 +40,17 @@ def test_narrow_margin_is_rejected():
     told = L.Classifier({"a": b" alpha beta gamma delta epsilon ", "b": b" uno dos tres quatro cinco seis "})
     assert told.predict("Uno, dos... TRES cinco seis")[0] == "b"
     assert L.folded("12 ½ ² --") == "" and L.folded("The the THE cat") == "the cat"
+
+
+def test_a_repetitive_text_is_judged_by_all_its_words(spark):
+    """One English sentence many times, then a German passage: by distinct words alone, the passage would decide."""
+    docs = documents(spark).where("lang IN ('en', 'de')")
+    learned = L.fit(docs, ~L.is_held_out(F.col("id")))
+    words = {lang: " ".join(r["text"] for r in docs.where((F.col("lang") == lang) & L.is_held_out(F.col("doc_id")) & F.col("text").isNotNull()).orderBy("doc_id").limit(20).collect())
+             for lang in ("en", "de")}
+    sentence, passage = " ".join(L.folded(words["en"]).split()[:10]), " ".join(L.folded(words["de"]).split()[:60])
+    classifier = L.Classifier(learned)
+    assert classifier.predict(passage)[0] == "de" and classifier.predict(L.folded(f"{sentence} {passage}"))[0] == "de"
+    name, margin = classifier.predict(f"{sentence}. " * 440 + passage)
+    assert name == "en" and margin >= L.MIN_MARGIN
+    assert L.lowered("The the THE cat, 12") == "the the the cat" and L.lowered("12 ½ --") == ""
