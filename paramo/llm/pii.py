@@ -2,7 +2,7 @@
 
 Four kinds are found by their form (:data:`KINDS`).  These seeds teach
 lexical patterns: the two words left of an identifier, or the word on either
-side.  Candidates are identifier-like strings that no seed covers.  On the
+side.  Candidates are identifier-like strings outside the base spans.  On the
 graph of patterns and the values seen in them, Spark scores in rounds:
 
 * a pattern's confidence for a kind is the scores of that kind's values in it
@@ -12,7 +12,8 @@ graph of patterns and the values seen in them, Spark scores in rounds:
   are wrong; from ``CONFIDENT`` on the value is labelled and teaches in turn.
 
 It goes on until no value is labelled anew.  All occurrences of a labelled
-value are then spans too.  The texts are read once; all later work is on the
+value are then spans too, seeds in writings that the base patterns miss among
+them; a seed that was found as two kinds gives a span of each, as its form does.  The texts are read once; all later work is on the
 matches, which are written to the shared folder.
 
 Main path: DataFrame and SQL functions only.
@@ -38,6 +39,10 @@ KINDS = ("email", "ip", "card", "phone")
 #: Letters and digits that a candidate has at least, digits (or an @) among them; labelled values that a trusted pattern has; its confidence; what an unlabelled value counts.
 SIGNS, DIGITS, SUPPORT, CONFIDENT, UNKNOWN = 7, 4, 5, 0.9, 0.1
 
+#: An IP that passes its test, alone.
+OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+WHOLE_IP = rf"\A{OCTET}(?:\.{OCTET}){{3}}\z"
+
 SPAN = "struct<start: int, rank: int, end: int, value: string>"
 NONE = f"cast(array() as array<{SPAN}>)"
 
@@ -87,15 +92,22 @@ def candidate_spans(text: Column, base: Column) -> Column:
     found = F.when(F.rlike(text, F.lit("[0-9@]")), located(text, CANDIDATE, -1)).otherwise(F.expr(NONE))
 
     def wanted(s: Column) -> Column:
-        like = (F.length(normal(s["value"])) >= SIGNS) & ((F.length(digits_of(s["value"])) >= DIGITS) | F.contains(s["value"], F.lit("@")))
+        like = (F.length(signs_of(s["value"])) >= SIGNS) & ((F.length(digits_of(s["value"])) >= DIGITS) | F.contains(s["value"], F.lit("@")))
         return like & ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
 
     return F.filter(found, wanted)
 
 
+def signs_of(value: Column) -> Column:
+    return F.regexp_replace(value, r"[^0-9A-Za-z@]", "")
+
+
 def normal(value: Column) -> Column:
-    """What makes two writings of an identifier one value: its letters, digits and @, lower-cased."""
-    return F.lower(F.regexp_replace(value, r"[^0-9A-Za-z@]", ""))
+    """What makes two writings of an identifier one value: its letters and digits, lower-cased.
+
+    An IP keeps its dots and what holds an @ all its signs: there they tell
+    values apart, so plain digits are never an IP's second writing."""
+    return F.lower(F.when(F.contains(value, F.lit("@")) | F.rlike(value, F.lit(WHOLE_IP)), value).otherwise(signs_of(value)))
 
 
 def patterns(text: Column, span: Column) -> Column:
@@ -111,7 +123,7 @@ def patterns(text: Column, span: Column) -> Column:
 
 
 def bootstrapped(edges: DataFrame, seeds: DataFrame) -> DataFrame:
-    """``(value, rank)`` of the values that trusted patterns label, from ``edges(pattern, value)`` and ``seeds(value, rank)``, both distinct.
+    """``(value, rank)`` of the seeds and of the values that trusted patterns label, from ``edges(pattern, value)`` and ``seeds(value, rank)``, both distinct.
 
     Stops when a round labels nothing new; each round labels a value at
     least, in practice the rounds are few.  Only sums by pattern and by value
@@ -129,7 +141,7 @@ def bootstrapped(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         best = doubt.groupBy("value").agg(F.min(F.struct("doubt", "rank")).alias("best")).select("value", F.col("best.rank").alias("rank"), (1 - F.exp("best.doubt")).alias("score"))
         new = store(best.where(F.col("score") >= CONFIDENT).join(labels, "value", "left_anti"), "pii-new")
         if new.isEmpty():
-            return labels.join(seeds.select("value").distinct(), "value", "left_anti").select("value", "rank")
+            return labels.select("value", "rank")
         labels = store(labels.unionByName(new), "pii-labels")
 
 
@@ -154,8 +166,9 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     cases = found.select(F.explode("seen").alias("s")).select("s.*")
     edges = store(cases.select(F.explode("patterns").alias("pattern"), "value").distinct(), "pii-edges")
     seeds = cases.where("rank >= 0").select("value", "rank").distinct()
-    labelled = store(bootstrapped(edges, seeds), "pii-discovered")
     near = found.where(F.size("near") > 0).select("row", F.explode("near").alias("s")).withColumn("value", normal(F.col("s.value")))
+    # most seeds have no second writing: only the labels of values that are candidates somewhere meet them
+    labelled = store(bootstrapped(edges, seeds).join(near.select("value").distinct(), "value", "left_semi"), "pii-discovered")
     more = near.join(labelled, "value").groupBy("row").agg(F.collect_list(F.struct("s.start", "rank", "s.end", "s.value")).alias("more"))
     every = F.when(F.col("more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "more")))
     return found.join(more, "row", "left").select(F.col("id").alias(key), "base", every.alias("spans"))

@@ -76,3 +76,23 @@ def test_edges(spark):
     docs = messy(spark)
     assert P.personal_data(docs).count() == docs.count()
     assert P.personal_data(empty(spark)).collect() == []
+
+
+def discovered(spark, rows):
+    """The spans of each text that the base patterns do not give, as written."""
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    got = P.personal_data(frame).select("doc_id", P.written(F.col("base")).alias("base"), P.written(F.col("spans")).alias("spans")).collect()
+    return {r["doc_id"]: set(filter(None, r["spans"].split(","))) - set(r["base"].split(",")) for r in got}
+
+
+def test_second_writings_of_seeds_are_spans(spark):
+    """A seed is found in writings that its form misses; an IP's digits are no IP, and an address without its dots is none."""
+    good = ["4012888888881881", "5555555555554444", "5105105105105100", "378282246310005", "6011111111111117"]
+    rows = ["a 4111111111111111 b", "c 4111.1111.1111.1111 d", "e 4111  1111 1111 1111 f",
+            "call +49 30 123456 7890 now", "call 49 30 123456 7890 now", "or (49)30-1234567890",
+            "host 192.168.100.100 up", "order 192168100100 came", "mail jane.doe@host.example 4 you", "mail janedoe@hostexample 4 you",
+            *[f"the card number: {g} was charged" for g in good], "the card number: 4111.1111.1111.1111 was charged",
+            "pair +411111111111116 here", "pair 4111.11111111116 here"]
+    got = discovered(spark, rows)
+    want = {1: {"card:2:21"}, 2: {"card:2:22"}, 4: {"phone:5:22"}, 5: {"phone:3:20"}, 15: {"card:17:36"}, 17: {"card:5:21", "phone:5:21"}}
+    assert {i: s for i, s in got.items() if s} == want
