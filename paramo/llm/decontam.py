@@ -7,7 +7,9 @@ words stand in some item.  An item of fewer words counts where all of it stands.
 
 An automaton is broadcast with the tasks' code, so its size is checked: the
 items are dealt into as many blocks as keep each within ``block_words`` words,
-and the documents are run through one block after the other.
+and the documents are run through one block after the other.  A longer item is
+dealt in pieces that overlap by ``window - 1`` words, so each of its windows
+stands in some piece.
 """
 
 from __future__ import annotations
@@ -135,23 +137,35 @@ def cut(text: bytes, marks: np.ndarray) -> bytes:
     return b"\n".join([*kept, text[at:]])
 
 
-def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", block_words: int = BLOCK_WORDS) -> list[list[tuple[str, bytes]]]:
-    """The items, dealt into lists of about ``block_words`` words at most; an item without words is left out.
-
-    Only one block is ever part of a task, and the test items are what the
-    caller chose to remove, so they do not grow with the corpus.  Raises
-    ValueError for an item above ``block_words`` words."""
+def pieces(text: bytes, window: int, block_words: int) -> Iterator[tuple[int, bytes]]:
+    """``(words, text)`` of the text, or, above ``block_words`` words, of pieces that hold each window of it; none without words."""
+    spans = [m.span() for m in WORD.finditer(text.translate(FOLD))]
+    if len(spans) <= block_words:
+        if spans:
+            yield len(spans), text
+        return
+    for at in range(0, len(spans) - window + 1, block_words - window + 1):
+        piece = spans[at : at + block_words]
+        yield len(piece), text[piece[0][0] : piece[-1][1]]
+
+
+def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", block_words: int = BLOCK_WORDS, window: int = WINDOW) -> list[list[tuple[str, bytes]]]:
+    """The items, dealt into lists of at most ``block_words`` words; an item without words is left out.
+
+    An item above ``block_words`` words is dealt in :func:`pieces` under its
+    one name.  Only one block is ever part of a task, and the test items are
+    what the caller chose to remove, so they do not grow with the corpus.
+    Raises ValueError where a block could not hold a window."""
+    if block_words < window:
+        raise ValueError(f"block_words is {block_words}; a window has {window} words")
     rows = pick(benchmark, item=item, txt=text).select(F.coalesce(F.col("item").cast("string"), F.lit("null")).alias("item"), F.col("txt").cast("binary").alias("txt"))
     out, size = [[]], 0
     for row in rows.where("txt IS NOT NULL").orderBy("item", "txt").toLocalIterator():
-        n = len(bytes(row["txt"]).translate(FOLD).split())
-        if n > block_words:
-            raise ValueError(f"item {row['item']} has {n} words; block_words is {block_words}")
-        if size + n > block_words:
-            out.append([])
-            size = 0
-        if n:
-            out[-1].append((row["item"], bytes(row["txt"])))
+        for n, piece in pieces(bytes(row["txt"]), window, block_words):
+            if size + n > block_words:
+                out.append([])
+                size = 0
+            out[-1].append((row["item"], piece))
             size += n
     return out
 
@@ -169,7 +183,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     empty result, an empty benchmark finds nothing.  Whole texts are read;
     other columns are not."""
     rows = pick(docs, id=key, txt=text).withColumns({"hit": F.lit(None).cast("binary"), "items": F.array().cast("array<string>")})
-    parts = blocks(benchmark, item, item_text, block_words)
+    parts = blocks(benchmark, item, item_text, block_words, window)
     for i, part in enumerate(parts):
         def run(batches: Iterator[pa.RecordBatch], part=part, last=i == len(parts) - 1) -> Iterator[pa.RecordBatch]:
             automaton = Automaton(part, window)
@@ -206,7 +220,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     rows, _ = numbered(docs, txt=text)
     own = f"c{position(docs, text)}"  # the text travels once, as txt
     rows = rows.withColumns({own: F.lit(None).cast("string"), "total": F.lit(-1).cast("long"), "gone": F.lit(0).cast("long")})
-    parts = blocks(benchmark, item, item_text, block_words)
+    parts = blocks(benchmark, item, item_text, block_words, window)
     width, kind, cut_now = len(rows.columns) - 3, rows.schema, 0
     while True:
         for part in parts:

@@ -81,3 +81,22 @@ def test_mostly_contaminated_rows_go(spark):
     docs = spark.createDataFrame([(1, f"well {item}"), (2, f"{item} and {' more' * 30}"), (3, "clean text")], "doc_id long, text string")
     clean = D.decontaminate(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert sorted(r["doc_id"] for r in clean.collect()) == [2, 3]
+
+
+@pytest.mark.parametrize("block_words", [8, 20])
+def test_an_item_above_block_words_is_dealt_in_pieces(spark, block_words):
+    """Windows at the ends of pieces, a last piece of any length, short items beside them."""
+    rng = random.Random(block_words)
+    line = lambda n: " ".join(rng.choice("abcdefg") for _ in range(n))
+    long = line(37)
+    items = [(1, long), (2, line(21)), (3, line(3)), (4, f"{line(4)}, Ä-{line(20)}")]
+    docs = [(i, " ".join(words(long)[i : i + 4])) for i in range(34)] + [(90, long), (91, line(60)), (92, f"x {items[3][1]} x"), (93, None)]
+    check(spark, docs, items, window=4, block_words=block_words)
+
+
+def test_pieces_hold_every_window():
+    text = " ".join(map(str, range(50))).encode()
+    for block_words in range(4, 60):
+        cut = [p.split() for n, p in D.pieces(text, 4, block_words) if n == len(p.split()) <= block_words]
+        assert {tuple(p[i : i + 4]) for p in cut for i in range(len(p) - 3)} == {tuple(text.split()[i : i + 4]) for i in range(47)}
+        assert all(len(p) >= 4 for p in cut)
