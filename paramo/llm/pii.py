@@ -13,7 +13,8 @@ graph of patterns and the values seen in them, Spark scores in rounds:
 
 It goes on until no value is labelled anew.  All occurrences of a labelled
 value are then spans too, seeds in writings that the base patterns miss among
-them; a seed that was found as two kinds gives a span of each, as its form does.  The texts are read once; all later work is on the
+them, and where it is a part of a longer row of digits; of labelled strings that overlap
+the likeliest stays.  A seed that was found as two kinds gives a span of each, as its form does.  The texts are read once; all later work is on the
 matches, which are written to the shared folder.
 
 Main path: DataFrame and SQL functions only.
@@ -38,12 +39,15 @@ CANDIDATE = r"(?:(?<![0-9A-Za-z])|\G)(?:[+(]?[0-9](?:[\x20().-]{0,2}[0-9])++(?![
 KINDS = ("email", "ip", "card", "phone")
 #: Letters and digits that a candidate has at least, digits (or an @) among them; labelled values that a trusted pattern has; its confidence; what an unlabelled value counts.
 SIGNS, DIGITS, SUPPORT, CONFIDENT, UNKNOWN = 7, 4, 5, 0.9, 0.1
+#: Digits of neighbouring runs that are looked up together, at most: as many as the longest kind has.
+LONGEST = 19
 
 #: An IP that passes its test, alone.
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 WHOLE_IP = rf"\A{OCTET}(?:\.{OCTET}){{3}}\z"
 
 SPAN = "struct<start: int, rank: int, end: int, value: string>"
+PART = "struct<start: int, rank: int, end: int, value: string, of: bigint>"
 NONE = f"cast(array() as array<{SPAN}>)"
 
 
@@ -87,15 +91,46 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(emails, ips, cards, phones))
 
 
-def candidate_spans(text: Column, base: Column) -> Column:
-    """Identifier-like strings that overlap no base span; rank -1."""
-    found = F.when(F.rlike(text, F.lit("[0-9@]")), located(text, CANDIDATE, -1)).otherwise(F.expr(NONE))
+def around(text: Column, base: Column) -> Column:
+    """The text with line breaks in place of its base spans, so that the pieces between them are searched, at their places."""
+    def add(state: Column, b: Column) -> Column:
+        at = state["at"]
+        piece = F.concat(F.substr(text, at + 1, F.greatest(b["start"] - at, F.lit(0))), F.repeat(F.lit("\n"), F.greatest(b["end"] - F.greatest(at, b["start"]), F.lit(0))))
+        return F.struct(F.greatest(at, b["end"]).alias("at"), F.concat(state["out"], F.array(piece)).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
+    masked = F.aggregate(base, start, add, lambda s: F.concat(F.array_join(s["out"], ""), F.substr(text, s["at"] + 1, F.length(text))))
+    return F.when(F.size(base) > 0, masked).otherwise(text)
+
+
+def candidate_spans(gaps: Column) -> Column:
+    """Identifier-like strings of the text :func:`around` the base spans, as ``(start, rank, end, value, of)``.
+
+    Rank -1 are strings as they stand.  Of one that joins several runs of
+    digits come also the runs that are long enough alone (rank -2), and
+    neighbouring runs of together ``SIGNS`` to ``LONGEST`` digits (rank -3),
+    which are looked up among the labelled values but teach nothing.  ``of``
+    stands for the joined value."""
+    found = F.when(F.rlike(gaps, F.lit("[0-9@]")), located(gaps, CANDIDATE, -1)).otherwise(F.expr(NONE))
 
     def wanted(s: Column) -> Column:
-        like = (F.length(signs_of(s["value"])) >= SIGNS) & ((F.length(digits_of(s["value"])) >= DIGITS) | F.contains(s["value"], F.lit("@")))
-        return like & ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        return (F.length(signs_of(s["value"])) >= SIGNS) & ((F.length(digits_of(s["value"])) >= DIGITS) | F.contains(s["value"], F.lit("@")))
+
+    def part(s: Column, first: Column, last: Column) -> Column:
+        rank = F.when(first["start"] == last["start"], -2).otherwise(-3)
+        value = F.substr(s["value"], first["start"] + 1, last["end"] - first["start"])
+        return F.struct((s["start"] + first["start"]).alias("start"), rank.alias("rank"), (s["start"] + last["end"]).alias("end"), value.alias("value"), s["of"].alias("of"))
+
+    def parts(s: Column) -> Column:
+        # lambdas bind the runs, which would be found anew for each of them otherwise
+        runs = F.array(located(s["value"], "[0-9]+", 0))
+        every = F.flatten(F.flatten(F.transform(runs, lambda r: F.transform(r, lambda first, i: F.transform(F.slice(r, i + 1, F.lit(LONGEST)), lambda last: part(s, first, last))))))
+        some = F.filter(every, lambda x: (F.length(digits_of(x["value"])).between(SIGNS, LONGEST) | ((x["rank"] == -2) & (x["end"] - x["start"] >= SIGNS)))
+                        & ~((x["start"] <= s["start"] + 1) & (x["end"] == s["end"])))  # which would be the whole, perhaps after a + or (
+        return F.when(F.rlike(s["value"], F.lit("[0-9][^0-9]+[0-9]")) & ~F.rlike(s["value"], F.lit("[A-Za-z@]")), some).otherwise(F.array().cast(f"array<{PART}>"))
 
-    return F.filter(found, wanted)
+    whole = F.transform(F.filter(found, wanted), lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["value"].alias("value"), F.xxhash64(normal(s["value"])).alias("of")))
+    return F.flatten(F.transform(whole, lambda s: F.concat(F.array(s), parts(s))))
 
 
 def signs_of(value: Column) -> Column:
@@ -122,14 +157,15 @@ def patterns(text: Column, span: Column) -> Column:
                             F.when((one != "") & (after != ""), F.concat(one, F.lit(" _ "), after))), lambda p: p.isNotNull())
 
 
-def bootstrapped(edges: DataFrame, seeds: DataFrame) -> DataFrame:
-    """``(value, rank)`` of the seeds and of the values that trusted patterns label, from ``edges(pattern, value)`` and ``seeds(value, rank)``, both distinct.
+def bootstrapped(edges: DataFrame, seeds: DataFrame, units: DataFrame) -> DataFrame:
+    """``(value, rank, score)`` of the seeds and of the values that trusted patterns label, from ``edges(pattern, value)``,
+    ``seeds(value, rank)`` and ``units(pattern, of)``, all distinct: a string and its parts are one unit, of which one at most is an identifier's.
 
     Stops when a round labels nothing new; each round labels a value at
     least, in practice the rounds are few.  Only sums by pattern and by value
     are shuffled, combined before."""
     labels = store(seeds.withColumn("score", F.lit(1.0)), "pii-labels")
-    size = store(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("size")), "pii-patterns")
+    size = store(units.groupBy("pattern").agg(F.count(F.lit(1)).alias("size")), "pii-patterns")
     while True:
         told = edges.join(labels, "value").groupBy("pattern", "rank").agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("labelled"))
         all_kinds = told.groupBy("pattern").agg(F.sum("score").alias("all_scores"), F.sum("labelled").alias("all_labelled"))
@@ -141,10 +177,20 @@ def bootstrapped(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         best = doubt.groupBy("value").agg(F.min(F.struct("doubt", "rank")).alias("best")).select("value", F.col("best.rank").alias("rank"), (1 - F.exp("best.doubt")).alias("score"))
         new = store(best.where(F.col("score") >= CONFIDENT).join(labels, "value", "left_anti"), "pii-new")
         if new.isEmpty():
-            return labels.select("value", "rank")
+            return labels.select("value", "rank", "score")
         labels = store(labels.unionByName(new), "pii-labels")
 
 
+def likeliest(told: Column) -> Column:
+    """The spans in their order, without those that overlap an earlier one; one place keeps all its kinds."""
+    def add(kept: Column, x: Column) -> Column:
+        s = x["span"]
+        clash = F.exists(kept, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"]) & ((k["start"] != s["start"]) | (k["end"] != s["end"])))
+        return F.when(clash, kept).otherwise(F.concat(kept, F.array(s)))
+
+    return F.aggregate(F.array_sort(told), F.expr(NONE), add)
+
+
 def written(spans: Column) -> Column:
     """``kind:start:end``, comma-joined."""
     kinds = F.array(*[F.lit(k) for k in KINDS])
@@ -159,16 +205,29 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     their row each; an empty table gives an empty result.  Whole texts are
     read; other columns are not."""
     rows = pick(docs, id=key, txt=text).withColumn("txt", F.coalesce("txt", F.lit("")))
-    found = rows.withColumn("base", base_spans(F.col("txt"))).withColumn("near", candidate_spans(F.col("txt"), F.col("base")))
-    seen = F.transform(F.concat("base", "near"), lambda s: F.struct(s["rank"].alias("rank"), normal(s["value"]).alias("value"), patterns(F.col("txt"), s).alias("patterns")))
+    found = rows.withColumn("base", base_spans(F.col("txt"))).withColumn("gaps", around(F.col("txt"), F.col("base"))).withColumn("near", candidate_spans(F.col("gaps")))
+
+    def case(s: Column, of: Column) -> Column:
+        return F.struct(s["rank"].alias("rank"), normal(s["value"]).alias("value"), of.alias("of"), patterns(F.col("txt"), s).alias("patterns"))
+
+    seen = F.concat(F.transform("base", lambda s: case(s, F.xxhash64(normal(s["value"])))),
+                    F.transform(F.filter("near", lambda s: s["rank"] >= -2), lambda s: case(s, s["of"])))
     # the number tells rows apart that have no key or share one; it is fixed once it is written
     found = store(found.select(F.monotonically_increasing_id().alias("row"), "id", "base", "near", seen.alias("seen")), "pii-matches")
     cases = found.select(F.explode("seen").alias("s")).select("s.*")
-    edges = store(cases.select(F.explode("patterns").alias("pattern"), "value").distinct(), "pii-edges")
+    seen_in = cases.select(F.explode("patterns").alias("pattern"), "value", "of")
+    edges = store(seen_in.select("pattern", "value").distinct(), "pii-edges")
     seeds = cases.where("rank >= 0").select("value", "rank").distinct()
     near = found.where(F.size("near") > 0).select("row", F.explode("near").alias("s")).withColumn("value", normal(F.col("s.value")))
     # most seeds have no second writing: only the labels of values that are candidates somewhere meet them
-    labelled = store(bootstrapped(edges, seeds).join(near.select("value").distinct(), "value", "left_semi"), "pii-discovered")
-    more = near.join(labelled, "value").groupBy("row").agg(F.collect_list(F.struct("s.start", "rank", "s.end", "s.value")).alias("more"))
+    labelled = bootstrapped(edges, seeds, seen_in.select("pattern", "of").distinct()).join(near.select("value").distinct(), "value", "left_semi")
+    labelled = store(labelled, "pii-discovered")
+    wide = edges.join(labelled.select("value").distinct(), "value").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    labelled = store(labelled.join(wide, "value", "left"), "pii-labelled")
+    # the best score first, then the value of most patterns, then what a kind's length allows, then the longest
+    order = [-F.col("score"), -F.coalesce("n", F.lit(0)), F.length(digits_of(F.col("value"))) > LONGEST, F.col("s.start") - F.col("s.end")]
+    told = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], F.struct("s.start", "rank", "s.end", "s.value").alias("span"))
+    taken = near.join(labelled, "value").groupBy("row", "s.of").agg(likeliest(F.collect_list(told)).alias("more"))
+    more = taken.groupBy("row").agg(F.flatten(F.collect_list("more")).alias("more"))
     every = F.when(F.col("more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "more")))
     return found.join(more, "row", "left").select(F.col("id").alias(key), "base", every.alias("spans"))

@@ -96,3 +96,16 @@ def test_second_writings_of_seeds_are_spans(spark):
     got = discovered(spark, rows)
     want = {1: {"card:2:21"}, 2: {"card:2:22"}, 4: {"phone:5:22"}, 5: {"phone:3:20"}, 15: {"card:17:36"}, 17: {"card:5:21", "phone:5:21"}}
     assert {i: s for i, s in got.items() if s} == want
+
+
+def test_identifiers_beside_other_numbers_are_found(spark):
+    """Unseen identifiers next to a base span, a date or each other, and cards in a row of digits."""
+    good = ["4012888888881881", "5555555555554444", "5105105105105100", "378282246310005", "6011111111111117"]
+    rows = [f"the card number: {g} was charged" for g in good]
+    rows += ["the card number: 88123456 was charged", "account 88123456 10.0.0.1", "account 88123456 2024-05-01", "10.0.0.1 88123456",
+             "the card number: 5550109999 was charged", "ids 5550109999 5550108888", "the card number: 5550109999 5550108888",
+             "row 4012 8888 8888 1881 5555 5555 5555 4444 end", "account 77123456 2024-05-01"]
+    got = discovered(spark, rows)
+    assert {i: s for i, s in got.items() if s} == {
+        5: {"card:17:25"}, 6: {"card:8:16"}, 7: {"card:8:16"}, 8: {"card:9:17"}, 9: {"card:17:27"}, 10: {"card:4:14"}, 11: {"card:17:27"},
+        12: {"card:4:23", "card:24:43"}}
