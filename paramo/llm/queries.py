@@ -86,7 +86,11 @@ def labelled_urls(pages: DataFrame) -> DataFrame:
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
-    return urlfilter.judge(pages, urlfilter.fit(labelled_urls(pages)), URL_RULES)
+    try:
+        model = urlfilter.fit(labelled_urls(pages))
+    except urlfilter.NoLabelledUrl:  # no page is under a rule: all get the default verdict
+        model = None
+    return urlfilter.judge(pages, model, URL_RULES)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,29 +62,37 @@ def grams(host: Column, path: Column, sizes: Sequence[int] = GRAMS) -> Column:
     return F.concat(*[of(mark, s, n) for mark, s in (("h", host), ("p", path)) for n in sizes])
 
 
+class NoLabelledUrl(ValueError):
+    """Nothing to fit a model on."""
+
+
 def fit(labelled: DataFrame, url: str = "url", label: str = "label", most: int = MOST, features: int = FEATURES):
     """A model from labelled URLs (label 1: block, 0: allow); rows without label or url are left out.
 
-    Raises ValueError if no labelled row is left.  The ``most`` rows with the
+    Raises NoLabelledUrl if no labelled row is left.  The ``most`` rows with the
     smallest hashes of the URL are used; repeated rows count once."""
     rows = pick(labelled, url=url, label=label).where("url IS NOT NULL AND label IS NOT NULL").distinct()
     bounded = rows.orderBy(F.xxhash64("url"), "url", "label").limit(most)
     ready = store(bounded.select(grams(host_of(F.col("url")), path_of(F.col("url"))).alias("grams"), F.col("label").cast("double").alias("label")).coalesce(4), "url-labelled")
     if ready.first() is None:
-        raise ValueError("no labelled URL")
+        raise NoLabelledUrl("no labelled URL")
     hashing = HashingTF(inputCol="grams", outputCol="features", numFeatures=features, binary=True)
     return Pipeline(stages=[hashing, LogisticRegression(maxIter=40, regParam=1e-3, standardization=False)]).fit(ready)
 
 
-def judge(pages: DataFrame, model, rules: Sequence[tuple[str, str, str]] = (), key: str = "page_id", url: str = "url", threshold: float = 0.5) -> DataFrame:
+def judge(pages: DataFrame, model, rules: Sequence[tuple[str, str, str]] = (), key: str = "page_id", url: str = "url", threshold: float = 0.5, default: str = "allow") -> DataFrame:
     """``(key, host, path, rule, verdict, p_block)`` for every row of ``pages``.
 
     The verdict is the longest fitting rule's, else block where the model's
-    probability is above ``threshold``.  A null URL has empty host and path
+    probability is above ``threshold``; without a model (None) it is
+    ``default``, and p_block is null.  A null URL has empty host and path
     and is judged like any; repeated rows are judged alike; an empty table
     gives an empty result.  Other columns are not read."""
     rows = pick(pages, id=key, url=url).select("id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    scored = model.transform(rows.withColumn("grams", grams(F.col("host"), F.col("path"))))
-    ruled = scored.withColumn("fit", matched_rule(F.col("host"), F.col("path"), rules)).withColumn("p_block", vector_to_array("probability")[1])
-    guess = F.when(F.col("p_block") > threshold, "block").otherwise("allow")
+    if model is None:
+        scored, guess = rows.withColumn("p_block", F.lit(None).cast("double")), F.lit(default)
+    else:
+        scored = model.transform(rows.withColumn("grams", grams(F.col("host"), F.col("path")))).withColumn("p_block", vector_to_array("probability")[1])
+        guess = F.when(F.col("p_block") > threshold, "block").otherwise("allow")
+    ruled = scored.withColumn("fit", matched_rule(F.col("host"), F.col("path"), rules))
     return ruled.select(F.col("id").alias(key), "host", "path", F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", guess).alias("verdict"), "p_block")

@@ -56,3 +56,14 @@ def test_grams_cover_whole_urls(spark):
     got = spark.createDataFrame([(long,)], "u string").select(U.grams(F.lit("ab"), F.col("u")).alias("g")).first()["g"]
     want = [m + s[i : i + n] for m, s in (("h", "^ab$"), ("p", f"^{long}$")) for n in U.GRAMS for i in range(max(1, len(s) - n + 1))]
     assert got == want
+
+
+def test_query_without_a_labelled_page(spark, tmp_path):
+    """An empty table gives no rows, urls outside all rules their rows, with the default verdict."""
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    other = pages.limit(3).withColumn("url", F.lit("http://a.example.net/x"))
+    for name, frame, n in (("none", pages.limit(0), 0), ("other", other, 3)):
+        frame.write.parquet(f"{tmp_path}/{name}/pages.parquet")
+        got = queries.op8_url_filter(spark, f"{tmp_path}/{name}").collect()
+        assert [(r["host"], r["path"], r["rule"], r["verdict"], r["p_block"]) for r in got] == [("a.example.net", "/x", None, "allow", None)] * n
+    assert queries.op8_url_filter(spark, f"{tmp_path}/other").schema == queries.op8_url_filter(spark, SMALL).schema
