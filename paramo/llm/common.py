@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,13 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
 
 
+def shared_folder(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system and path of a folder that tasks read and write themselves."""
+    if uri.startswith("file:") and "://" not in uri:
+        uri = uri.replace("file:", "file://", 1)
+    return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
+
+
 def store(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 

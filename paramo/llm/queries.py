@@ -5,12 +5,13 @@ Names of the form ``opN_<name>``; every query reads its whole table.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paramo.llm import chat, decontam, exact_dedup, langid, mixing, pii, sharding, simhash, tokenbin, urlfilter
+from paramo.llm import chat, decontam, exact_dedup, langid, merkle, mixing, negatives, pii, sharding, simhash, tokenbin, tokencount, urlfilter
 from paramo.llm.common import scratch_path
 
 #: SimHash: words in a shingle, and the most bits by which linked fingerprints differ.
@@ -103,6 +104,32 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokencount.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def tampered(row: dict[str, Column]) -> dict[str, Column]:
+    """The fields of a row whose text is lower-cased (A-Z only) where 5 divides the crc32 of its id."""
+    chosen = F.crc32(row["doc_id"].cast("string").cast("binary")) % 5 == 0
+    return row | {"text": F.when(chosen, F.translate(row["text"], string.ascii_uppercase, string.ascii_lowercase)).otherwise(row["text"])}
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, and the verification of a copy of which some rows were tampered with."""
+    proofs = merkle.verified(merkle.manifest(_table(spark, sf_dir, "documents"), claim=tampered).proofs)
+    digests = [merkle.hex_of(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")]
+    return proofs.withColumnRenamed("hash", "leaf").select(
+        F.col("id").alias("doc_id"), *digests, F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.hard_negatives(rows, lambda key: key % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat": op2_chat,
@@ -114,6 +141,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_decontamination": op9_decontamination,
     "op10_mixing": op10_mixing,
+    "op11_token_counts": op11_token_counts,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 OP1 = r"""
@@ -203,4 +233,64 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM words w LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op2_chat": OP2, "op6_sharding": OP6, "op9_decontamination": OP9, "op10_mixing": OP10}
+OP12 = r"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS name,
+         [coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+          coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')].list_aggregate('string_agg', '') AS head, text FROM documents),
+crcs AS (
+  SELECT doc_id, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(doc_id::VARCHAR)), lambda i: ord(substr(doc_id::VARCHAR, (i + 1)::INT, 1))::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)) AS c
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+hashed AS (
+  SELECT l.doc_id, name, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS h,
+         sha256(head || coalesce(strlen(text) || ':' || CASE WHEN xor(c, 4294967295) % 5 = 0
+           THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS claimed
+  FROM leaves l LEFT JOIN crcs USING (doc_id)),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY name) - 1 AS g, row_number() OVER (PARTITION BY name ORDER BY doc_id NULLS FIRST, h) - 1 AS idx, count(*) OVER (PARTITION BY name) AS n FROM hashed),
+low AS (
+  SELECT 0 AS lvl, g, idx, n, h FROM placed
+  UNION ALL
+  SELECT lvl + 1, g, idx // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY idx)) FROM low WHERE n > 1 GROUP BY lvl, g, idx // 16, n),
+subroots AS (SELECT g, h FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS lvl, g AS idx, (SELECT count(*) FROM subroots) AS n, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY idx)) FROM high WHERE n > 1 GROUP BY lvl, idx // 16, n),
+climb AS (
+  SELECT g, idx AS leaf, 0 AS lvl, idx, n, claimed AS h, '' AS proof FROM placed
+  UNION ALL
+  SELECT c.g, c.leaf, c.lvl + 1, c.idx // 16, (c.n + 15) // 16, sha256(string_agg(CASE WHEN s.idx = c.idx THEN c.h ELSE s.h END, '' ORDER BY s.idx)),
+         c.proof || coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx <> c.idx), '')
+  FROM climb c JOIN low s ON s.g = c.g AND s.lvl = c.lvl AND s.idx // 16 = c.idx // 16
+  WHERE c.n > 1 GROUP BY c.g, c.leaf, c.lvl, c.idx, c.n, c.h, c.proof),
+rise AS (
+  SELECT g, leaf, 0 AS lvl, g AS idx, (SELECT count(*) FROM subroots) AS n, h, proof FROM climb WHERE n = 1
+  UNION ALL
+  SELECT c.g, c.leaf, c.lvl + 1, c.idx // 16, (c.n + 15) // 16, sha256(string_agg(CASE WHEN s.idx = c.idx THEN c.h ELSE s.h END, '' ORDER BY s.idx)),
+         c.proof || coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx <> c.idx), '')
+  FROM rise c JOIN high s ON s.lvl = c.lvl AND s.idx // 16 = c.idx // 16
+  WHERE c.n > 1 GROUP BY c.g, c.leaf, c.lvl, c.idx, c.n, c.h, c.proof)
+SELECT p.doc_id, p.h AS leaf, s.h AS subroot, r.h AS root, sha256(e.proof) AS proof_sha256, e.h AS folded_root, e.h = r.h AS verified
+FROM placed p JOIN rise e ON e.g = p.g AND e.leaf = p.idx AND e.n = 1 JOIN subroots s ON s.g = p.g, (SELECT h FROM high WHERE n = 1) r
+"""
+
+OP13 = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INT AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op2_chat": OP2, "op6_sharding": OP6, "op9_decontamination": OP9, "op10_mixing": OP10, "op12_merkle_manifest": OP12, "op13_hard_negatives": OP13}
