@@ -10,6 +10,10 @@ pre-token costs depends on nothing around it, and:
 2. Tasks part whole texts into pre-tokens, count the whole ones directly and
    merge only the rest, remembering a bounded number of costs.
 
+A single space between two other characters always begins a pre-token, so what
+stands between two such spaces costs the same wherever it stands: texts are
+cut there first and the costs of these words are remembered too.
+
 The proven strings are broadcast: at most the vocabulary, under 2 MB.  The
 pattern engine used here knows newer characters than the library's; a text
 with a character that Python's older table leaves unassigned is parted by the
@@ -34,7 +38,9 @@ from pyspark.sql import functions as F
 from paramo.llm.common import pick
 
 #: Tokens from which on a text is over the limit; costs of merged pre-tokens that a worker remembers, and the longest such pre-token.
-LIMIT, REMEMBER, LONGEST = 1024, 200_000, 64
+LIMIT, REMEMBER, LONGEST = 1024, 500_000, 64
+#: Characters of a text that are cut into words at a time, about.
+SLICE = 1 << 20
 #: How byte-level tokenizers part a text (a fixed value): contractions, words, numbers, other signs, white space.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -77,6 +83,26 @@ def unassigned() -> re.Pattern:
     return re.compile(f"[{''.join(ranges)}]")
 
 
+#: A white space beside a space; a space that begins a pre-token for certain; a character beyond the first that is unassigned.
+LOOSE, TIGHT, BEYOND = re.compile(r" \s|\s "), re.compile(r"(?<=\S)(?= \S)"), re.compile("[^\x00-\u0377]")
+
+
+class Words(dict):
+    """Costs by word, as far as they fit; others are made anew."""
+
+    def __init__(self, made):
+        super().__init__()
+        self.made = made
+
+    def __missing__(self, word: str) -> int:
+        n = self.made(word)
+        if len(word) <= LONGEST:
+            if len(self) >= REMEMBER:
+                self.clear()
+            self[word] = n
+        return n
+
+
 class Counter:
     """Counts like ``len(Tokenizer.encode(text, add_special_tokens=False))``."""
 
@@ -85,29 +111,53 @@ class Counter:
         self.part, self.merge = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
         # of special strings that begin alike the longest is taken, as the library does
         self.marks = re.compile("|".join(map(re.escape, sorted(marks, key=len, reverse=True)))) if marks else None
-        self.parts, self.odd = regex.compile(PARTS).finditer, unassigned().search
-        self.whole, self.rest = dict.fromkeys(whole, 1), {}
+        self.parts, self.plain, self.odd = regex.compile(PARTS).finditer, re.compile(PARTS.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9").replace(" ?A-Za-z+", " ?[A-Za-z]+").replace(" ?0-9+", " ?[0-9]+"), re.ASCII).finditer, unassigned().search
+        self.whole = frozenset(whole)
+        self.rest, self.after, self.first = Words(self.merged), Words(lambda word: self.word(" " + word)), Words(self.word)
+        # the characters that stand for bytes, learned from the library
+        self.letters = {}
+        for c in map(chr, [*range(0x80), *range(0x80, 0x800, 0x20), *range(0x80, 0xC0), *range(0x800, 0xD800, 0x800), *range(0xE000, 0x10000, 0x1000), *range(0x10000, 0x110000, 0x10000)]):
+            self.letters.update(zip(c.encode(), "".join(x for x, _ in self.part(c))))
+
+    def merged(self, piece: str) -> int:
+        """Tokens of one pre-token that is not proven whole."""
+        return len(self.merge(piece.encode().decode("latin-1").translate(self.letters)))
 
     def cost(self, piece: str) -> int:
         """Tokens of one pre-token."""
-        n = self.whole.get(piece) or self.rest.get(piece)
-        if n is None:
-            n = sum(len(self.merge(x)) for x, _ in self.part(piece))
-            if len(piece) <= LONGEST:
-                if len(self.rest) >= REMEMBER:
-                    self.rest.clear()
-                self.rest[piece] = n
-        return n
+        return 1 if piece in self.whole else self.rest[piece]
 
     def pieces(self, text: str) -> Iterator[str]:
-        """The pre-tokens of a text without special strings."""
-        if not text.isascii() and self.odd(text):
-            return (text[a:b] for _, (a, b) in self.part(text))
-        return map(methodcaller("group"), self.parts(text))
+        """The pre-tokens of a text without special strings and without unassigned characters."""
+        return map(methodcaller("group"), (self.plain if text.isascii() else self.parts)(text))
+
+    def word(self, text: str) -> int:
+        if text in self.whole:
+            return 1
+        if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):  # letters are one pre-token
+            return self.rest[text]
+        return sum(map(self.cost, self.pieces(text)))
+
+    def between(self, text: str) -> int:
+        """Tokens of a text without special strings."""
+        if not text.isascii() and BEYOND.search(text) and self.odd(text):
+            return sum(self.cost(text[a:b]) for _, (a, b) in self.part(text))
+        n = at = 0
+        while at < len(text):
+            cut = TIGHT.search(text, at + SLICE) if len(text) - at > SLICE else None
+            here, at = (text[at : cut.start()], cut.start()) if cut else (text[at:], len(text))
+            if LOOSE.search(here):
+                n += sum(map(self.first.__getitem__, TIGHT.split(here)))
+            else:
+                word, *words = here.split(" ")
+                n += self.first[word] + sum(map(self.after.__getitem__, words))
+        return n
 
     def __call__(self, text: str) -> int:
-        between = self.marks.split(text) if self.marks else [text]
-        return len(between) - 1 + sum(sum(map(self.cost, self.pieces(x))) for x in between)
+        if self.marks is None or not self.marks.search(text):
+            return self.between(text)
+        parts = self.marks.split(text)
+        return len(parts) - 1 + sum(map(self.between, parts))
 
 
 @functools.lru_cache(2)

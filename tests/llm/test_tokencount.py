@@ -70,18 +70,27 @@ def test_any_text(text):
 
 def test_every_character_is_parted_as_the_library_does():
     """All code points, in the contexts on which the classes of the pattern show."""
+    unassigned = T.unassigned()
     for at in range(0, 0x110000, 0x400):
-        text = "\n".join(f"a{c}b 1{c}2 !{c}! {c}" for c in map(chr, range(at, at + 0x400)) if not 0xD800 <= ord(c) < 0xE000)
+        text = "\n".join(f"a{c}1{c}! {c}" for c in map(chr, range(at, at + 0x400)) if not 0xD800 <= ord(c) < 0xE000)
         if COUNT.odd(text):
-            text = T.unassigned().sub("", text)
+            text = unassigned.sub("", text)
         assert [text[a:b] for _, (a, b) in COUNT.part(text)] == [m.group() for m in COUNT.parts(text)]
+        assert at or list(COUNT.pieces(text[:600])) == [m.group() for m in COUNT.parts(text[:600])]
+        assert all(COUNT.merged(c) == sum(len(COUNT.merge(x)) for x, _ in COUNT.part(c)) for c in text[:100])
 
 
 def test_what_is_remembered_is_bounded(monkeypatch):
     monkeypatch.setattr(T, "REMEMBER", 3)
     count = T.Counter(PATH, T.proven(PATH))
     text = " ".join(f"zq{chr(97 + i)}xv" for i in range(20))
-    assert count(text) == plain(text) and len(count.rest) <= 3
+    assert count(text) == plain(text) and max(map(len, (count.rest, count.after, count.first))) <= 3
+
+
+def test_long_texts_are_cut_where_pre_tokens_begin(monkeypatch):
+    monkeypatch.setattr(T, "SLICE", 7)
+    for text in ("some plain words and more", "two  spaces   and\n\n lines \t x", "nospaceatallbutverylongword" * 3, " a b  c d e f g", "é à ü " * 9, "end "):
+        assert COUNT(text) == plain(text)
 
 
 def test_other_kinds_of_tokenizer_are_refused(tmp_path):
