@@ -1,20 +1,23 @@
 """Operator 1, exact deduplication over an extendible-hash index.
 
 Texts are equal when they hold the same bytes once ASCII white space is
-deleted.  The index is built from 64-bit hashes of the normalised texts:
+deleted.  The normalised texts are written once, with a number for each row;
+the index is built from their 64-bit hashes:
 
 1. Counts of distinct hashes by their leading bits size the buckets.  While a
    bucket holds more than ``capacity`` hashes, the directory doubles: one
    more leading bit, and each overfull bucket splits in two.  Buckets that
    are not overfull keep their smaller depth, and several directory entries.
-2. Rows are combined by hash and normalised bytes, before the shuffle and
-   after it, so a text with a third of all rows is one row a map task.  Texts
-   that differ in bytes under one hash stay apart: the hash's chain.
-3. Owner tasks take the entries by ranges of buckets, number each chain, and
-   write the index files to the shared folder (digests, without texts).
-4. Every document probes with its hash and digest.  The entries of a chain
-   are known to differ in bytes; that their digests differ too is checked, so
-   the probe finds the one entry whose bytes the document has.
+2. Insertion: rows look their bucket up in the directory and are combined by
+   bucket, hash and bytes, before the shuffle and after it, so a text with a
+   third of all rows is one row a map task.  Texts that differ in bytes under
+   one hash stay apart: the hash's chain.  Owner tasks take the entries by
+   ranges of buckets, number each chain, and write the index to the shared
+   folder.
+3. Probing: a row looks its bucket up in the directory and meets, in that
+   bucket, the chain of its hash.  A chain of one entry is the row's, as every
+   row was inserted; along a longer one the row's bytes are compared with
+   those of each entry.  Bucket and chain are what tells a row its group.
 
 Main path: DataFrame and SQL functions only.
 """
@@ -66,42 +69,64 @@ def directory(hashes: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_
     return depth, own.select("entry", F.expr(f"shiftleft(shiftright(entry, {depth} - depth), {depth} - depth)").alias("bucket"), "depth")
 
 
-def build_index(texts: DataFrame, keys: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """``(bucket, h, chain, keep_id, keep_n, group_size, digest)``: a row for each distinct normalised text.
+def with_bucket(rows: DataFrame, entries: DataFrame, depth: int) -> DataFrame:
+    """``rows`` with the bucket that the directory names for their hash ``h``.
 
-    ``texts`` has id, n (code points of the original), norm and h; ``keys``
-    the h of the same rows.  ``chain`` counts the texts under one hash from 1."""
-    depth, entries = directory(keys, capacity, max_depth)
-    entries = store(entries, "dedup-directory")
+    The directory is broadcast: at most 2**max_depth entries."""
+    entry = F.expr(f"shiftrightunsigned(h, {64 - depth})" if depth else "0L")
+    return rows.withColumn("entry", entry).join(F.broadcast(entries.select("entry", "bucket")), "entry").drop("entry")
+
+
+def inserted(texts: DataFrame, entries: DataFrame, depth: int) -> DataFrame:
+    """``(bucket, h, chain, links, keep_id, keep_n, group_size, digest)``: the index, a row for each distinct normalised text.
+
+    ``texts`` has row, id, n (code points of the original), norm and h.
+    ``chain`` counts the ``links`` texts under one hash from 1."""
     # the longest original first, then the smallest id, null ids last, as one number: decimals combine in hash aggregates, structs do not
     rank = F.expr(f"cast(n as decimal(11,0)) * {TWO_65} + coalesce({TWO_63} - cast(id as decimal(20,0)), 0BD)").cast("decimal(38,0)")
-    distinct = texts.groupBy("h", "norm").agg(F.count(F.lit(1)).alias("group_size"), F.max(rank).alias("best"))
-    found = distinct.select(
-        "h", "group_size", F.sha2("norm", 256).alias("digest"), F.expr(f"shiftrightunsigned(h, {64 - depth})" if depth else "0L").alias("entry"),
-        F.expr(f"cast(best DIV {TWO_65} as int)").alias("keep_n"), F.expr(f"pmod(best, {TWO_65})").alias("rest"))
+    distinct = with_bucket(texts, entries, depth).groupBy("bucket", "h", "norm").agg(F.count(F.lit(1)).alias("group_size"), F.max(rank).alias("best"))
+    found = distinct.select("bucket", "h", "group_size", F.sha2("norm", 256).alias("digest"),
+                            F.expr(f"cast(best DIV {TWO_65} as int)").alias("keep_n"), F.expr(f"pmod(best, {TWO_65})").alias("rest"))
     found = found.withColumn("keep_id", F.expr(f"if(rest = 0, null, cast({TWO_63} - rest as long))"))
-    # bounded: the directory has at most 2**max_depth entries
-    placed = found.join(F.broadcast(entries), "entry").repartitionByRange("bucket")
-    chain = W.partitionBy("bucket", "h").orderBy("digest")
-    return store(placed.select("bucket", "h", F.row_number().over(chain).alias("chain"), "keep_id", "keep_n", "group_size", "digest"), "dedup-index")
+    chain = W.partitionBy("bucket", "h")
+    owned = found.repartitionByRange("bucket")
+    return store(owned.select("bucket", "h", F.row_number().over(chain.orderBy("digest")).alias("chain"), F.count(F.lit(1)).over(chain).alias("links"),
+                              "keep_id", "keep_n", "group_size", "digest"), "dedup-index")
+
+
+def probed(rows: DataFrame, index: DataFrame, entries: DataFrame, depth: int) -> DataFrame:
+    """``rows(h, norm, ..)`` without their texts, each with its entry of the index."""
+    located = with_bucket(rows, entries, depth)
+    chains = index.where("links > 1")
+    if chains.isEmpty():  # then no text is read again
+        return located.drop("norm").join(index, ["bucket", "h"])
+    # the bytes of the entries of chains; the digest tells them apart
+    kept = rows.join(chains.select(F.col("h").alias("ch")).distinct(), F.col("h") == F.col("ch"), "left_semi")
+    bytes_ = kept.select("h", "norm").distinct().withColumn("digest", F.sha2("norm", 256)).withColumnRenamed("norm", "entry_norm")
+    told = index.join(bytes_, ["h", "digest"], "left")
+    return located.join(told, ["bucket", "h"]).where((F.col("links") == 1) | (F.col("norm") == F.col("entry_norm"))).drop("norm", "entry_norm")
 
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, max_depth: int = MAX_DEPTH,
-                text_hash: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+                text_hash: Callable[[Column], Column] = F.xxhash64, spoiled: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``(key, keep_id, group_size, kept, text_sha256, n_chars, bucket, chain)`` for every row of ``docs``.
 
-    Of equal texts the row with the most code points stays, then the smallest
-    key, which is a whole number.  Null text counts as empty.  Rows without a
+    Of equal texts one row stays: that with the most code points, then the
+    smallest key, which is a whole number; of rows that agree in key and
+    length, the first one stored.  Null text counts as empty.  Rows without a
     key stay only where no row of their group and length has one; keep_id is
-    then null.  Rows that agree in key, length and text cannot be told apart:
-    if one stays, all are marked kept.  An empty table gives an empty result.
-    Other columns are not read."""
+    then null.  An empty table gives an empty result.  Other columns are not
+    read.  ``spoiled`` (for tests) changes the directory that probes use."""
     rows = pick(docs, id=key, txt=text).select("id", F.length(F.coalesce("txt", F.lit(""))).alias("n"), normalised(F.col("txt")).alias("norm"))
-    texts = rows.withColumn("h", text_hash(F.col("norm")).cast("long"))
-    keys = store(texts.select("id", "n", "h", F.sha2("norm", 256).alias("digest")), "dedup-keys")
-    index = build_index(texts, keys, capacity, max_depth)
-    if index.where("chain > 1").groupBy("h", "digest").count().where("count > 1").first():
-        raise ValueError("two different texts share hash and SHA-256 digest")
-    found = keys.join(index, ["h", "digest"])
-    return found.select(F.col("id").alias(key), "keep_id", "group_size", (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("keep_n"))).alias("kept"),
+    texts = store(rows.withColumns({"h": text_hash(F.col("norm")).cast("long"), "row": F.monotonically_increasing_id()}), "dedup-texts")
+    depth, entries = directory(texts, capacity, max_depth)
+    entries = store(entries, "dedup-directory")
+    index = inserted(texts, entries, depth)
+    entries = spoiled(entries) if spoiled else entries
+    # the row that stays: of those with its key and length, the first
+    mine = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("keep_n"))
+    stays = probed(texts, index, entries, depth).where(mine).groupBy("bucket", "h", "chain").agg(F.min("row").alias("keep_row"))
+    index = store(index.join(stays, ["bucket", "h", "chain"]), "dedup-stays")
+    found = probed(texts, index, entries, depth)
+    return found.select(F.col("id").alias(key), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
                         F.col("digest").alias("text_sha256"), F.col("n").alias("n_chars"), "bucket", "chain")

@@ -55,10 +55,30 @@ def test_directory_doubles_until_buckets_fit(spark):
 
 def test_edges(spark):
     docs = messy(spark)
-    got = {(r["doc_id"], r["n_chars"]): r for r in check(docs)}
+    rows = check(docs)
+    got = {(r["doc_id"], r["n_chars"]): r for r in sorted(rows, key=lambda r: r["kept"])}
+    assert len({r["text_sha256"] for r in rows}) == sum(r["kept"] for r in rows)
     assert got[3, 0]["keep_id"] == 5 and got[4, 0]["group_size"] == 4  # null, empty and blank texts are equal; the longest stays
     assert got[1, 64]["keep_id"] == 1 and got[1, 64]["kept"] and got[1, 64]["group_size"] == 2
     assert got[None, 64]["keep_id"] is None and got[None, 64]["kept"]
     assert D.exact_dedup(empty(spark)).collect() == []
     extreme = spark.createDataFrame([(-(2**63), "a"), (2**63 - 1, "a"), (None, "a")], "doc_id long, text string")
     assert {r["keep_id"] for r in D.exact_dedup(extreme).collect()} == {-(2**63)}
+
+
+def test_of_repeated_rows_one_stays(spark):
+    """Also of rows that agree in key and text, and of rows without a key; the same as the query's SQL."""
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "ab"), (2, "a b"), (None, "x"), (None, "x"), (None, "x"), (7, None), (7, "")], "doc_id long, text string")
+    got = D.exact_dedup(docs).collect()
+    assert len(got) == 9
+    for digest in {r["text_sha256"] for r in got}:
+        assert sum(r["kept"] for r in got if r["text_sha256"] == digest) == 1
+
+
+def test_probes_go_through_the_directory(spark):
+    """With a directory that names wrong buckets the entries are not found."""
+    docs = documents(spark)
+    n = docs.count()
+    assert D.exact_dedup(docs, capacity=50).count() == n
+    wrong = D.exact_dedup(docs, capacity=50, spoiled=lambda e: e.withColumn("bucket", (F.col("bucket") + 1) % 8))
+    assert wrong.count() < n / 2
