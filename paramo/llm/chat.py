@@ -1,7 +1,8 @@
 """Operator 2, chat formatting with a loss mask.
 
 The turns of a conversation are collected as structs, sorted, and adjacent
-turns of one role are merged into a block by array aggregation.  Template::
+turns of one role are merged into a block by array aggregation (slices between
+the places where the role changes).  Template::
 
     <turn ROLE>\\n TEXT [<+> TEXT ...] </turn>\\n
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paramo.llm.common import pick
+from paramo.llm.common import let, pick, pieces_at, running
 
 ESCAPES = (("\\", "\\b"), ("<", "\\l"), (">", "\\g"))
 
@@ -37,17 +38,24 @@ def unescaped(text: Column) -> Column:
 
 
 def _merged(turns: Column) -> Column:
-    """Blocks ``(role, parts)`` from sorted ``(.., role, text)`` structs: adjacent turns of one role share a block."""
-    empty = F.expr("cast(array() as array<struct<role: string, parts: array<string>>>)")
+    """Blocks ``(role, parts)`` from sorted ``(.., role, text)`` structs: adjacent turns of one role share a block.
 
-    def add(blocks: Column, turn: Column) -> Column:
-        last = F.try_element_at(blocks, F.lit(-1))
-        joined = F.concat(F.slice(blocks, F.lit(1), F.size(blocks) - 1),
-                          F.array(F.struct(last["role"].alias("role"), F.concat(last["parts"], F.array(turn["text"])).alias("parts"))))
-        opened = F.concat(blocks, F.array(F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("parts"))))
-        return F.when((F.size(blocks) > 0) & (last["role"] == turn["role"]), joined).otherwise(opened)
+    The places where the role changes are the blocks' ends, and a block's
+    texts the slice between two of them, so each turn is touched once."""
+    def blocks(t: Column) -> Column:
+        places = F.when(F.size(t) > 0, F.sequence(F.lit(1), F.size(t))).otherwise(F.array().cast("array<int>"))
+        firsts = F.filter(places, lambda i: (i == 1) | (F.get(t, i - 1)["role"] != F.get(t, i - 2)["role"]))
 
-    return F.aggregate(turns, empty, add)
+        def block(starts: Column) -> Column:
+            def one(first: Column, k: Column) -> Column:
+                after = F.coalesce(F.get(starts, k + 1), F.size(t) + 1)
+                return F.struct(F.get(t, first - 1)["role"].alias("role"), F.transform(F.slice(t, first, after - first), lambda x: x["text"]).alias("parts"))
+
+            return F.transform(starts, one)
+
+        return let(firsts, block)
+
+    return let(turns, blocks)
 
 
 def format_chats(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
@@ -58,26 +66,27 @@ def format_chats(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
     repeated rows have one order.  Null text and null role count as empty;
     rows with a null conversation id form one conversation.  An empty table
     gives an empty result.  Other columns are not read.  A conversation is one
-    string, so it has to fit a row; its turns are collected in one group."""
+    string, so it has to fit a row; its turns are collected in one group, and
+    the work is about in proportion to their number and length."""
     cells = pick(rows, conv=conv, turn=turn, role=role, text=text)
     one = F.struct(F.col("turn").isNull().alias("last"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     chats = cells.groupBy("conv").agg(F.sort_array(F.collect_list(one)).alias("turns"))
     blocks = chats.select("conv", _merged(F.col("turns")).alias("blocks"))
-    pieces = blocks.select("conv", F.transform("blocks", lambda b: F.struct(
-        (b["role"] == trained).alias("trained"),
-        F.concat(F.lit("<turn "), escaped(b["role"]), F.lit(">\n")).alias("head"),
-        F.transform(b["parts"], escaped).alias("parts"))).alias("pieces"))
-    formatted = F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], F.array_join(p["parts"], "<+>"), F.lit("</turn>\n"))), "")
+    # what is written, in order: a head before each block's first text and a joint before its others, the text, and a tail after the last one
+    def written(b: Column) -> Column:
+        head = F.concat(F.lit("<turn "), escaped(b["role"]), F.lit(">\n"))
+        return F.transform(b["parts"], lambda t, i: F.struct(F.when(i == 0, head).otherwise(F.lit("<+>")).alias("before"), escaped(t).alias("text"),
+                                                             F.when(i == F.size(b["parts"]) - 1, F.lit("</turn>\n")).otherwise(F.lit("")).alias("after"), (b["role"] == trained).alias("trained")))
 
-    def spans(state: Column, p: Column) -> Column:
-        begin = state["at"] + F.length(p["head"])
-        within = F.aggregate(p["parts"], F.struct(begin.alias("at"), F.expr("cast(array() as array<struct<start: int, end: int>>)").alias("loss")),
-                             lambda s, t: F.struct((s["at"] + F.length(t) + 3).alias("at"),
-                                                   F.concat(s["loss"], F.array(F.struct(s["at"].alias("start"), (s["at"] + F.length(t)).alias("end")))).alias("loss")))
-        return F.struct((within["at"] - 3 + 8).alias("at"), F.when(p["trained"], F.concat(state["loss"], within["loss"])).otherwise(state["loss"]).alias("loss"))
+    def told(pieces: Column) -> Column:
+        formatted = F.array_join(F.transform(pieces, lambda p: F.concat(p["before"], p["text"], p["after"])), "")
+        starts = running(F.transform(pieces, lambda p: F.length(p["before"]) + F.length(p["text"]) + F.length(p["after"])))
+        spans = F.zip_with(pieces, starts, lambda p, at: F.struct(p["trained"].alias("trained"), (at + F.length(p["before"])).alias("start"), (at + F.length(p["before"]) + F.length(p["text"])).alias("end")))
+        loss = F.transform(F.filter(spans, lambda s: s["trained"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+        return F.struct(formatted.alias("formatted"), loss.alias("loss"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start: int, end: int>>)").alias("loss"))
-    return pieces.select(F.col("conv").alias(conv), formatted.alias("formatted"), F.aggregate("pieces", zero, spans, lambda s: s["loss"]).alias("loss"))
+    done = blocks.select("conv", let(F.flatten(F.transform("blocks", written)), told).alias("t"))
+    return done.select(F.col("conv").alias(conv), "t.formatted", "t.loss")
 
 
 def parsed_turns(formatted: Column) -> Column:
@@ -95,4 +104,4 @@ def parsed_turns(formatted: Column) -> Column:
 
 def masked_text(formatted: Column, loss: Column) -> Column:
     """All text under the loss mask, unescaped, with nothing between."""
-    return F.array_join(F.transform(loss, lambda s: unescaped(F.substr(formatted, s["start"] + 1, s["end"] - s["start"]))), "")
+    return F.array_join(F.transform(pieces_at(formatted, loss), unescaped), "")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paramo.session import ensure_checkpoint_dir
@@ -15,6 +16,52 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it stands in what ``use`` makes, inner lambdas included."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _blocks(items: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of each run of about sqrt(n) items, in order."""
+    def runs(a: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(a).cast("double"))).cast("int"), F.lit(1))
+        firsts = F.when(F.size(a) > 0, F.sequence(F.lit(1), F.size(a), width)).otherwise(F.array().cast("array<int>"))
+        return F.transform(firsts, lambda at: use(F.slice(a, at, width)))
+
+    return let(items, runs)
+
+
+def running(lengths: Column) -> Column:
+    """For each number of an array the sum of those before it.
+
+    Adds run by run of about sqrt(n) numbers, as an array that grows by one
+    is copied each time: n * sqrt(n) copies in all, instead of n * n."""
+    kind = "struct<at: int, out: array<int>>"
+
+    def within(a: Column) -> Column:
+        return F.aggregate(a, F.struct(F.lit(0).alias("at"), F.array().alias("out")).cast(kind),
+                           lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")).cast(kind))
+
+    def joined(parts: Column) -> Column:
+        starts = within(F.transform(parts, lambda p: p["at"]))["out"]
+        return F.flatten(F.zip_with(parts, starts, lambda p, at: F.transform(p["out"], lambda x: x + at)))
+
+    return let(_blocks(lengths, within), joined)
+
+
+def pieces_at(text: Column, spans: Column) -> Column:
+    """The pieces ``[start, end)`` of the text, in code points; spans in ascending order, not overlapping.
+
+    Cuts the text to runs of about sqrt(n) spans first and those to the spans,
+    as each cut walks from the start of what it cuts."""
+    def run(some: Column) -> Column:
+        begin = F.element_at(some, 1)["start"]
+        return let(F.substr(text, begin + 1, F.element_at(some, -1)["end"] - begin),
+                   lambda part: F.transform(some, lambda s: F.substr(part, s["start"] - begin + 1, s["end"] - s["start"])))
+
+    return F.flatten(_blocks(spans, run))
+
+
 def position(df: DataFrame, name: str) -> int:
     """Index of the column called exactly ``name``; else the one column that differs in case only."""
     exact = [i for i, c in enumerate(df.columns) if c == name]
