@@ -20,10 +20,15 @@ KEY = "id_fila"
 
 
 def read_normals(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Read the wide table: CSV (header, UTF-8; texts, which B3 parses) or parquet."""
+    """Read the wide table: CSV (header, UTF-8) or parquet.
+
+    CSV columns are texts, which B3 makes numbers, but for the row key: where
+    the table has one it is a whole number (a BIGINT), whatever the source."""
     if fmt == "csv":
-        return spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
-    return spark.read.format(fmt).load(path)
+        raw = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    else:
+        raw = spark.read.format(fmt).load(path)
+    return raw.withColumn(KEY, F.trim(F.col(KEY).cast("string")).cast("long")) if KEY in raw.columns else raw
 
 
 def normals_from_tpch(spark: SparkSession, sf_dir: str) -> DataFrame:
