@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paramo.functions import round_half_up
+from paramo.plans.guard import FreeQueryRejected, checked_query
 from paramo.sources.star import Star
 
 # Parameter names the dashboard asks for.
@@ -196,15 +197,21 @@ def list_departamentos(star: Star) -> DataFrame:
     return star.dim("dim_geografia").select("departamento").distinct().orderBy("departamento")
 
 
-def list_parametros(star: Star) -> DataFrame:
-    """Distinct parameter names except sunshine, sorted (NULL rejected)."""
-    return (star.dim("dim_parametro").where(F.col("parametro") != BRILLO_SOLAR)
+def _in_use(star: Star, dim: str, key: str, used_only: bool) -> DataFrame:
+    """The dimension, or those of its rows that some reading refers to (the fact's keys are combined before the shuffle)."""
+    rows = star.dim(dim)
+    return rows.join(star.fact().select(key).distinct(), key, "left_semi") if used_only else rows
+
+
+def list_parametros(star: Star, used_only: bool = False) -> DataFrame:
+    """Distinct parameter names except sunshine, sorted (NULL rejected); with ``used_only`` those that have readings."""
+    return (_in_use(star, "dim_parametro", "id_parametro", used_only).where(F.col("parametro") != BRILLO_SOLAR)
             .select("parametro").distinct().orderBy("parametro"))
 
 
-def list_periodos(star: Star) -> DataFrame:
-    """Distinct period names, sorted."""
-    return star.dim("dim_periodo").select("periodo").distinct().orderBy("periodo")
+def list_periodos(star: Star, used_only: bool = False) -> DataFrame:
+    """Distinct period names, sorted; with ``used_only`` those that have readings."""
+    return _in_use(star, "dim_periodo", "id_periodo", used_only).select("periodo").distinct().orderBy("periodo")
 
 
 def dashboard_bundle(star: Star) -> dict[str, DataFrame]:
@@ -251,67 +258,14 @@ def filter_query(star: Star, parametro: str = "", departamento: str = "", period
     )
 
 
-class FreeQueryRejected(ValueError):
-    """Raised when a free query is not a plain read-only SELECT."""
-
-
-# Functions that would run code outside the query engine.
-_RUNS_CODE = {"reflect", "java_method", "try_reflect"}
-
-
-def _nodes(node):
-    """All plan and expression nodes below a parsed query, those of subqueries and common table expressions included."""
-    yield node
-    below = [node.children(), node.innerChildren()]
-    if "logical" in node.getClass().getName() or node.getClass().getSimpleName() == "UnresolvedRelation":
-        below.append(node.expressions())
-    for seq in below:
-        for i in range(seq.size()):
-            yield from _nodes(seq.apply(i))
-
-
-def _check_read_only(spark: SparkSession, sql: str, views: set[str]) -> None:
-    """Refuse a query that reads anything but ``views`` or runs code, by what Spark's own parser makes of it."""
-    try:
-        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
-    except Exception as error:
-        raise FreeQueryRejected(f"not a query: {str(error)[:200]}") from None
-    relations, aliases = set(), set()
-    for node in _nodes(plan):
-        kind = node.getClass().getSimpleName()
-        if kind == "ScriptTransformation":
-            raise FreeQueryRejected("the query runs a script")
-        if kind == "UnresolvedFunction" and node.nameParts().mkString(".").lower() in _RUNS_CODE:
-            raise FreeQueryRejected("the query calls into the virtual machine")
-        if kind == "UnresolvedRelation":
-            relations.add(node.multipartIdentifier().mkString(".").lower())
-        if kind == "SubqueryAlias":
-            aliases.add(node.alias().lower())
-    if foreign := relations - views - aliases:
-        raise FreeQueryRejected(f"only {sorted(views)} can be read, not {sorted(foreign)}")
-
-
 def free_select(spark: SparkSession, star: Star, sql: str) -> DataFrame:
     """A caller's read-only query over the star views.
 
-    The trimmed text must start with ``SELECT`` (case-insensitively) and
-    parse as one query; script transforms, calls into the virtual machine and
-    all relations but the star's (files, tables, the caller's own views) are
-    refused by walking the parsed plan.  The star's views exist only while
-    the query is analysed; views of the same names are put back after."""
+    The trimmed text must start with ``SELECT`` (case-insensitively) and pass
+    :func:`paramo.plans.guard.checked_query`: it is analysed in a session of
+    its own that holds the star's views only, and whatever is not known to be
+    harmless is refused.  The caller's session is not touched."""
     text = (sql or "").strip()
     if not text.upper().startswith("SELECT"):
         raise FreeQueryRejected("only SELECT queries are allowed")
-    tables = star.tables()
-    _check_read_only(spark, text, {name.lower() for name in tables})
-    shadowed = {t.name: spark.table(t.name) for t in spark.catalog.listTables() if t.isTemporary and t.name in tables}
-    try:
-        for name, df in tables.items():
-            df.createOrReplaceTempView(name)
-        return spark.sql(text)
-    finally:
-        for name in tables:
-            if name in shadowed:
-                shadowed[name].createOrReplaceTempView(name)
-            else:
-                spark.catalog.dropTempView(name)
+    return checked_query(spark, text, star.tables())

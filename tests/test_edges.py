@@ -79,11 +79,52 @@ def test_find_column(spark):
     "SELECT 1; DROP TABLE x",
     "SELECT * FROM (SELECT 1",
     "",
+    # computed names, names hidden behind an alias, other catalogs, functions that tell of the machine
+    "SELECT IDENTIFIER('reflect')('java.lang.System', 'getProperty', 'user.name')",
+    "SELECT IDENTIFIER('ref' || 'lect')('java.lang.System', 'getProperty', 'user.name')",
+    "SELECT * FROM IDENTIFIER('secret')",
+    "SELECT * FROM IDENTIFIER('sec' || 'ret')",
+    "SELECT s.* FROM secret s CROSS JOIN (SELECT 1) secret",
+    f"SELECT f.* FROM parquet.`{SF_SMALL}/nation.parquet` f CROSS JOIN (SELECT 1) AS `parquet.{SF_SMALL}/nation.parquet`",
+    "SELECT * FROM global_temp.secret",
+    "SELECT (SELECT max(id) FROM secret)",
+    "SELECT * FROM dim_geografia WHERE id_geo IN (SELECT id FROM secret)",
+    "SELECT * FROM dim_geografia, LATERAL (SELECT id FROM secret)",
+    "SELECT * FROM (WITH secret AS (SELECT 1 AS a) SELECT * FROM secret) a, secret b",
+    "SELECT transform(array(1), x -> reflect('java.lang.System', 'getProperty', 'user.name'))",
+    "SELECT builtin.reflect('java.lang.System', 'getProperty', 'user.name')",
+    "SELECT mine(1)",
+    "SELECT input_file_name()",
+    "SELECT current_user()",
+    "SELECT * FROM sql_keywords()",
 ])
 def test_free_select_rejects(spark, sql):
     star = star_from_tpch(spark, SF_SMALL)
+    spark.range(3).createOrReplaceTempView("secret")
+    spark.range(3).createOrReplaceGlobalTempView("secret")
+    spark.udf.register("mine", lambda x: x)
     with pytest.raises(D.FreeQueryRejected):
         D.free_select(spark, star, sql)
+    spark.catalog.dropTempView("secret")
+
+
+@pytest.mark.parametrize("sql,n", [
+    ("SELECT * FROM (WITH a AS (SELECT id_geo FROM dim_geografia) SELECT a.id_geo FROM a JOIN dim_geografia dim_tiempo USING (id_geo)) x", 25),
+    ("SELECT departamento, row_number() OVER (ORDER BY departamento) AS r, (SELECT max(id_tiempo) FROM dim_tiempo) AS m FROM dim_geografia WHERE EXISTS (SELECT 1 FROM dim_periodo) LIMIT 3", 3),
+    ("SELECT x, count(*) AS n FROM (VALUES (1), (2)) t(x) GROUP BY ROLLUP(x) HAVING count(*) > 0", 3),
+    ("SELECT upper(departamento) || 'x', CAST(id_geo AS DOUBLE) FROM dim_geografia WHERE departamento LIKE 'N%' AND id_geo BETWEEN 0 AND 4", 5),
+    ("SELECT * FROM dim_tiempo UNION SELECT * FROM dim_tiempo", 13),
+])
+def test_free_select_allows_queries_of_its_own_relations(spark, sql, n):
+    assert len(D.free_select(spark, star_from_tpch(spark, SF_SMALL), sql).collect()) == n
+
+
+def test_free_select_does_not_run_what_it_refuses(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    for sql in ("SELECT 1; CREATE TABLE made AS SELECT 1", "CREATE TABLE made AS SELECT 1"):
+        with pytest.raises(D.FreeQueryRejected):
+            D.free_select(spark, star_from_tpch(spark, SF_SMALL), sql)
+    assert {t.name for t in spark.catalog.listTables()} == before
 
 
 def test_free_select_allows_harmless_texts_and_leaves_views_alone(spark):
