@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paramo.plans.materialize import materialize
@@ -70,44 +70,117 @@ def global_rank(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     )
 
 
-#: A quantile's bracket reaches so far to either side, as a share of the group's rows; the sketch errs by a tenth of that at most.
-REACH, ACCURACY = 0.001, 10_000
+#: Cells of the sketch of one round, and its accuracy; rows inside a bracket from which on another round narrows it.
+CELLS, ACCURACY, BOUND = 1024, 10_000, 10_000
+_TARGET = "struct<rank: bigint, base: bigint, lo: double, hi: double, inside: bigint, value: double>"
+
+
+def _between(v: Column, lo: Column, hi: Column) -> Column:
+    """Strictly between; a null end is open."""
+    return (lo.isNull() | (v > lo)) & (hi.isNull() | (v < hi))
+
+
+def _with_state(rows: DataFrame, state: DataFrame, groups: Sequence[str]) -> DataFrame:
+    here = state.toDF(*[f"_s{i}" if c in groups else c for i, c in enumerate(state.columns)])
+    same = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(state.columns) if c in groups]
+    return rows.join(here, reduce(and_, same)).drop(*[f"_s{i}" for i, c in enumerate(state.columns) if c in groups])
+
+
+def narrowed(rows: DataFrame, state: DataFrame, groups: Sequence[str], n_targets: int, first: bool) -> DataFrame:
+    """The targets' brackets after one more round: a sketch of the rows inside proposes narrower ones, and a pass of counts tells where the wanted rank is.
+
+    A heavy value at an end of the proposal is counted by itself, so the rows
+    inside always become fewer; a proposal that misses the rank is no error,
+    the rank is then sought beside it."""
+    names = [f"t{i}" for i in range(n_targets)]
+    v = F.col("_v")
+
+    def sketch(t: str) -> Column:
+        active = F.col(f"{t}.value").isNull() & (F.col(f"{t}.inside") > BOUND)
+        return F.percentile_approx(F.when(active & _between(v, F.col(f"{t}.lo"), F.col(f"{t}.hi")), v), [i / CELLS for i in range(CELLS + 1)], ACCURACY)
+
+    # in the first round all brackets of a group are the same: one sketch does
+    seen = names[:1] if first else names
+    told = _with_state(rows, state, groups).groupBy(*groups).agg(*[sketch(t).alias(f"k_{t}") for t in seen])
+    told = _with_state(state, told, groups)
+
+    def proposal(t: str) -> Column:
+        cells, x = F.col(f"k_{seen[0] if first else t}"), F.col(f"{t}.rank") - F.col(f"{t}.base")
+        cell = F.floor((x + 0.5) / F.col(f"{t}.inside") * CELLS).cast("int")
+        return F.struct(F.when(cell >= 1, F.get(cells, cell - 1)).otherwise(F.col(f"{t}.lo")).alias("lo"),
+                        F.when(cell + 2 <= CELLS, F.get(cells, cell + 2)).otherwise(F.col(f"{t}.hi")).alias("hi"))
+
+    told = told.select(*groups, "_n", *names, *[F.when(F.col(f"k_{seen[0] if first else t}").isNotNull(), proposal(t)).alias(f"p_{t}") for t in names])
+
+    def counts(t: str) -> list[Column]:
+        lo, hi, plo, phi = F.col(f"{t}.lo"), F.col(f"{t}.hi"), F.col(f"p_{t}.lo"), F.col(f"p_{t}.hi")
+        own, low_end = _between(v, lo, hi), ~plo.eqNullSafe(lo)
+        return [F.count_if(own & low_end & (v < plo)).alias(f"below_{t}"), F.count_if(own & low_end & (v == plo)).alias(f"low_{t}"),
+                F.count_if(own & _between(v, plo, phi)).alias(f"in_{t}"), F.count_if(own & (v == phi) & (~low_end | (v > plo))).alias(f"high_{t}")]
+
+    counted = _with_state(rows, told, groups).groupBy(*groups).agg(*[c for t in names for c in counts(t)])
+    after = _with_state(told, counted, groups)
+
+    def moved(t: str) -> Column:
+        rank, base, lo, hi, inside = (F.col(f"{t}.{f}") for f in ("rank", "base", "lo", "hi", "inside"))
+        x, plo, phi = rank - base, F.col(f"p_{t}.lo"), F.col(f"p_{t}.hi")
+        below, low, mid, high = (F.col(f"{c}_{t}") for c in ("below", "low", "in", "high"))
+
+        def to(base, lo, hi, inside, value=F.lit(None)):
+            return F.struct(rank.alias("rank"), base.alias("base"), lo.alias("lo"), hi.alias("hi"), inside.alias("inside"), value.cast("double").alias("value")).cast(_TARGET)
+
+        found = (F.when(x < below, to(base, lo, plo, below)).when(x < below + low, to(base, plo, plo, F.lit(0), plo))
+                 .when(x < below + low + mid, to(base + below + low, plo, phi, mid)).when(x < below + low + mid + high, to(base, phi, phi, F.lit(0), phi))
+                 .otherwise(to(base + below + low + mid + high, phi, hi, inside - below - low - mid - high)))
+        return F.when(F.col(f"p_{t}").isNull(), F.col(t)).otherwise(found)
+
+    return after.select(*groups, "_n", *[moved(t).alias(t) for t in names])
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str, probs: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation (the pandas/numpy default).
 
     NULL and NaN values are ignored.  Returns ``group_cols + [q, value]`` with
-    one row per group and probability.  No group is sorted: a sketch gives,
-    for each probability, a bracket of values that holds the wanted ranks;
-    one pass counts the rows below each bracket and those of each value
-    inside (equal values, and all rows below, are one row a task), and the
-    wanted ranks are found among the values of the bracket.  Groups of under
-    5 / REACH rows have all their values in the bracket."""
+    one row per group and probability.  No group is sorted: a rank is sought
+    in a bracket of values, at first a whole group, which rounds narrow
+    (:func:`narrowed`) by a factor of some hundreds each until at most ``BOUND``
+    rows are inside; the distinct values of those are counted and the rank
+    found among them.  A round is two passes whose partial aggregates leave
+    a row a group and task."""
     group_cols, probs = list(group_cols), [float(p) for p in probs]
+    groups = [f"_g{i}" for i in range(len(group_cols))]
     v = F.col(value_col)
-    valid = df.select(*group_cols, v.cast("double").alias("_v")).where(v.isNotNull() & ~F.isnan(v))
-    ends = [min(1.0, max(0.0, p + side)) for p in probs for side in (-REACH, REACH)]
-    sketch = valid.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", ends, ACCURACY).alias("_ends"))
-
-    def bracket(i: int, p: float):
-        small = F.col("_n") * REACH < 5
-        low = F.when(small | F.lit(p <= REACH), F.lit(float("-inf"))).otherwise(F.col("_ends")[2 * i])
-        high = F.when(small | F.lit(p >= 1 - REACH), F.lit(float("inf"))).otherwise(F.col("_ends")[2 * i + 1])
-        return F.struct(F.lit(p).alias("q"), low.alias("lo"), high.alias("hi"))
-
-    brackets = sketch.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_n", F.array(*[bracket(i, p) for i, p in enumerate(probs)]).alias("_b"))
-    same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group_cols)]
-    # a null value stands for all rows below the bracket
-    near = valid.join(brackets, reduce(and_, same)).select(*group_cols, "_n", "_v", F.explode(F.filter("_b", lambda b: F.col("_v") <= b["hi"])).alias("_b"))
-    counted = near.groupBy(*group_cols, "_n", F.col("_b.q").alias("q"), F.when(F.col("_v") >= F.col("_b.lo"), F.col("_v")).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    upto = F.sum("_c").over(Window.partitionBy(*group_cols, "q").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    pos = F.col("q") * (F.col("_n") - 1)
-    found = counted.withColumns({"_upto": upto, "_pos": pos}).groupBy(*group_cols, "q").agg(
-        F.first("_pos").alias("_pos"),
-        F.min(F.when(F.col("_upto") > F.floor("_pos"), F.coalesce("_v", F.lit(float("-inf"))))).alias("_vlo"),
-        F.min(F.when(F.col("_upto") > F.least(F.floor("_pos") + 1, F.col("_n") - 1), F.coalesce("_v", F.lit(float("-inf"))))).alias("_vhi"))
-    frac, diff = F.col("_pos") - F.floor("_pos"), F.col("_vhi") - F.col("_vlo")
-    value = F.when(frac >= 0.5, F.col("_vhi") - diff * (1 - frac)).otherwise(F.col("_vlo") + diff * frac)
-    checked = F.when(F.col("_vlo").isNull() | F.col("_vhi").isNull() | (F.col("_vlo") == float("-inf")), F.raise_error(F.lit("a quantile lies outside its bracket"))).otherwise(value)
-    return found.select(*group_cols, "q", checked.alias("value"))
+    rows = df.select(*[F.col(c).alias(g) for c, g in zip(group_cols, groups)], v.cast("double").alias("_v")).where(v.isNotNull() & ~F.isnan(v.cast("double")))
+    n_targets = 2 * len(probs)
+
+    def target(i: int) -> Column:
+        floor = F.floor(F.lit(probs[i // 2]) * (F.col("_n") - 1))
+        rank = F.least(floor + i % 2, F.col("_n") - 1)
+        return F.struct(rank.alias("rank"), F.lit(0).alias("base"), F.lit(None).alias("lo"), F.lit(None).alias("hi"), F.col("_n").alias("inside"), F.lit(None).alias("value")).cast(_TARGET)
+
+    state = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    state = materialize(state.select(*groups, "_n", *[target(i).alias(f"t{i}") for i in range(n_targets)]), "quantile_state")
+    wide = " OR ".join(f"(t{i}.value IS NULL AND t{i}.inside > {BOUND})" for i in range(n_targets))
+    first = True
+    while not state.where(wide).isEmpty():
+        state, first = materialize(narrowed(rows, state, groups, n_targets, first), "quantile_state"), False
+    targets = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"t{i}").alias("t")) for i in range(n_targets)])
+    open_ = F.filter(targets, lambda x: x["t"]["value"].isNull())
+    inside = F.filter("_open", lambda x: _between(F.col("_v"), x["t"]["lo"], x["t"]["hi"]))
+    near = _with_state(rows, state.select(*groups, open_.alias("_open")), groups).select(*groups, "_v", F.explode(inside).alias("_x"))
+    counted = near.groupBy(*groups, F.col("_x.i").alias("i"), F.col("_x.t.base").alias("base"), F.col("_x.t.rank").alias("rank"), "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # BOUND values at most for each group and rank
+    upto = F.sum("_c").over(Window.partitionBy(*groups, "i").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = counted.withColumn("_upto", F.col("base") + upto).where(F.col("_upto") > F.col("rank")).groupBy(*groups, "i").agg(F.min("_v").alias("_v"))
+    settled = state.select(*groups, F.explode(F.filter(targets, lambda x: x["t"]["value"].isNotNull())).alias("_x")).select(*groups, F.col("_x.i").alias("i"), F.col("_x.t.value").alias("_v"))
+    values = found.unionByName(settled).groupBy(*groups).agg(*[F.max(F.when(F.col("i") == i, F.col("_v"))).alias(f"v{i}") for i in range(n_targets)])
+    both = _with_state(state.select(*groups, "_n"), values, groups)
+
+    def value(k: int) -> Column:
+        pos, low, high = F.lit(probs[k]) * (F.col("_n") - 1), F.col(f"v{2 * k}"), F.col(f"v{2 * k + 1}")
+        frac, diff = pos - F.floor(pos), high - low
+        # equal ends, infinite ones included, need no interpolation
+        return F.when((frac == 0) | (low == high), low).when(frac >= 0.5, high - diff * (1 - frac)).otherwise(low + diff * frac)
+
+    answers = F.explode(F.array(*[F.struct(F.lit(p).alias("q"), value(k).alias("value")) for k, p in enumerate(probs)]))
+    return both.select(*[F.col(g).alias(c) for g, c in zip(groups, group_cols)], answers.alias("_a")).select(*group_cols, "_a.q", "_a.value")
