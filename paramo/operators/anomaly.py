@@ -5,9 +5,8 @@ LOF (N2) lives with the other neighbour operators in
 
 Isolation Forest on Spark:
 
-* per tree, a seeded uniform per row ``u = hash(key, seed, tree)``; rows with
-  ``u`` under a rate sized for ``psi`` plus a wide margin are candidates, and
-  each tree keeps its ``psi`` smallest-``u`` candidates — a sample without
+* per tree, a seeded uniform per row ``u = hash(key, seed, tree)``; each tree
+  keeps the ``psi`` rows with the smallest ``u`` of all rows — a sample without
   replacement that does not depend on partitioning;
 * ``groupBy(tree).applyInPandas`` grows each tree on its ``psi`` rows (random
   feature, uniform threshold, depth ``ceil(log2 psi)``) and returns it as
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 
 from paramo.functions import pct_of
 from paramo.operators.pairwise import flag_lowest
+from paramo.plans.materialize import materialize
 from paramo.sources.normals import KEY
 
 _NODE_SCHEMA = "tree INT, node INT, feature INT, threshold DOUBLE, left INT, right INT, size INT, depth INT"
@@ -70,8 +70,21 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple
     return nodes
 
 
-#: Rows of the pool, as a multiple of a tree's sample.
-POOL = 64
+def tree_samples(points: DataFrame, features: Sequence[str], n: int, n_trees: int, psi: int, seed: int, key: str = KEY) -> DataFrame:
+    """``(tree, key, u, *features)``: for every tree a uniform sample of all ``n`` rows that holds its ``psi`` smallest draws.
+
+    Every row draws for every tree; draws above a rate sized for ``psi`` rows
+    with a wide margin are dropped where they are made, so about twice
+    ``psi`` rows a tree are shuffled, whatever the number of rows.  Should a
+    tree have got too few, all draw again with a higher rate, to the same order."""
+    rate = (psi + 10 * math.sqrt(psi) + 64) / max(n, 1)
+    while True:
+        u = F.pmod(F.xxhash64(F.col(key), F.lit(seed), F.col("tree")), F.lit(1 << 53)).cast("double") / float(1 << 53)
+        drawn = points.select(key, *features).withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))).withColumn("u", u)
+        drawn = materialize(drawn.where(F.col("u") < min(rate, 2.0)), "tree_samples")
+        if rate >= 1 or drawn.groupBy("tree").count().where(F.col("count") >= psi).count() == n_trees:
+            return drawn
+        rate *= 4
 
 
 def isolation_forest(points: DataFrame, features: Sequence[str], n_trees: int = 100,
@@ -83,18 +96,7 @@ def isolation_forest(points: DataFrame, features: Sequence[str], n_trees: int =
     n = points.count()
     psi = min(max_samples, n)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    # one hash a row picks the pool that the trees draw their rows from; only the pool is dealt to every tree
-    pool_rows = min(n, POOL * max_samples)
-
-    def draw(*salt):
-        return F.pmod(F.xxhash64(F.col(key), F.lit(seed), *salt), F.lit(1 << 53)).cast("double") / float(1 << 53)
-
-    def rate(wanted: int, of: int) -> float:
-        return min(1.0, (wanted + 10 * math.sqrt(wanted) + 64) / max(of, 1))
-
-    pool = points.select(key, *feats).where(draw(F.lit("pool")) < rate(pool_rows, n))
-    cand = (pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-            .withColumn("u", draw(F.col("tree"))).where(F.col("u") < rate(psi, pool_rows)))
+    cand = tree_samples(points, feats, n, n_trees, psi, seed, key)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["u", key]).head(psi)
@@ -108,10 +110,18 @@ def isolation_forest(points: DataFrame, features: Sequence[str], n_trees: int =
                              "depth": arr[:, 5].astype(int)})
 
     forest = cand.groupBy("tree").applyInPandas(grow, _NODE_SCHEMA).toPandas()
+    return flag_lowest(forest_scores(points, feats, forest, psi, key), "anomaly_score_if", "is_anomaly_if", contamination)
+
+
+def forest_scores(points: DataFrame, features: Sequence[str], forest: pd.DataFrame, psi: int, key: str = KEY) -> DataFrame:
+    """``(key, anomaly_score_if)`` of every row by a grown forest (node rows as in ``_NODE_SCHEMA``) of samples of ``psi`` rows.
+
+    The forest, at most trees x (2^(depth + 1) - 1) nodes, is broadcast."""
+    feats, deepest = list(features), int(forest["depth"].max()) if len(forest) else 0
     trees = [forest[forest["tree"] == t].sort_values("node") for t in sorted(forest["tree"].unique())]
     packed = [(g["feature"].to_numpy(), g["threshold"].to_numpy(), g["left"].to_numpy(),
                g["right"].to_numpy(), g["depth"].to_numpy() + _c(g["size"].to_numpy())) for g in trees]
-    bc = spark.sparkContext.broadcast(packed)
+    bc = points.sparkSession.sparkContext.broadcast(packed)
     norm = float(_c(np.array([psi]))[0]) or 1.0
 
     def score(it):
@@ -121,7 +131,7 @@ def isolation_forest(points: DataFrame, features: Sequence[str], n_trees: int =
             total = np.zeros(len(pdf))
             for feat, thr, left, right, leaf_h in forest_:
                 node = np.zeros(len(pdf), dtype=int)
-                for _ in range(max_depth + 1):
+                for _ in range(deepest + 1):
                     f = feat[node]
                     inner = f >= 0
                     if not inner.any():
@@ -132,8 +142,7 @@ def isolation_forest(points: DataFrame, features: Sequence[str], n_trees: int =
             mean_h = total / max(len(forest_), 1)
             yield pd.DataFrame({key: pdf[key].to_numpy(), "anomaly_score_if": -np.power(2.0, -mean_h / norm)})
 
-    scores = points.select(key, *feats).mapInPandas(score, f"{key} long, anomaly_score_if double")
-    return flag_lowest(scores, "anomaly_score_if", "is_anomaly_if", contamination)
+    return points.select(key, *feats).mapInPandas(score, f"{key} long, anomaly_score_if double")
 
 
 def anomaly_agreement(flags: DataFrame) -> DataFrame:

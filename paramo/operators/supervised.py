@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from paramo.functions import round_half_up
 from paramo.operators.ranking import global_rank
+from paramo.plans.materialize import materialize
 from paramo.sources.normals import KEY
 
 
@@ -84,20 +85,36 @@ def macro_f1(pred: DataFrame, y: str = "y", yhat: str = "yhat") -> DataFrame:
     return per_class.agg(F.avg(f1).alias("f1_macro"))
 
 
-def cross_validate(df: DataFrame, features: Sequence[str], label: str, n_trees: int = 100, seed: int = 42,
-                   max_depth: int = 30, key: str = KEY) -> DataFrame:
-    """Macro-F1 per stratified fold, plus mean and population std (round 4)."""
-    n_classes = df.select(label).distinct().count()
-    n_splits = min(5, n_classes)
+def _splits(df: DataFrame, label: str) -> int:
+    return min(5, df.select(label).distinct().count())
+
+
+def fold_predictions(df: DataFrame, features: Sequence[str], label: str, n_trees: int = 100, seed: int = 42,
+                     max_depth: int = 30, key: str = KEY) -> DataFrame:
+    """``(key, fold, y, yhat)``: every row predicted once, by the forest of its fold.
+
+    One prepared table with the fold of every row is written; the forest of
+    a fold is fitted to it with weight 1 for the rows of other folds and 0
+    for its own, which then counts for no split, and predicts its own."""
+    n_splits = _splits(df, label)
     folds = stratified_folds(df, label, n_splits, seed, key).select(key, "fold")
-    data = _assemble(df.join(folds, key).withColumn("_y", F.col(label).cast("double")), features).persist()
-    scores = []
+    rows = df.join(folds, key).select(key, "fold", F.col(label).cast("double").alias("_y"), *features)
+    data = materialize(_assemble(rows, features).select(key, "fold", "_y", "_fv"), "folds")
+    out = None
     for f in range(n_splits):
-        model = _forest(n_trees, seed, max_depth).fit(data.where(F.col("fold") != f))
+        weighted = data.withColumn("_w", F.when(F.col("fold") == f, 0.0).otherwise(1.0))
+        model = _forest(n_trees, seed, max_depth).setWeightCol("_w").fit(weighted)
         pred = model.transform(data.where(F.col("fold") == f)).select(
-            F.col("_y").cast("int").alias("y"), F.col("_yhat").cast("int").alias("yhat"))
-        scores.append((f, float(macro_f1(pred).first()["f1_macro"])))
-    data.unpersist()
+            key, "fold", F.col("_y").cast("int").alias("y"), F.col("_yhat").cast("int").alias("yhat"))
+        out = pred if out is None else out.unionByName(pred)
+    return materialize(out, "fold_predictions")
+
+
+def cross_validate(df: DataFrame, features: Sequence[str], label: str, n_trees: int = 100, seed: int = 42,
+                   max_depth: int = 30, key: str = KEY) -> DataFrame:
+    """Macro-F1 per stratified fold, plus mean and population std (round 4)."""
+    pred = fold_predictions(df, features, label, n_trees, seed, max_depth, key)
+    scores = [(f, float(macro_f1(pred.where(F.col("fold") == f)).first()["f1_macro"])) for f in range(_splits(df, label))]
     out = df.sparkSession.createDataFrame(scores, "fold INT, f1 DOUBLE")
     return out.select("fold", round_half_up("f1", 4).alias("f1_macro"),
                       round_half_up(F.avg("f1").over(_all()), 4).alias("cv_mean"),

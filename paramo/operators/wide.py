@@ -9,8 +9,10 @@ features into ``(feature, value)`` rows with one ``Expand`` so that a single
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -156,30 +158,53 @@ def eda_stats(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame
     )
 
 
+def correlations(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``(i, j, r)`` with i < j: Pearson correlation of each pair of features over the rows that have both; NULL without spread.
+
+    A task adds its rows, block by block, to one triangle of pairwise counts,
+    sums and products (matrix products over values and their presence) and
+    emits that: a record per task and pair, whatever its rows.  Values are
+    taken from the column's mean, so the sums stay small (a constant column's
+    from its value, so they are zero)."""
+    feats, d = list(features), len(features)
+    plain = df.select(*[F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")).alias(f"x{i}") for i, f in enumerate(feats)])
+    told = plain.agg(*[F.when(F.min(f"x{i}") == F.max(f"x{i}"), F.min(f"x{i}")).otherwise(F.avg(f"x{i}")).alias(f"m{i}") for i in range(d)]).first()
+    centre = np.array([0.0 if m is None or not np.isfinite(m) else m for m in told])
+    upper = np.triu_indices(d, 1)
+
+    def triangle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, d, d))
+        for b in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns]) - centre
+            here = ~np.isnan(x)
+            x[~here] = 0.0
+            m = here.astype(float)
+            # of pair (i, j): rows, sum of i, of j, of squares of i, of j, of products
+            parts = m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x
+            sums += np.stack([parts[0], parts[1], parts[1].T, parts[2], parts[2].T, parts[3]])
+        cells = sums[:, upper[0], upper[1]]
+        yield pa.RecordBatch.from_arrays([pa.array(upper[0], pa.int32()), pa.array(upper[1], pa.int32()), *map(pa.array, cells)], ["i", "j", "n", "si", "sj", "qi", "qj", "p"])
+
+    per_task = plain.mapInArrow(triangle, "i int, j int, n double, si double, sj double, qi double, qj double, p double")
+    total = per_task.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "qi", "qj", "p")])
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    spread = F.sqrt(F.greatest(F.col("qi") - F.col("si") ** 2 / n, F.lit(0.0))) * F.sqrt(F.greatest(F.col("qj") - F.col("sj") ** 2 / n, F.lit(0.0)))
+    return total.select("i", "j", ((F.col("p") - F.col("si") * F.col("sj") / n) / F.nullif(spread, F.lit(0.0))).alias("r"))
+
+
 def top_correlations(df: DataFrame, features: Sequence[str] | None = None,
                      min_abs: float = 0.3, n: int = 10) -> DataFrame:
     """Feature pairs (i < j) with |r| > ``min_abs`` on the unrounded Pearson
-    r, by |rounded r| descending (ties: pair order), first ``n``.
-
-    Each row becomes one record per feature, paired with the array of all its
-    values; one aggregate per feature correlates it with those after it
-    (pairs where either value is missing do not count).  The partial
-    aggregate leaves one buffer per feature and task to shuffle.
-    """
+    r, by |rounded r| descending (ties: pair order), first ``n``; pairs of
+    values of which either is missing do not count."""
     feats = list(features) if features is not None else resolve_features(df)
     names = F.array(*[F.lit(f) for f in feats])
-    values = F.array(*[F.when(~F.isnan(F.col(f).cast("double")), F.col(f).cast("double")) for f in feats])
-    one = df.select(values.alias("_a")).select("_a", F.posexplode("_a").alias("i", "x"))
-    per = one.groupBy("i").agg(*[F.corr("x", F.get("_a", F.lit(j))).alias(f"r{j}") for j in range(len(feats))])
-    later = F.filter(F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"r{j}").alias("r")) for j in range(len(feats))]), lambda p: p["j"] > F.col("i"))
-    rows = per.select("i", F.explode(later).alias("p")).select(
-        (F.col("i") * len(feats) + F.col("p.j")).alias("pair"), F.get(names, F.col("i")).alias("feat1"), F.get(names, F.col("p.j")).alias("feat2"), F.col("p.r").alias("r"))
     return (
-        rows.where(F.abs("r") > min_abs)
-        .select("pair", "feat1", "feat2", round_half_up("r", 3).alias("correlation"))
-        .orderBy(F.abs("correlation").desc(), "pair")
+        correlations(df, feats).where(F.abs("r") > min_abs)
+        .select("i", "j", F.get(names, F.col("i")).alias("feat1"), F.get(names, F.col("j")).alias("feat2"), round_half_up("r", 3).alias("correlation"))
+        .orderBy(F.abs("correlation").desc(), "i", "j")
         .limit(n)
-        .drop("pair")
+        .drop("i", "j")
     )
 
 
