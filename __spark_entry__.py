@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from paramo import oracle_checks as ochecks  # noqa: E402
 from paramo import oracle_sql as osql  # noqa: E402
 from paramo.operators import dashboard as D  # noqa: E402
 from paramo.operators import wide as W  # noqa: E402
@@ -26,6 +27,7 @@ from paramo.operators.clean import clean_normals  # noqa: E402
 from paramo.sources.normals import normals_from_tpch  # noqa: E402
 from paramo.sources.star import star_from_tpch  # noqa: E402
 from paramo.plans import analysis as A  # noqa: E402
+from paramo.plans import checks  # noqa: E402
 from paramo.operators import pairwise as P  # noqa: E402
 from paramo.operators import clustering as K  # noqa: E402
 from paramo.operators import anomaly as N  # noqa: E402
@@ -43,9 +45,10 @@ from pyspark.sql import functions as F  # noqa: E402
 try:
     import corpus_pipeline  # noqa: E402
     from paramo.llm import queries as llm_queries  # noqa: E402
-except ModuleNotFoundError as missing:  # only the corpus operators themselves may be absent
-    if missing.name not in ("corpus_pipeline", "paramo.llm", "paramo.llm.queries"):
+except ModuleNotFoundError as missing:  # the corpus operators, or a package that only they use, may be absent
+    if (missing.name or "").split(".")[0] in ("paramo", "corpus_pipeline") and missing.name not in ("corpus_pipeline", "paramo.llm", "paramo.llm.queries"):
         raise
+    print(f"corpus operators are not registered: {missing}", file=sys.stderr)
     corpus_pipeline = llm_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -348,8 +351,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "d4_trend_by_period": _star_query(D.trend_by_period),
         "d5_rainiest_peak_months": _star_query(D.rainiest_peak_months),
         "d6_list_departamentos": _star_query(D.list_departamentos),
-        "d7_list_parametros": _star_query(D.list_parametros),
-        "d8_list_periodos": _star_query(D.list_periodos),
+        "d7_list_parametros": _star_query(lambda star: D.list_parametros(star, used_only=True)),
+        "d8_list_periodos": _star_query(lambda star: D.list_periodos(star, used_only=True)),
         "d11_free_select": lambda spark, sf_dir: D.free_select(
             spark, star_from_tpch(spark, sf_dir), osql.FREE_SQL),
     }
@@ -415,6 +418,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "v4_dendrogram": _q_v4,
         "v6_importance_top": _q_v6,
     })
+    q.update(checks.QUERIES)
     if llm_queries is not None:
         q.update(llm_queries.QUERIES)
         q["pipeline"] = corpus_pipeline.run
@@ -430,8 +434,8 @@ def oracle_sql() -> dict[str, str]:
         "d4_trend_by_period": osql.D4,
         "d5_rainiest_peak_months": osql.D5,
         "d6_list_departamentos": osql.D6,
-        "d7_list_parametros": osql.D7,
-        "d8_list_periodos": osql.D8,
+        "d7_list_parametros": ochecks.D7_USED,
+        "d8_list_periodos": ochecks.D8_USED,
         "d11_free_select": osql.D11,
     }
     for name, case in D10_CASES.items():
@@ -476,6 +480,7 @@ def oracle_sql() -> dict[str, str]:
         "v6_importance_top_fixed": osql.V6_FIXED,
         "r1_training_rows_fixed": osql.R1_ROWS_FIXED,
     })
+    o.update(ochecks.ORACLES)
     if llm_queries is not None:
         o.update(llm_queries.ORACLES)
         if corpus_pipeline.ORACLE_SQL is not None:

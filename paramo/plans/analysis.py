@@ -169,5 +169,59 @@ def run_analysis(wide: DataFrame, k_min: int = 2, k_max: int = 8, seed: int = 42
     return out
 
 
+def _list(df: DataFrame, order: str, **named: str) -> DataFrame:
+    """One row with one array of structs, in order; for result tables, which are a few rows whatever the input."""
+    item = F.struct(F.col(order).alias("_o"), *[F.col(c).alias(n) for n, c in named.items()])
+    return df.agg(F.transform(F.sort_array(F.collect_list(item)), lambda x: F.struct(*[x[n].alias(n) for n in named])).alias("items"))
+
+
+def result_bundle(out: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """A4: the results of :func:`run_analysis` under the keys, and nested as, a reader of the reference's result dictionary knows them.
+
+    A scalar entry is in the one row of ``resumen``; a list is a table; a
+    dictionary is one row, with nested lists as arrays of structs."""
+    spark = out["resumen"].sparkSession
+    one = lambda **parts: spark.range(1).select(*[F.lit(v).alias(k) for k, v in parts.items()])
+
+    def beside(base: DataFrame, **lists: DataFrame) -> DataFrame:
+        for name, rows in lists.items():
+            base = base.withColumn("_j", F.lit(1)).join(rows.select(F.lit(1).alias("_j"), F.col("items").alias(name)), "_j").drop("_j")
+        return base
+
+    pca, an, cv = out["pca_varianza"], out["anomalias"], out["rf_cv"]
+    reached = F.coalesce(F.max(F.when(F.col("alcanza_80"), F.col("orden"))), F.max("orden"))
+    anomalies = an.select(F.struct(F.col("n_if").alias("n_anomalias"), F.col("pct_if").alias("pct"), "contamination").alias("isolation_forest"),
+                          F.struct(F.col("n_lof").alias("n_anomalias"), F.col("pct_lof").alias("pct"), "n_neighbors").alias("lof"),
+                          F.col("n_ambos").alias("detectadas_por_ambos"), "pct_ambos")
+    scores = cv.agg(F.transform(F.sort_array(F.collect_list(F.struct("fold", "f1_macro"))), lambda x: x["f1_macro"]).alias("cv_scores"),
+                    F.first("cv_mean").alias("cv_mean"), F.first("cv_std").alias("cv_std"))
+    forest = out["random_forest"].withColumn("_j", F.lit(1)).join(scores.withColumn("_j", F.lit(1)), "_j").drop("_j")
+    graphs = {k: v for k, v in out.items() if k.startswith("grafico_")}
+    counts = dict(etiqueta="etiqueta", registros="registros")
+    return {
+        "resumen": out["resumen"],
+        "tabla_metricas": out["kmeans_por_k"],
+        "cluster_info": out["cluster_info"],
+        "cluster_stats": out["kmeans_cluster_stats"],
+        "analiticas": beside(one(exito=True), indicadores=_list(out["indicadores_globales"], "total_registros", **{c: c for c in out["indicadores_globales"].columns}),
+                             zonas=_list(out["zonas_altitudinales"], "orden", **{c: c for c in out["zonas_altitudinales"].columns}),
+                             top_departamentos=_list(out["top_departamentos"].withColumn("_r", -F.col("prom_precip")), "_r", **{c: c for c in out["top_departamentos"].columns})).drop("exito"),
+        "eda": beside(out["eda"], estadisticas=_list(out["eda_estadisticas"], "orden", **{c: c for c in out["eda_estadisticas"].columns if c != "orden"}),
+                      top_correlaciones=_list(out["eda_top_correlaciones"].withColumn("_r", -F.abs("correlation")), "_r", **{c: c for c in out["eda_top_correlaciones"].columns})),
+        "pca": beside(pca.agg(F.transform(F.sort_array(F.collect_list(F.struct("orden", "varianza_explicada"))), lambda x: x["varianza_explicada"]).alias("varianza_explicada"),
+                              F.transform(F.sort_array(F.collect_list(F.struct("orden", "varianza_acumulada"))), lambda x: x["varianza_acumulada"]).alias("varianza_acumulada"),
+                              reached.alias("componentes_80pct")),
+                      loadings=_list(out["pca_loadings"].withColumn("_r", F.struct("PC", "rango")), "_r", **{c: c for c in out["pca_loadings"].columns})),
+        "dbscan": beside(out["dbscan"], cluster_counts=_list(out["dbscan_conteos"], "cluster_dbscan", **counts)),
+        "jerarquico": beside(out["jerarquico"], cluster_counts=_list(out["jerarquico_conteos"], "cluster", **counts)),
+        "anomalias": anomalies,
+        "random_forest": beside(forest, feature_importance=_list(out["rf_importancia"].withColumn("_r", F.struct(-F.col("importance"), "feature")), "_r", feature="feature", importance="importance")),
+        "perfiles": out["perfiles"],
+        "comparativa_clustering": out["comparativa_clustering"],
+        "etiquetas": out["etiquetas"],
+        **graphs,
+    }
+
+
 def rounded(df: DataFrame, cols, digits: int = 6) -> DataFrame:
     return df.withColumns({c: round_half_up(c, digits) for c in cols})

@@ -22,12 +22,17 @@ from paramo.session import ensure_checkpoint_dir
 _written: list[str] = []
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared checkpoint folder, which :func:`release` deletes too."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/paramo-{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/paramo-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

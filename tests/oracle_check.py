@@ -78,7 +78,7 @@ def main(argv):
     pats = argv[2:]
     import __spark_entry__ as E
     from paramo.session import local_session
-    spark = local_session(8)
+    spark = local_session(int(os.environ.get("CHECK_CPUS", "8")))
     con = duck(sf_dir)
     qs, os_ = E.queries(), E.oracle_sql()
     bad = []
