@@ -106,6 +106,20 @@ def shared_folder(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
 
 
+class PlacedFile:
+    """A file in a shared folder that appears under its name when it is complete, so a task that runs twice leaves one whole file."""
+
+    def __init__(self, folder: str, name: str):
+        self.fs, base = shared_folder(folder)
+        self.fs.create_dir(base, recursive=True)
+        self.name, self.part = f"{base}/{name}", f"{base}/.{name}.{uuid.uuid4().hex}"
+        self.out = self.fs.open_output_stream(self.part)
+
+    def close(self) -> None:
+        self.out.close()
+        self.fs.move(self.part, self.name)
+
+
 def store(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 

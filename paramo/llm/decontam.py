@@ -5,15 +5,19 @@ are streamed through it while the length of the longest match that ends at
 each word is tracked: where it reaches ``window`` words, the last ``window``
 words stand in some item.  An item of fewer words counts where all of it stands.
 
-An automaton is broadcast with the tasks' code, so its size is checked: the
-items are dealt into as many blocks as keep each within ``block_words`` words,
-and the documents are run through one block after the other.  A longer item is
-dealt in pieces that overlap by ``window - 1`` words, so each of its windows
-stands in some piece.
+Test items are dealt, in ranges, into blocks of at most ``block_words`` words;
+the task that meets a block builds its automaton and writes it to the shared
+folder, so the driver holds names of files only.  Documents are read once: a
+task runs a batch of them through one block's automaton after the other, of
+which it holds a bounded number.  An item above ``block_words`` words is dealt
+in pieces that overlap by ``window - 1`` words, so each of its windows stands
+in some piece.
 """
 
 from __future__ import annotations
 
+import functools
+import pickle
 import re
 from collections.abc import Iterable, Iterator
 
@@ -22,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paramo.llm.common import numbered, pick, position, restored, store
+from paramo.llm.common import PlacedFile, numbered, pick, position, restored, scratch_path, shared_folder
 
 #: Words are runs of a-z, 0-9 and everything beyond ASCII; A-Z are lower-cased.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or chr(c).isdigit() or 97 <= c <= 122 else 32 for c in range(256))
@@ -149,25 +153,59 @@ def pieces(text: bytes, window: int, block_words: int) -> Iterator[tuple[int, by
         yield len(piece), text[piece[0][0] : piece[-1][1]]
 
 
-def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", block_words: int = BLOCK_WORDS, window: int = WINDOW) -> list[list[tuple[str, bytes]]]:
-    """The items, dealt into lists of at most ``block_words`` words; an item without words is left out.
+#: Blocks that one task builds, about; automata that a worker keeps.
+BLOCKS_A_TASK, KEPT_AUTOMATA = 8, 2
+#: Texts whose words are held at a time.
+SLICE = 256
 
+
+def automata(benchmark: DataFrame, item: str = "item_id", text: str = "text", block_words: int = BLOCK_WORDS, window: int = WINDOW) -> list[str]:
+    """The files of the items' automata, each of at most ``block_words`` words; an item without words is left out.
+
+    Items go by name and text; a task takes a range of them, fills block after
+    block and writes their automata, so no block passes through the driver.
     An item above ``block_words`` words is dealt in :func:`pieces` under its
-    one name.  Only one block is ever part of a task, and the test items are
-    what the caller chose to remove, so they do not grow with the corpus.
-    Raises ValueError where a block could not hold a window."""
+    one name.  Raises ValueError where a block could not hold a window."""
     if block_words < window:
         raise ValueError(f"block_words is {block_words}; a window has {window} words")
-    rows = pick(benchmark, item=item, txt=text).select(F.coalesce(F.col("item").cast("string"), F.lit("null")).alias("item"), F.col("txt").cast("binary").alias("txt"))
-    out, size = [[]], 0
-    for row in rows.where("txt IS NOT NULL").orderBy("item", "txt").toLocalIterator():
-        for n, piece in pieces(bytes(row["txt"]), window, block_words):
-            if size + n > block_words:
-                out.append([])
-                size = 0
-            out[-1].append((row["item"], piece))
-            size += n
-    return out
+    spark = benchmark.sparkSession
+    folder = scratch_path(spark, "automata")
+    rows = pick(benchmark, item=item, txt=text).select(F.coalesce(F.col("item").cast("string"), F.lit("null")).alias("item"), F.col("txt").cast("binary").alias("txt")).where("txt IS NOT NULL")
+    size = rows.agg(F.sum(F.octet_length("txt"))).first()[0] or 0  # a word is two bytes at least, with what parts it from the next
+    tasks = max(1, -(-size // (2 * block_words * BLOCKS_A_TASK)))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, words, part, made = [], 0, 0, []
+
+        def write() -> None:
+            file = PlacedFile(folder, f"{part:05d}-{len(made):05d}.pickle")
+            file.out.write(pickle.dumps(Automaton(block, window), pickle.HIGHEST_PROTOCOL))
+            file.close()
+            made.append(file.name.rsplit("/", 1)[1])
+
+        for b in batches:
+            for number, name, raw in zip(*(c.to_pylist() for c in b.columns)):
+                part = number
+                for n, piece in pieces(raw, window, block_words):
+                    if words + n > block_words:
+                        write()
+                        block, words = [], 0
+                    block.append((name, piece))
+                    words += n
+        if block:
+            write()
+        yield pa.RecordBatch.from_arrays([pa.array(made, pa.string())], ["name"])
+
+    ranged = rows.repartitionByRange(tasks, "item", "txt").sortWithinPartitions("item", "txt").select(F.spark_partition_id().alias("part"), "item", "txt")
+    names = ranged.mapInArrow(build, "name string").collect()  # a name for each block
+    return [f"{folder}/{r['name']}" for r in sorted(names)]
+
+
+@functools.lru_cache(KEPT_AUTOMATA)
+def loaded(file: str) -> Automaton:
+    fs, path = shared_folder(file)
+    with fs.open_input_stream(path) as f:
+        return pickle.loads(f.read())
 
 
 def _texts(column: pa.Array) -> list[bytes | None]:
@@ -182,32 +220,31 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     items count once, repeated rows each get their row; an empty table gives an
     empty result, an empty benchmark finds nothing.  Whole texts are read;
     other columns are not."""
-    rows = pick(docs, id=key, txt=text).withColumns({"hit": F.lit(None).cast("binary"), "items": F.array().cast("array<string>")})
-    parts = blocks(benchmark, item, item_text, block_words, window)
-    for i, part in enumerate(parts):
-        def run(batches: Iterator[pa.RecordBatch], part=part, last=i == len(parts) - 1) -> Iterator[pa.RecordBatch]:
-            automaton = Automaton(part, window)
-            for b in batches:
-                n_words, n_hit, hit, items = [], [], [], []
-                for raw, before, names in zip(_texts(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist()):
-                    words = (raw or b"").translate(FOLD).split()
-                    marks, found = automaton.hits(words)
-                    if before is not None:
-                        old = np.unpackbits(np.frombuffer(before, np.uint8), count=len(words)).astype(bool)
-                        marks = old if marks is None else marks | old
-                    n_words.append(len(words))
-                    n_hit.append(0 if marks is None else int(marks.sum()))
-                    hit.append(None if marks is None or last else np.packbits(marks).tobytes())
-                    items.append(sorted(found.union(names)) if found or names else [])
-                text_out = pa.nulls(len(b), pa.string()) if last else b.column(1)
-                yield pa.RecordBatch.from_arrays([b.column(0), text_out, pa.array(hit, pa.binary()), pa.array(items, pa.list_(pa.string())), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64())],
-                                                 ["id", "txt", "hit", "items", "n_words", "n_hit"])
-
-        kind = f"id {rows.schema['id'].dataType.simpleString()}, txt string, hit binary, items array<string>, n_words long, n_hit long"
-        rows = rows.select("id", "txt", "hit", "items").mapInArrow(run, kind)
-        if i < len(parts) - 1:
-            rows = store(rows, "decontam-block")
-    return rows.select(F.col("id").alias(key), "n_words", "n_hit", "items")
+    rows = pick(docs, id=key, txt=text)
+    files = automata(benchmark, item, item_text, block_words, window)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            # words of few texts at a time, unless that would load files again for each few
+            some = SLICE if len(files) <= KEPT_AUTOMATA else max(len(whole), 1)
+            for at in range(0, len(whole), some):
+                b = whole.slice(at, some)
+                words = [(raw or b"").translate(FOLD).split() for raw in _texts(b.column(1))]
+                hit: dict[int, np.ndarray] = {}
+                items: dict[int, set[str]] = {}
+                for file in files:
+                    automaton = loaded(file)
+                    for i, w in enumerate(words):
+                        marks, found = automaton.hits(w)
+                        if marks is not None:
+                            hit[i] = hit[i] | marks if i in hit else marks
+                            items.setdefault(i, set()).update(found)
+                n_hit = [int(hit[i].sum()) if i in hit else 0 for i in range(len(b))]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, words), pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(items.get(i, ())) for i in range(len(b))], pa.list_(pa.string()))],
+                                                 ["id", "n_words", "n_hit", "items"])
+
+    found = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_words long, n_hit long, items array<string>")
+    return found.select(F.col("id").alias(key), "n_words", "n_hit", "items")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
@@ -216,36 +253,34 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 
     A row of which more than ``max_coverage`` of the words are cut goes
     altogether.  Cutting is repeated until no window is left, also none over a
-    cut.  Rows without hits, null and empty texts included, are left as they are."""
+    cut.  Rows without hits, null and empty texts included, are left as they
+    are; repeated rows are treated alike, an empty table stays empty, and an
+    empty benchmark cuts nothing.  The texts are read and written once."""
     rows, _ = numbered(docs, txt=text)
     own = f"c{position(docs, text)}"  # the text travels once, as txt
-    rows = rows.withColumns({own: F.lit(None).cast("string"), "total": F.lit(-1).cast("long"), "gone": F.lit(0).cast("long")})
-    parts = blocks(benchmark, item, item_text, block_words, window)
-    width, kind, cut_now = len(rows.columns) - 3, rows.schema, 0
-    while True:
-        for part in parts:
-            def run(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
-                automaton = Automaton(part, window)
-                for b in batches:
-                    texts, totals, gone = _texts(b.column(width)), b.column(width + 1).to_pylist(), b.column(width + 2).to_pylist()
-                    for i, raw in enumerate(texts):
-                        words = (raw or b"").translate(FOLD).split()
-                        totals[i] = len(words) if totals[i] < 0 else totals[i]
-                        marks, _ = automaton.hits(words)
+    rows = rows.withColumns({own: F.lit(None).cast("string"), "total": F.lit(0).cast("long"), "gone": F.lit(0).cast("long")})
+    files = automata(benchmark, item, item_text, block_words, window)
+    width, kind = len(rows.columns) - 3, rows.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = _texts(b.column(width))
+            totals = [len((raw or b"").translate(FOLD).split()) for raw in texts]
+            gone, todo = [0] * len(b), list(range(len(b)))
+            while todo:  # a cut for one block may have made a window of another
+                again = set()
+                for file in files:
+                    automaton = loaded(file)
+                    for i in todo:
+                        marks, _ = automaton.hits((texts[i] or b"").translate(FOLD).split())
                         while marks is not None:
-                            raw = texts[i] = cut(raw, marks)
+                            texts[i] = cut(texts[i], marks)
                             gone[i] += int(marks.sum())
-                            marks, _ = automaton.hits(raw.translate(FOLD).split())
-                    new = [pa.array(texts, pa.binary()).cast(b.column(width).type), pa.array(totals, pa.int64()), pa.array(gone, pa.int64())]
-                    yield pa.RecordBatch.from_arrays([*b.columns[:width], *new], names=b.schema.names)
-
-            rows = rows.mapInArrow(run, kind)
-            if len(parts) > 1:
-                rows = store(rows, "decontam-cut")
-        if len(parts) == 1:
-            break
-        # a cut for one block may have made a window of another: go on until a round cuts nothing
-        cut_before, cut_now = cut_now, rows.agg(F.sum("gone")).first()[0] or 0
-        if cut_now == cut_before:
-            break
+                            again.add(i)
+                            marks, _ = automaton.hits(texts[i].translate(FOLD).split())
+                todo = sorted(again) if len(files) > 1 else []
+            new = [pa.array(texts, pa.binary()).cast(b.column(width).type), pa.array(totals, pa.int64()), pa.array(gone, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:width], *new], names=b.schema.names)
+
+    rows = rows.mapInArrow(run, kind)
     return restored(rows.where(F.col("gone") <= F.col("total") * max_coverage), docs, **{text: "txt"})

@@ -73,7 +73,7 @@ def test_edges(spark):
     none = bench.limit(0)
     assert D.contamination(docs, none).agg({"n_hit": "sum"}).first()[0] == 0 and D.decontaminate(docs, none).count() == docs.count()
     with pytest.raises(ValueError):
-        D.blocks(bench, block_words=5)
+        D.automata(bench, block_words=5)
 
 
 def test_mostly_contaminated_rows_go(spark):
@@ -100,3 +100,14 @@ def test_pieces_hold_every_window():
         cut = [p.split() for n, p in D.pieces(text, 4, block_words) if n == len(p.split()) <= block_words]
         assert {tuple(p[i : i + 4]) for p in cut for i in range(len(p) - 3)} == {tuple(text.split()[i : i + 4]) for i in range(47)}
         assert all(len(p) >= 4 for p in cut)
+
+
+def test_blocks_are_files_that_hold_all_items(spark):
+    """Small blocks make many files; no block is larger than asked, and each item stands in one."""
+    rng = random.Random(5)
+    items = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(4, 30)))) for i in range(60)]
+    files = D.automata(spark.createDataFrame(items, "item_id long, text string"), block_words=50, window=4)
+    made = [D.loaded(f) for f in files]
+    assert len(files) == len(set(files)) > 10
+    assert sorted(n for a in made for n in {x for names in a.items.values() for x in names}) == sorted(str(i) for i, _ in items)
+    assert all(len(a.next) <= 2 * 50 + 1 for a in made)
