@@ -7,9 +7,12 @@ and number, block by block with every dictionary, and given the language whose
 total is smallest.  The score is the margin, the share by which the
 smallest total is below the second; a narrow margin means: rejected.
 
-What is learned is bounded by parameters: ``SAMPLE_DOCS`` documents a
-language, ``EXCERPT`` characters of each, ``DICT_BYTES`` a dictionary, the
-``MAX_LANGUAGES`` most frequent languages.  Prediction reads whole texts.
+What is learned is bounded by parameters: ``SAMPLE_DOCS`` documents of a
+language, ``EXCERPT`` bytes of each, taken from a hashed place of the text;
+together they fill a dictionary of ``DICT_BYTES``.  Every language is learned,
+however rare and however many there are: the dictionaries are a table in the
+shared folder, and tasks hold ``LANG_BLOCK`` of them at a time.  Prediction
+reads whole texts.
 """
 
 from __future__ import annotations
@@ -18,14 +21,16 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.dataset
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paramo.llm.common import numbered, pick, position, restored, store
+from paramo.llm.common import numbered, pick, position, restored, scratch_path, shared_folder, store
 
-SAMPLE_DOCS, EXCERPT, DICT_BYTES, MAX_LANGUAGES = 400, 500, 65_536, 200
+SAMPLE_DOCS, EXCERPT = 128, 512
+DICT_BYTES, LANG_BLOCK = SAMPLE_DOCS * EXCERPT, 64
 #: Level 9 of the compressor finds the short matches that tell languages apart; blocks of 1,024 bytes keep a text from being its own dictionary.
 LEVEL, BLOCK = 9, 1_024
 MIN_MARGIN = 0.003
@@ -43,28 +48,48 @@ def folded(text: str | None) -> str:
     return " ".join(dict.fromkeys(lowered(text).split()))
 
 
-def fit(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
-    """A dictionary for each language, from rows for which ``train`` (a condition on the key, called ``id``) holds.
+def fit(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> str:
+    """The path of a table ``(lang, content)``: a dictionary for each language, from rows for which ``train`` (a condition on the key, called ``id``) holds.
 
     Rows without key, text or language are left out.  The documents of a
     language with the smallest hashes are its sample; a first cut by hash
     keeps the ranking of a language with most of the rows small."""
     rows = pick(docs, id=key, txt=text, lang=lang).where(train & F.col("txt").isNotNull() & F.col("lang").isNotNull())
     draw = F.xxhash64("id", F.lit("language sample"))
-    counts = store(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).withColumnRenamed("lang", "of"), "lang-counts")
-    near = rows.join(F.broadcast(counts), F.col("lang") == F.col("of"))  # at most MAX_LANGUAGES rows
+    # a row for each language, which the planner broadcasts if it is small
+    counts = store(rows.groupBy("lang").count().withColumnRenamed("lang", "of"), "lang-counts")
+    near = rows.join(counts, F.col("lang") == F.col("of"))
     near = near.where(F.pmod(draw, F.lit(1_000_000)) <= 1_000_000 * 2.0 * SAMPLE_DOCS / F.col("count"))
     place = F.row_number().over(W.partitionBy("lang").orderBy(draw, "txt"))
-    chosen = near.select("lang", place.alias("place"), F.substring("txt", 1, 8 * EXCERPT).alias("txt")).where(F.col("place") <= SAMPLE_DOCS)
-    texts: dict[str, list[str]] = {}
-    for row in chosen.orderBy("lang", "place").collect():  # at most MAX_LANGUAGES * SAMPLE_DOCS excerpts
-        texts.setdefault(row["lang"], []).append(folded(row["txt"])[:EXCERPT])
-    filled = {name: " ".join(t).encode()[:DICT_BYTES] for name, t in texts.items()}
-    return {name: d for name, d in filled.items() if len(d) >= 8}
+    # enough characters from a hashed place on to find an excerpt's distinct words among
+    start = F.pmod(F.xxhash64("id", F.lit("place")), F.greatest(F.length("txt") - 8 * EXCERPT, F.lit(0)) + 1)
+    chosen = near.select("lang", place.alias("place"), start.alias("start"), F.substr("txt", (start + 1).cast("int"), F.lit(8 * EXCERPT)).alias("txt")).where(F.col("place") <= SAMPLE_DOCS)
+
+    def fill(group: pa.Table) -> pa.Table:
+        texts = []
+        for at, start, txt in sorted(zip(*(group.column(c).to_pylist() for c in ("place", "start", "txt")))):
+            words = folded(txt).split(" ")
+            # what begins within a text may begin within a word
+            texts.append(" ".join(words[1:] if start else words).encode()[: EXCERPT - 1].decode("utf-8", "ignore"))
+        return pa.table({"lang": [group.column("lang")[0].as_py()], "content": [" ".join(texts).encode()[:DICT_BYTES]]}, pa.schema([("lang", pa.string()), ("content", pa.binary())]))
+
+    path = scratch_path(docs.sparkSession, "lang-dictionaries")
+    filled = chosen.withColumn("lang", F.col("lang").cast("string")).groupBy("lang").applyInArrow(fill, "lang string, content binary")  # SAMPLE_DOCS excerpts a language at most
+    filled.where(F.octet_length("content") >= 8).write.parquet(path)
+    return path
+
+
+def dictionaries(path: str) -> Iterator[dict[str, bytes]]:
+    """The dictionaries of a table that :func:`fit` wrote, ``LANG_BLOCK`` languages at a time."""
+    fs, base = shared_folder(path)
+    kind = pa.schema([("lang", pa.string()), ("content", pa.binary())])
+    for batch in pa.dataset.dataset(base, filesystem=fs, format="parquet", schema=kind).to_batches(batch_size=LANG_BLOCK):
+        if len(batch):
+            yield dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
 
 
 class Classifier:
-    """The dictionaries as compressors; built once in each task."""
+    """Some languages' dictionaries as compressors."""
 
     def __init__(self, dictionaries: dict[str, bytes]):
         self.coders = []
@@ -73,25 +98,43 @@ class Classifier:
             d.precompute_compress(level=LEVEL)
             self.coders.append((name, zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False).compress))
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        line = lowered(text).encode()
-        if not line or not self.coders:
-            return "und", 0.0
+    def best(self, line: bytes) -> list[tuple[int, str]]:
+        """The two smallest total sizes with their languages; fewer if there are fewer."""
         line = b" " + line + b" "
         blocks = [line[i : i + BLOCK] for i in range(0, len(line), BLOCK)]
-        sizes = sorted((sum(len(code(b)) for b in blocks), name) for name, code in self.coders)
-        margin = 1.0 if len(sizes) == 1 else (sizes[1][0] - sizes[0][0]) / sizes[1][0]
-        return sizes[0][1], margin
+        return sorted((sum(len(code(b)) for b in blocks), name) for name, code in self.coders)[:2]
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        line = lowered(text).encode()
+        return verdict(line, self.best(line) if line else [])
+
+
+def verdict(line: bytes, best: list[tuple[int, str]]) -> tuple[str, float]:
+    """Language and margin from the two smallest sizes."""
+    if not line or not best:
+        return "und", 0.0
+    return best[0][1], 1.0 if len(best) == 1 else (best[1][0] - best[0][0]) / best[1][0]
 
 
-def identified(rows: DataFrame, dictionaries: dict[str, bytes], keep_text: bool = False) -> DataFrame:
+def identified(rows: DataFrame, path: str, keep_text: bool = False) -> DataFrame:
     """``rows`` with lang_pred and score from their column ``txt``, which becomes null unless ``keep_text``."""
     at, names = rows.columns.index("txt"), rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classifier = Classifier(dictionaries)
+        held: list[Classifier] = []
         for b in batches:
-            found = [classifier.predict(t) for t in b.column(at).to_pylist()]
+            lines = [lowered(t.as_py()).encode() for t in b.column(at)]
+            best: list[list[tuple[int, str]]] = [[] for _ in lines]
+            # one block of languages stays as it is; of several, one is held at a time
+            blocks = iter(held) if held else map(Classifier, dictionaries(path))
+            n = 0
+            for classifier in blocks:
+                n += 1
+                last = classifier
+                best = [sorted(was + classifier.best(line))[:2] if line else was for was, line in zip(best, lines)]
+            if n == 1:
+                held = [last]
+            found = [verdict(line, x) for line, x in zip(lines, best)]
             columns = [c if i != at or keep_text else pa.nulls(len(b), c.type) for i, c in enumerate(b.columns)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], [*names, "lang_pred", "score"])
 
@@ -120,7 +163,8 @@ def keep_identified(docs: DataFrame, key: str = "doc_id", text: str = "text", la
     """The rows of ``docs`` whose language is told with a margin of ``min_margin`` at least, columns as they are.
 
     Rejected are texts that are null, have no letter, or compress about as
-    well with two languages' dictionaries."""
+    well with two languages' dictionaries.  Repeated rows are judged alike; an
+    empty table stays empty."""
     learned = fit(docs, ~is_held_out(F.col("id")), key, text, lang)
     rows, _ = numbered(docs, txt=text)
     rows = rows.withColumn(f"c{position(docs, text)}", F.lit(None).cast("string"))  # the text travels once, as txt
