@@ -13,33 +13,35 @@ File format, in one folder:
     offset in the shard and length (in ids).  A lookup costs a few probes
     whatever the size; a fingerprint that differs tells an unknown key.
 
-Keys are whole numbers.  Files are written under a name of their own and then
-moved into place, so a task that runs twice leaves one whole file.
+A row's key in the index is its number and how many rows with that number
+stand before it, so rows that share a number are found one by one.  Files are
+written under a name of their own and then moved into place, so a task that
+runs twice leaves one whole file.
 """
 
 from __future__ import annotations
 
 import functools
 import io
-import uuid
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paramo.llm.common import pick, store
+from paramo.llm.common import PlacedFile, pick, shared_folder, store
 
 #: Chunks of text whose ids a worker remembers; bytes of text a shard holds, about; keys an index part holds, about.
-REMEMBER, SHARD_BYTES, PART_KEYS = 1_000_000, 64 << 20, 250_000
-#: A run of these after letters is a token sequence of its own with tokenizers that part letters from signs.
-SIGNS = b".,;:!?#$%&*"
-#: Texts that are encoded together.
-SLICE = 256
+REMEMBER, SHARD_BYTES, PART_KEYS = 800_000, 64 << 20, 250_000
+#: Before one of these signs and after a Latin letter that normalising and lower-casing leave a letter, tokenizers that part letters from signs always part (UTF-8: A-Z, a-z, U+00C0 to U+017F without signs and dotted I).
+PARTED = re.compile(rb"(?=[.,;:!?#$%&*])(?:(?<=[A-Za-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])|(?<=\xc4[\x80-\xaf\xb1-\xbf])|(?<=\xc5[\x80-\xbf]))")
+#: Texts that are encoded together; rows of one number that are asked for together.
+SLICE, ASKED = 256, 10_000
 NULL_KEY = -(2**63)
 
 
@@ -50,9 +52,8 @@ class Encoder:
 
     With a tokenizer that drops ASCII white space, joins nothing across it and
     parts letters from signs (``chunked``), a text's ids are those of its
-    white-space separated chunks, and those of letters with ``SIGNS`` after
-    them the ids of either, one after the other; of any other, whole texts
-    are encoded."""
+    white-space separated chunks, cut once more where :data:`PARTED` tells; of
+    any other, whole texts are encoded."""
 
     def __init__(self, path: str, width: int, chunked: bool = True):
         from tokenizers import Tokenizer
@@ -60,34 +61,27 @@ class Encoder:
         tokenizer = Tokenizer.from_file(path)
         if tokenizer.get_vocab_size() > 256**width:
             raise ValueError(f"ids of {path} do not fit {width} bytes")
-        self.encode, self.kind, self.chunked, self.known = tokenizer.encode_batch_fast, f"<u{width}", chunked, {}
+        self.encode, self.width, self.chunked, self.known = tokenizer.encode_batch_fast, width, chunked, {}
+
+    def written(self, ids: list[int]) -> bytes:
+        """The ids as little-endian numbers."""
+        return np.array(ids, f"<u{self.width}").tobytes() if self.width not in (2, 4) or LITTLE is False else array(TYPES[self.width], ids).tobytes()
 
     def __call__(self, texts: list[bytes], end: int) -> list[bytes]:
-        chunks = [t.split() if self.chunked else [t] for t in texts]
+        chunks = [PARTED.sub(b" ", t).split() if self.chunked else [t] for t in texts]
         known = self.known
         if len(known) > REMEMBER:
             known.clear()
-        new, parted = set(), []
-        for c in set().union(*chunks):
-            if c not in known:
-                stem = c.rstrip(SIGNS) if self.chunked else c
-                # a capital dotted I is lower-cased to two characters, the second no letter
-                if stem and len(stem) < len(c) and (letters := stem.decode()).isalpha() and "\u0130" not in letters:
-                    parted.append((c, stem, c[len(stem) :]))
-                    new.update(x for x in parted[-1][1:] if x not in known)
-                else:
-                    new.add(c)
-        new = list(new)
+        new = list(set().union(*chunks).difference(known))
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            for c, e in zip(part, self.encode([c.decode() for c in part], add_special_tokens=False)):
-                known[c] = np.array(e.ids, self.kind).tobytes()
-        last = np.array([end], self.kind).tobytes()
-        known.update([(c, known[stem] + known[signs]) for c, stem, signs in parted])
-        out = [b"".join([*map(known.__getitem__, c), last]) for c in chunks]
-        for c, _, _ in parted:  # made again from its parts where it comes again: room for more words
-            del known[c]
-        return out
+            known.update(zip(part, [self.written(e.ids) for e in self.encode([c.decode() for c in part], add_special_tokens=False)]))
+        last = self.written([end])
+        return [b"".join([*map(known.__getitem__, c), last]) for c in chunks]
+
+
+#: Native arrays write little-endian numbers here, faster than numpy writes few.
+TYPES, LITTLE = {2: "H", 4: "I"}, array("H", [1]).tobytes() == b"\x01\x00" and array("I").itemsize == 4
 
 
 @functools.lru_cache(2)
@@ -96,30 +90,12 @@ def encoder(path: str, width: int, chunked: bool) -> Encoder:
     return Encoder(path, width, chunked)
 
 
-# ------------------------------------------------------------ shared files
-
-def _folder(uri: str) -> tuple[pa.fs.FileSystem, str]:
-    return pa.fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "file://", 1) if uri.startswith("file:") else f"file://{uri}")
-
-
-class _Placed:
-    """A file that appears under its name when it is complete."""
-
-    def __init__(self, folder: str, name: str):
-        self.fs, base = _folder(folder)
-        self.fs.create_dir(base, recursive=True)
-        self.name, self.part = f"{base}/{name}", f"{base}/.{name}.{uuid.uuid4().hex}"
-        self.out = self.fs.open_output_stream(self.part)
-
-    def close(self) -> None:
-        self.out.close()
-        self.fs.move(self.part, self.name)
-
-
 # ------------------------------------------------- minimal perfect hashing
 
 def mixed(keys: np.ndarray, seed: int) -> np.ndarray:
-    """64 well-mixed bits of each key and the seed."""
+    """64 well-mixed bits of each key and the seed; a key is a number, or a row of two."""
+    if keys.ndim == 2:
+        return mixed(mixed(keys[:, 0], seed).view(np.int64) + keys[:, 1], seed + 1)
     x = keys.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % 2**64)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -141,7 +117,7 @@ class PerfectHash:
 
     @classmethod
     def of(cls, keys: np.ndarray) -> PerfectHash:
-        """Of distinct 64-bit keys."""
+        """Of distinct keys."""
         levels, left = [], keys
         while len(left):
             words = max(1, int(np.ceil(cls.GAMMA * len(left) / 64)))
@@ -211,47 +187,61 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int, key: st
                  shard_bytes: int = SHARD_BYTES, part_keys: int = PART_KEYS) -> DataFrame:
     """Write the payload and index of ``docs`` to ``folder``; ``(shard, base, ids)`` of each shard, ``base`` ids being before it.
 
-    Rows are ordered by key, null keys first, then by text; rows that repeat a
-    key follow each other in the payload, and the index names the first one
-    and the length of them all.  Null texts have the end id only.  An empty
-    table writes an empty index and no payload."""
+    Rows go by key, null keys first, and rows that repeat a key by a hash of
+    the text, so that a key with a third of all rows is spread over shards;
+    each of them has its entry in the index.  Null keys are written as the
+    smallest 64-bit number, which reads back as null.  Null texts have the end
+    id only.  An empty table writes an empty index and no payload.  Columns
+    other than key and text are not read."""
     rows = pick(docs, id=key, txt=text).select(F.coalesce(F.col("id").cast("long"), F.lit(NULL_KEY)).alias("id"), F.coalesce("txt", F.lit("")).alias("txt"))
     size = rows.agg(F.sum(F.octet_length("txt") + 1)).first()[0] or 0
     shards = max(1, -(-size // shard_bytes))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, placed, at, shard = encoder(tokenizer, width, chunked), None, 0, -1
+        last, seen = None, 0  # rows of the last key so far
         for b in batches:
             if not len(b):
                 continue
             if placed is None:
                 shard = b.column(0)[0].as_py()
-                placed = _Placed(f"{folder}/payload", f"{shard:05d}.bin")
-            texts = b.column(2).cast(pa.binary())
+                placed = PlacedFile(f"{folder}/payload", f"{shard:05d}.bin")
+            texts, ids = b.column(2).cast(pa.binary()), b.column(1).to_numpy()
             # few texts at a time: their chunks are many small objects
-            coded = [ids for at_row in range(0, len(texts), SLICE) for ids in encode(texts.slice(at_row, SLICE).to_pylist(), end)]
+            coded = [x for at_row in range(0, len(texts), SLICE) for x in encode(texts.slice(at_row, SLICE).to_pylist(), end)]
             n = np.fromiter(map(len, coded), np.int64, len(coded)) // width
             placed.out.write(b"".join(coded))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), shard)), b.column(1), pa.array(at + np.cumsum(n) - n), pa.array(n)], ["shard", "id", "at", "n"])
+            first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+            k = np.arange(len(ids)) - np.repeat(first, np.diff(np.append(first, len(ids))))
+            if ids[0] == last:
+                k[: first[1] if len(first) > 1 else len(ids)] += seen
+            last, seen = ids[-1], int(k[-1]) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), shard)), b.column(1), pa.array(k), pa.array(at + np.cumsum(n) - n), pa.array(n)], ["shard", "id", "k", "at", "n"])
             at += int(n.sum())
         if placed is not None:
             placed.close()
 
-    ranged = rows.repartitionByRange(shards, "id").sortWithinPartitions("id", "txt").select(F.spark_partition_id().cast("long").alias("shard"), "id", "txt")
-    told = store(ranged.mapInArrow(write, "shard long, id long, at long, n long"), "token-spans")
+    order = ["id", "mark", "tie"]
+    ranged = rows.withColumns({"mark": F.xxhash64("txt"), "tie": F.monotonically_increasing_id()}).repartitionByRange(shards, *order).sortWithinPartitions(*order)
+    told = store(ranged.select(F.spark_partition_id().cast("long").alias("shard"), "id", "txt").mapInArrow(write, "shard long, id long, k long, at long, n long"), "token-spans")
+    # a key that goes on in the next shard counts on there: only a shard's first and last key can
+    ends = told.groupBy("shard").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    edge = told.join(ends, "shard").where((F.col("id") == F.col("lo")) | (F.col("id") == F.col("hi"))).groupBy("id", "shard").agg(F.count(F.lit(1)).alias("here"))
+    before = F.sum("here").over(W.partitionBy("id").orderBy("shard").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("here")
+    goes_on = store(edge.withColumn("before", before).where("before > 0").select("id", "shard", "before"), "token-edges")  # a row a shard at most
+    entries = told.join(goes_on, ["id", "shard"], "left").withColumn("k", F.col("k") + F.coalesce("before", F.lit(0)))
     parts = max(1, -(-told.count() // part_keys))
 
     def index(batch: pa.Table) -> pa.Table:
         part = batch.column("part")[0].as_py()
-        values = {k: batch.column(k).to_numpy() for k in ("id", "shard", "at", "n")}
-        placed = _Placed(f"{folder}/index", f"{part:05d}.npz")
-        IndexPart.of(values.pop("id"), **values).save(placed.out)
+        values = {c: batch.column(c).to_numpy() for c in ("shard", "at", "n")}
+        placed = PlacedFile(f"{folder}/index", f"{part:05d}.npz")
+        IndexPart.of(np.column_stack([batch.column("id").to_numpy(), batch.column("k").to_numpy()]), **values).save(placed.out)
         placed.close()
         return pa.table({"part": [part], "keys": [len(batch)]})
 
-    # rows of one key: one entry; combined before the shuffle
-    entries = told.groupBy("shard", "id").agg(F.min("at").alias("at"), F.sum("n").alias("n"))
-    store(entries.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts))).groupBy("part").applyInArrow(index, "part long, keys long"), "token-index")
+    cells = entries.select("id", "k", "shard", "at", "n", F.pmod(F.xxhash64("id", "k"), F.lit(parts)).alias("part"))
+    store(cells.groupBy("part").applyInArrow(index, "part long, keys long"), "token-index")
     # one row a shard
     totals = told.groupBy("shard").agg(F.sum("n").alias("ids"))
     base = F.sum("ids").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("ids")
@@ -259,28 +249,32 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end: int, key: st
 
 
 def read_tokens(keys: DataFrame, folder: str, shards: DataFrame, key: str = "doc_id", width: int = 2) -> DataFrame:
-    """``(key, start, n_tokens, ids_crc32)`` of each distinct key that the index knows, from the files in ``folder``.
+    """``(key, start, n_tokens, ids_crc32)`` of each row of ``keys`` that the index knows, from the files in ``folder``.
 
+    A key that stands in several rows asks for as many documents of that key.
     ``start`` counts the ids of all documents before it; ``ids_crc32`` is
     taken over the ids as little-endian unsigned 32-bit integers."""
     first = shards.select("parts").first()
     parts = first["parts"] if first else 1
-    asked = pick(keys, id=key).select(F.coalesce(F.col("id").cast("long"), F.lit(NULL_KEY)).alias("id")).distinct()
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)))
+    wanted = pick(keys, id=key).select(F.coalesce(F.col("id").cast("long"), F.lit(NULL_KEY)).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
+    # the rows of a key in two steps, as they may be very many
+    runs = wanted.select("id", "rows", F.explode(F.expr(f"sequence(0, rows - 1, {ASKED})")).alias("begin")).repartition("id", "begin")
+    asked = runs.select("id", F.explode(F.expr(f"sequence(begin, least(rows, begin + {ASKED}) - 1)")).alias("k"))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("id", "k"), F.lit(parts)))
 
     def look_up(batch: pa.Table) -> pa.Table:
-        fs, base = _folder(folder)
+        fs, base = shared_folder(folder)
         with fs.open_input_stream(f"{base}/index/{batch.column('part')[0].as_py():05d}.npz") as f:
             part = IndexPart.load(f.read())
         ids = batch.column("id").to_numpy()
-        got = part.get(ids)
+        got = part.get(np.column_stack([ids, batch.column("k").to_numpy()]))
         known = got["known"]
-        return pa.table({"id": ids[known], **{k: got[k][known].astype(np.int64) for k in ("shard", "at", "n")}})
+        return pa.table({"id": ids[known], **{c: got[c][known].astype(np.int64) for c in ("shard", "at", "n")}})
 
     found = asked.groupBy("part").applyInArrow(look_up, "id long, shard long, at long, n long")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (fs, base), opened, payload = _folder(folder), None, None
+        (fs, base), opened, payload = shared_folder(folder), None, None
         for b in batches:
             ids, shard, at, n = (b.column(i).to_pylist() for i in range(4))
             crc = []

@@ -18,18 +18,22 @@ def plain(text):
     return [*WHOLE.encode(text or "", add_special_tokens=False).ids, 2]
 
 
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
 def check(spark, docs, folder, **kw):
+    """Every document is found: one after the other in the order of keys, rows of one key in some order."""
     shards = T.write_tokens(docs, folder, PATH, end=2, **kw)
-    got = {r["doc_id"]: r for r in T.read_tokens(docs, folder, shards).collect()}
-    rows = sorted(((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
-    start, want = 0, {}
-    for i, text in rows:
-        ids = plain(text)
-        want.setdefault(i, (start, []))[1].extend(ids)
-        start += len(ids)
-    assert set(got) == set(want)
-    for i, (begin, ids) in want.items():
-        assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (begin, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), i
+    got = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in T.read_tokens(docs, folder, shards).collect())
+    want = [(r["doc_id"], plain(r["text"])) for r in docs.select("doc_id", "text").collect()]
+    assert sorted((str(i), n, c) for _, i, n, c in got) == sorted((str(i), len(ids), crc(ids)) for i, ids in want)
+    at = 0
+    for start, _, n, _ in got:
+        assert start == at
+        at += n
+    keys = [(i is not None, i or 0) for _, i, _, _ in got]
+    assert keys == sorted(keys)
     return shards
 
 
@@ -76,3 +80,29 @@ def test_perfect_hash():
 def test_ids_that_do_not_fit_are_refused():
     with pytest.raises(ValueError):
         T.Encoder(PATH, 1)
+
+
+def test_rows_of_one_key_are_spread_and_found(spark, tmp_path):
+    """A key with most of the rows fills many shards; each of its rows is found, also with equal texts."""
+    rows = [(7 if i % 3 else i, f"text number {i % 50} " * (i % 4)) for i in range(600)] + [(None, f"none {i % 2}") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    shards = check(spark, docs, f"file://{tmp_path}/k", shard_bytes=1_500, part_keys=50)
+    assert shards.count() > 8
+
+
+def test_letters_before_signs_give_the_ids_of_whole_texts():
+    """Every letter of every script, precomposed ones that normalise to several characters included, before every sign."""
+    letters = [chr(c) for c in range(0x41, 0x30000) if chr(c).isalpha() and not 0xAC00 <= c < 0xD7A4 and not 0x4E00 <= c < 0x9FFF and not 0x20000 <= c < 0x2F800]
+    encoder = T.Encoder(PATH, 2)
+    for sign in ".,;:!?#$%&*":
+        some = letters if sign == "." else letters[:: 7]
+        texts = [f"{c}{sign} x{c}{sign}{sign} {c}{sign}y" for c in some]
+        want = [e.ids + [2] for e in WHOLE.encode_batch(texts, add_special_tokens=False)]
+        got = [np.frombuffer(x, "<u2").tolist() for x in encoder([t.encode() for t in texts], 2)]
+        assert [c for c, a, b in zip(some, got, want) if a != b] == []
+
+
+def test_pairs_of_numbers_are_hashed_perfectly():
+    keys = np.column_stack([np.repeat(np.arange(200), 50), np.tile(np.arange(50), 200)])
+    hashed = T.PerfectHash.of(keys)
+    assert sorted(hashed.slots(keys).tolist()) == list(range(len(keys)))
