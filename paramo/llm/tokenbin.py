@@ -62,6 +62,12 @@ class Encoder:
         if tokenizer.get_vocab_size() > 256**width:
             raise ValueError(f"ids of {path} do not fit {width} bytes")
         self.encode, self.width, self.chunked, self.known = tokenizer.encode_batch_fast, width, chunked, {}
+        # ASCII letters alone need only be lower-cased and merged, where the tokenizer shows that this is all it does to them
+        self.merge = tokenizer.model.tokenize
+        self.plain = chunked and all(tokenizer.encode(w, add_special_tokens=False).ids == self.merged(w) for w in ("Zqxwvuts", "internationalISATION", "A", "the"))
+
+    def merged(self, word: str) -> list[int]:
+        return [t.id for t in self.merge(word.lower())]
 
     def written(self, ids: list[int]) -> bytes:
         """The ids as little-endian numbers."""
@@ -72,7 +78,12 @@ class Encoder:
         known = self.known
         if len(known) > REMEMBER:
             known.clear()
-        new = list(set().union(*chunks).difference(known))
+        new = set().union(*chunks).difference(known)
+        if self.plain:
+            letters = [c for c in new if c.isalpha()]  # of bytes: ASCII letters
+            known.update((c, self.written(self.merged(c.decode()))) for c in letters)
+            new.difference_update(letters)
+        new = list(new)
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             known.update(zip(part, [self.written(e.ids) for e in self.encode([c.decode() for c in part], add_special_tokens=False)]))
