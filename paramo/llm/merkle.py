@@ -79,7 +79,8 @@ def linked(nodes: DataFrame, arity: int = ARITY) -> DataFrame:
     else:
         to = F.explode(F.transform(F.sequence(F.lit(1), F.lit(arity - 1)), lambda d: F.col("idx") - slot + (slot + d) % arity))
     told = nodes.select(F.col("g").alias("to_g"), to.alias("to"), F.struct("idx", "hash").alias("s"), "n").where("to < n").drop("n")
-    met = nodes.join(told, (nodes["g"] == told["to_g"]) & (nodes["idx"] == told["to"]), "left")
+    # by a shuffle at any size: the plan, and what it needs, grows in proportion
+    met = nodes.join(told.hint("merge"), (nodes["g"] == told["to_g"]) & (nodes["idx"] == told["to"]), "left")
     runs = met.groupBy("g", "idx").agg(*[F.first(c).alias(c) for c in others], F.sort_array(F.collect_list("s")).alias("s"))
 
     def joined(side: Callable[[Column], Column]) -> Column:
@@ -123,7 +124,7 @@ def climbed(nodes: DataFrame, levels: Sequence[DataFrame], above: DataFrame, ari
         out = last.select("g", "idx", *keep, F.concat(step, "path").alias("path"), *carried)
         if higher is not None:
             up = higher.select("g", F.col("idx").alias("run"), "path", *carried)
-            rest = level.where(F.col("n") > arity).withColumn("run", F.expr(f"idx DIV {arity}")).join(up, ["g", "run"])
+            rest = level.where(F.col("n") > arity).withColumn("run", F.expr(f"idx DIV {arity}")).join(up.hint("merge"), ["g", "run"])
             out = out.unionByName(rest.select("g", "idx", *keep, F.concat(step, "path").alias("path"), *carried))
         if i:
             higher = out = store(out.drop("n"), "merkle-paths")
