@@ -31,33 +31,45 @@ def _blocks(items: Column, use: Callable[[Column], Column]) -> Column:
     return let(items, runs)
 
 
-def running(lengths: Column) -> Column:
-    """For each number of an array the sum of those before it.
+def _folded(numbers: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """For each number of an array what ``step`` made of those before it.
 
-    Adds run by run of about sqrt(n) numbers, as an array that grows by one
-    is copied each time: n * sqrt(n) copies in all, instead of n * n."""
+    Goes run by run of about sqrt(n) numbers, as an array that grows by one
+    is copied each time: n * sqrt(n) copies in all, instead of n * n.  ``step``
+    has to be associative, with ``start`` as its neutral number."""
     kind = "struct<at: int, out: array<int>>"
 
     def within(a: Column) -> Column:
-        return F.aggregate(a, F.struct(F.lit(0).alias("at"), F.array().alias("out")).cast(kind),
-                           lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")).cast(kind))
+        return F.aggregate(a, F.struct(start.alias("at"), F.array().alias("out")).cast(kind),
+                           lambda s, x: F.struct(step(s["at"], x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")).cast(kind))
 
     def joined(parts: Column) -> Column:
         starts = within(F.transform(parts, lambda p: p["at"]))["out"]
-        return F.flatten(F.zip_with(parts, starts, lambda p, at: F.transform(p["out"], lambda x: x + at)))
+        return F.flatten(F.zip_with(parts, starts, lambda p, at: F.transform(p["out"], lambda x: step(at, x))))
+
+    return let(_blocks(numbers, within), joined)
+
+
+def running(lengths: Column) -> Column:
+    """For each number of an array the sum of those before it."""
+    return _folded(lengths, F.lit(0), lambda a, b: a + b)
+
 
-    return let(_blocks(lengths, within), joined)
+def highest_before(numbers: Column) -> Column:
+    """For each number, none negative, of an array the largest of those before it; 0 for the first."""
+    return _folded(numbers, F.lit(0), F.greatest)
 
 
 def pieces_at(text: Column, spans: Column) -> Column:
-    """The pieces ``[start, end)`` of the text, in code points; spans in ascending order, not overlapping.
+    """The pieces ``[start, end)`` of the text, in code points.
 
     Cuts the text to runs of about sqrt(n) spans first and those to the spans,
-    as each cut walks from the start of what it cuts."""
+    as each cut walks from the start of what it cuts; spans in about ascending
+    order keep what a run spans short."""
     def run(some: Column) -> Column:
-        begin = F.element_at(some, 1)["start"]
-        return let(F.substr(text, begin + 1, F.element_at(some, -1)["end"] - begin),
-                   lambda part: F.transform(some, lambda s: F.substr(part, s["start"] - begin + 1, s["end"] - s["start"])))
+        ends = F.struct(F.array_min(F.transform(some, lambda s: s["start"])).alias("a"), F.array_max(F.transform(some, lambda s: s["end"])).alias("b"))
+        return let(ends, lambda e: let(F.substr(text, e["a"] + 1, e["b"] - e["a"]),
+                                       lambda part: F.transform(some, lambda s: F.substr(part, s["start"] - e["a"] + 1, s["end"] - s["start"]))))
 
     return F.flatten(_blocks(spans, run))
 

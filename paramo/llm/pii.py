@@ -1,13 +1,17 @@
 """Operator 7, personal data: base patterns, and bootstrapped contextual extraction.
 
 Four kinds are found by their form (:data:`KINDS`).  These seeds teach
-lexical patterns: the two words left of an identifier, or the word on either
-side.  Candidates are identifier-like strings outside the base spans.  On the
+lexical patterns: the two words left of an identifier, the word on either
+side, and, more general, the one word left, or the second one with any word
+between.  Words are taken without case, signs and what digits they hold, so
+"No. 7:" and "no 9" are one context.  Candidates are identifier-like strings outside the base spans.  On the
 graph of patterns and the values seen in them, Spark scores in rounds:
 
 * a pattern's confidence for a kind is the scores of that kind's values in it
   over those of all its values, unlabelled ones counting ``UNKNOWN`` each; it
-  is trusted from ``CONFIDENT`` on, with at least ``SUPPORT`` labelled values;
+  is trusted from ``CONFIDENT`` on, with at least ``SUPPORT`` labelled values,
+  a general one with at least ``BROAD`` (in prose, five values of one kind
+  stand behind some common word by chance);
 * a value's score is the chance that not all trusted patterns it occurs in
   are wrong; from ``CONFIDENT`` on the value is labelled and teaches in turn.
 
@@ -25,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paramo.llm.common import pick, store
+from paramo.llm.common import highest_before, let, pick, pieces_at, running, store
 
 # Each base pattern starts where a run of its first characters starts, or right after a match (\G): elsewhere in
 # the run it could only match if it did at the start.  That, and possessive repeats, keep long runs from
@@ -34,11 +38,14 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?:(?<![0-9])|\G)[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Identifier-like: grouped digits, or a token of letters, digits and signs that holds a digit or an @.
-CANDIDATE = r"(?:(?<![0-9A-Za-z])|\G)(?:[+(]?[0-9](?:[\x20().-]{0,2}[0-9])++(?![0-9A-Za-z@])|(?=[A-Za-z._%+-]*+[0-9@])[A-Za-z0-9](?:[A-Za-z0-9._%+@-]*[A-Za-z0-9])?)"
+#: Identifier-like: grouped digits, or a token of letters, digits and signs that holds a digit or an @, the first of them within
+#: 128 characters of a place where a token may start; a row of more than 512 digits is several.  So no start looks farther ahead.
+CANDIDATE = r"(?:(?<![0-9A-Za-z])|\G)(?:[+(]?[0-9](?:[\x20().-]{0,2}[0-9]){1,512}+(?![0-9A-Za-z@])|(?=[A-Za-z._%+-]{0,128}+[0-9@])[A-Za-z0-9](?:[A-Za-z0-9._%+@-]*[A-Za-z0-9])?)"
 KINDS = ("email", "ip", "card", "phone")
 #: Letters and digits that a candidate has at least, digits (or an @) among them; labelled values that a trusted pattern has; its confidence; what an unlabelled value counts.
 SIGNS, DIGITS, SUPPORT, CONFIDENT, UNKNOWN = 7, 4, 5, 0.9, 0.1
+#: Labelled values that a general pattern has at least; the mark that such a pattern ends with.
+BROAD, GENERAL = 20, " ~"
 #: Digits of neighbouring runs that are looked up together, at most: as many as the longest kind has.
 LONGEST = 19
 
@@ -54,15 +61,14 @@ NONE = f"cast(array() as array<{SPAN}>)"
 def located(text: Column, regex: str, rank: int) -> Column:
     """Leftmost non-overlapping matches as ``(start, rank, end, value)``, in code points, end exclusive."""
     matches = F.regexp_extract_all(text, F.lit(regex), F.lit(0))
-    pairs = F.arrays_zip(F.split(text, regex, -1).alias("gap"), matches.alias("value"))
+    pairs = F.filter(F.arrays_zip(F.split(text, regex, -1).alias("gap"), matches.alias("value")), lambda p: p["value"].isNotNull())
 
-    def add(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["value"])
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), pair["value"].alias("value"))
-        return F.when(pair["value"].isNull(), state).otherwise(F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out")))
+    def placed(found: Column) -> Column:
+        at = running(F.transform(found, lambda p: F.length(p["gap"]) + F.length(p["value"])))
+        return F.zip_with(found, at, lambda p, x: F.struct((x + F.length(p["gap"])).alias("start"), F.lit(rank).alias("rank"),
+                                                           (x + F.length(p["gap"]) + F.length(p["value"])).alias("end"), p["value"].alias("value")))
 
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.expr(NONE).alias("out")), add, lambda s: s["out"])
+    return F.when(F.size(matches) > 0, let(pairs, placed)).otherwise(F.expr(NONE))
 
 
 def digits_of(value: Column) -> Column:
@@ -93,14 +99,18 @@ def base_spans(text: Column) -> Column:
 
 def around(text: Column, base: Column) -> Column:
     """The text with line breaks in place of its base spans, so that the pieces between them are searched, at their places."""
-    def add(state: Column, b: Column) -> Column:
-        at = state["at"]
-        piece = F.concat(F.substr(text, at + 1, F.greatest(b["start"] - at, F.lit(0))), F.repeat(F.lit("\n"), F.greatest(b["end"] - F.greatest(at, b["start"]), F.lit(0))))
-        return F.struct(F.greatest(at, b["end"]).alias("at"), F.concat(state["out"], F.array(piece)).alias("out"))
+    def masked(spans: Column) -> Column:
+        upto = highest_before(F.transform(spans, lambda b: b["end"]))
+        # of each span: the text since the spans before it, and line breaks for what they leave of it
+        cuts = F.zip_with(spans, upto, lambda b, at: F.struct(F.least(at, b["start"]).alias("start"), b["start"].alias("end"), F.greatest(b["end"] - F.greatest(at, b["start"]), F.lit(0)).alias("blank"), (b["start"] > at).alias("any")))
 
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    masked = F.aggregate(base, start, add, lambda s: F.concat(F.array_join(s["out"], ""), F.substr(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(base) > 0, masked).otherwise(text)
+        def filled(c: Column) -> Column:
+            gaps = F.zip_with(pieces_at(text, c), c, lambda piece, x: F.concat(F.when(x["any"], piece).otherwise(F.lit("")), F.repeat(F.lit("\n"), x["blank"])))
+            return F.concat(F.array_join(gaps, ""), F.substr(text, F.array_max(F.transform(spans, lambda b: b["end"])) + 1, F.length(text)))
+
+        return let(cuts, filled)
+
+    return F.when(F.size(base) > 0, let(base, masked)).otherwise(text)
 
 
 def candidate_spans(gaps: Column) -> Column:
@@ -145,16 +155,32 @@ def normal(value: Column) -> Column:
     return F.lower(F.when(F.contains(value, F.lit("@")) | F.rlike(value, F.lit(WHOLE_IP)), value).otherwise(signs_of(value)))
 
 
-def patterns(text: Column, span: Column) -> Column:
-    """The lexical patterns around a span: ``a b _`` (two words to the left) and ``b _ c`` (one on either side), lower-cased, digits as 0."""
-    plain = lambda s: F.regexp_replace(F.lower(s), "[0-9]", "0")
-    left = plain(F.substr(text, F.greatest(span["start"] - 63, F.lit(1)), F.least(span["start"], F.lit(64))))
-    right = plain(F.substr(text, span["end"] + 1, F.lit(48)))
-    two = F.regexp_extract(left, r"(?:\A|\s)(\S{1,24}\s+\S{1,24})\s*\z", 1)
-    one = F.regexp_extract(left, r"(?:\A|\s)(\S{1,24})\s*\z", 1)
-    after = F.regexp_extract(right, r"\A\s*(\S{1,24})(?:\s|\z)", 1)
-    return F.filter(F.array(F.when(two != "", F.concat(F.regexp_replace(two, r"\s+", " "), F.lit(" _"))),
-                            F.when((one != "") & (after != ""), F.concat(one, F.lit(" _ "), after))), lambda p: p.isNotNull())
+def sides(text: Column, spans: Column) -> Column:
+    """``(left, right)`` of each span: up to 64 characters before it and 48 after."""
+    def told(s: Column) -> Column:
+        left = pieces_at(text, F.transform(s, lambda x: F.struct(F.greatest(x["start"] - 64, F.lit(0)).alias("start"), x["start"].alias("end"))))
+        right = pieces_at(text, F.transform(s, lambda x: F.struct(x["end"].alias("start"), (x["end"] + 48).alias("end"))))
+        return F.arrays_zip(left.alias("left"), right.alias("right"))
+
+    return F.when(F.size(spans) > 0, let(spans, told)).otherwise(F.array().cast("array<struct<left: string, right: string>>"))
+
+
+def patterns(side: Column) -> Column:
+    """The lexical patterns of a context: ``a b _`` (two words to the left) and ``b _ c`` (one on either side), and the general ``b _`` and ``a * _``.
+
+    Words are lower-cased, digits are 0, and signs around a word are left out."""
+    def found(left: Column, right: Column) -> Column:
+        word = lambda w: F.regexp_replace(F.regexp_replace(F.lower(w), "[0-9]+", "0"), r"^[^\p{L}0-9]+|[^\p{L}0-9]+$", "")
+        before = word(F.regexp_extract(left, r"(?:\A|\s)(\S{1,24})\s+\S{1,24}\s*\z", 1))
+        near = word(F.regexp_extract(left, r"(?:\A|\s)(\S{1,24})\s*\z", 1))
+        after = word(F.regexp_extract(right, r"\A\s*(\S{1,24})(?:\s|\z)", 1))
+        return let(F.struct(before.alias("a"), near.alias("b"), after.alias("c")), lambda w: F.filter(F.array(
+            F.when((w["a"] != "") & (w["b"] != ""), F.concat(w["a"], F.lit(" "), w["b"], F.lit(" _"))),
+            F.when((w["b"] != "") & (w["c"] != ""), F.concat(w["b"], F.lit(" _ "), w["c"])),
+            F.when(w["b"] != "", F.concat(w["b"], F.lit(" _" + GENERAL))),
+            F.when(w["a"] != "", F.concat(w["a"], F.lit(" * _" + GENERAL)))), lambda p: p.isNotNull()))
+
+    return found(side["left"], side["right"])
 
 
 def bootstrapped(edges: DataFrame, seeds: DataFrame, units: DataFrame) -> DataFrame:
@@ -170,7 +196,8 @@ def bootstrapped(edges: DataFrame, seeds: DataFrame, units: DataFrame) -> DataFr
         told = edges.join(labels, "value").groupBy("pattern", "rank").agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("labelled"))
         all_kinds = told.groupBy("pattern").agg(F.sum("score").alias("all_scores"), F.sum("labelled").alias("all_labelled"))
         against = F.col("all_scores") + UNKNOWN * F.greatest(F.col("size") - F.col("all_labelled"), F.lit(0))
-        trusted = (told.where(F.col("labelled") >= SUPPORT).join(all_kinds, "pattern").join(size, "pattern")
+        enough = F.when(F.col("pattern").endswith(GENERAL), BROAD).otherwise(SUPPORT)
+        trusted = (told.where(F.col("labelled") >= enough).join(all_kinds, "pattern").join(size, "pattern")
                    .select("pattern", "rank", (F.col("score") / against).alias("confidence")).where(F.col("confidence") >= CONFIDENT))
         trusted = store(trusted, "pii-trusted")
         doubt = edges.join(trusted, "pattern").groupBy("value", "rank").agg(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999)))).alias("doubt"))
@@ -207,11 +234,14 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     rows = pick(docs, id=key, txt=text).withColumn("txt", F.coalesce("txt", F.lit("")))
     found = rows.withColumn("base", base_spans(F.col("txt"))).withColumn("gaps", around(F.col("txt"), F.col("base"))).withColumn("near", candidate_spans(F.col("gaps")))
 
-    def case(s: Column, of: Column) -> Column:
-        return F.struct(s["rank"].alias("rank"), normal(s["value"]).alias("value"), of.alias("of"), patterns(F.col("txt"), s).alias("patterns"))
+    case = "struct<start: int, rank: int, end: int, value: string, of: bigint>"
+    base_cases = F.transform("base", lambda s: F.struct(s["start"], s["rank"], s["end"], normal(s["value"]).alias("value"), F.xxhash64(normal(s["value"])).alias("of")).cast(case))
+    near_cases = F.transform(F.filter("near", lambda s: s["rank"] >= -2), lambda s: F.struct(s["start"], s["rank"], s["end"], normal(s["value"]).alias("value"), s["of"].alias("of")).cast(case))
+
+    def with_patterns(cases: Column) -> Column:
+        return F.zip_with(cases, sides(F.col("txt"), cases), lambda s, side: F.struct(s["rank"].alias("rank"), s["value"].alias("value"), s["of"].alias("of"), patterns(side).alias("patterns")))
 
-    seen = F.concat(F.transform("base", lambda s: case(s, F.xxhash64(normal(s["value"])))),
-                    F.transform(F.filter("near", lambda s: s["rank"] >= -2), lambda s: case(s, s["of"])))
+    seen = let(F.concat(base_cases, near_cases), with_patterns)
     # the number tells rows apart that have no key or share one; it is fixed once it is written
     found = store(found.select(F.monotonically_increasing_id().alias("row"), "id", "base", "near", seen.alias("seen")), "pii-matches")
     cases = found.select(F.explode("seen").alias("s")).select("s.*")

@@ -109,3 +109,52 @@ def test_identifiers_beside_other_numbers_are_found(spark):
     assert {i: s for i, s in got.items() if s} == {
         5: {"card:17:25"}, 6: {"card:8:16"}, 7: {"card:8:16"}, 8: {"card:9:17"}, 9: {"card:17:27"}, 10: {"card:4:14"}, 11: {"card:17:27"},
         12: {"card:4:23", "card:24:43"}}
+
+
+def test_planted_identifiers_are_recalled(spark):
+    """Identifiers that no base pattern fits, in prose with contexts that vary; none of them is a seed."""
+    import random
+
+    rng = random.Random(3)
+    filler = lambda n: " ".join("".join(rng.choice("abcdefghilmnorstu") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+
+    def card():
+        body = [rng.randrange(10) for _ in range(15)]
+        odd = sum(sum(divmod(2 * d, 10)) if i % 2 == 0 else d for i, d in enumerate(body))
+        return "".join(map(str, body)) + str(-odd % 10)
+
+    phone = lambda: f"+49 {rng.randrange(100, 999)} {rng.randrange(10**6, 10**7)}"
+    unseen_card, unseen_phone = (lambda: str(rng.randrange(10**11, 10**12))), (lambda: f"0{rng.randrange(100, 999)} {rng.randrange(10**6, 10**7)}")
+    openers = {"card": ["billed to card no. {}", "the card: {}", "Card number {}", "on card {}"], "phone": ["call {}", "please CALL: {}", "you may call {}", "or call, {}"]}
+    rows, planted = [], {}
+    for kind, seed, unseen in (("card", card, unseen_card), ("phone", phone, unseen_phone)):
+        for i in range(160):
+            held = i % 2 == 1
+            value = unseen() if held else seed()
+            text = f"{filler(rng.randrange(3, 12))} {rng.choice(openers[kind]).format(value)} {filler(rng.randrange(3, 12))}"
+            if held:
+                at = text.index(value)
+                planted[len(rows)] = f"{kind}:{at}:{at + len(value)}"
+            rows.append(text)
+    clean = len(rows)
+    rows += [f"{filler(6)} {rng.randrange(10**7, 10**9)} {filler(6)}" for _ in range(60)]
+    got = discovered(spark, rows)
+    caught = sum(span in got[i] for i, span in planted.items())
+    assert caught / len(planted) >= 0.9
+    assert sum(bool(got[i]) for i in range(clean, len(rows))) <= 2
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    """Dotted leaders, rows of digits and many candidates: eight times the text is far from 64 times the time."""
+    import time
+
+    def took(make, n):
+        frame = spark.createDataFrame([(1, make(n))], "doc_id long, text string")
+        at = time.perf_counter()
+        found = frame.withColumn("base", P.base_spans(F.col("text"))).withColumn("near", P.candidate_spans(P.around(F.col("text"), F.col("base"))))
+        found.select(F.size("near"), F.size(P.sides(F.col("text"), F.col("near")))).collect()
+        return time.perf_counter() - at
+
+    for make in (lambda n: "a." * n + " 5", lambda n: "1." * n + "1a", lambda n: "1 " * n + "1a", lambda n: " ".join(f"x{i}y12345" for i in range(n // 8)), lambda n: " ".join(f"a{i}@b.cd" for i in range(n // 8))):
+        took(make, 500)
+        assert took(make, 16_000) < 20 * max(took(make, 2_000), 0.15)
