@@ -17,7 +17,7 @@ the work is that of all pairs of blocks.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +36,7 @@ SLACK = 1e-9
 
 @dataclass
 class Blocks:
-    """Stored records ``(blk, keys, xs)``, as bytes of 64-bit numbers, and their boxes as ``(blk, lo, hi)`` arrays."""
+    """Stored records ``(blk, keys, xs, ..)``, as bytes of 64-bit numbers, and their boxes as ``(blk, lo, hi)`` arrays."""
 
     df: DataFrame
     boxes: Broadcast
@@ -90,8 +90,10 @@ def _vectors(column: pa.Array, dims: int) -> np.ndarray:
     return np.asarray(column.flatten(), np.float64).reshape(-1, dims)
 
 
-def compact_blocks(points: DataFrame, key: str, vec: str, block_size: int) -> Blocks:
-    """The blocks of ``points(key, vec)``; keys are whole numbers, vectors of one length without nulls."""
+def compact_blocks(points: DataFrame, key: str, vec: str, block_size: int, carry: Sequence[str] = ()) -> Blocks:
+    """The blocks of ``points(key, vec, ..)``; keys are whole numbers, vectors of one length without nulls.
+
+    The columns of ``carry``, doubles, travel along in the records under their names."""
     spark = points.sparkSession
     told = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec)).alias("d")).first()
     n, dims = told["n"], max(told["d"] or 0, 0)
@@ -106,9 +108,11 @@ def compact_blocks(points: DataFrame, key: str, vec: str, block_size: int) -> Bl
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = _vectors(b.column(1), dims) if dims else np.zeros((len(b), 1))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(leaf_of(x, tree), pa.int64())], ["key", "vec", "leaf"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(leaf_of(x, tree), pa.int64())], [*b.schema.names, "leaf"])
 
-    placed = points.select(F.col(key).cast("long").alias("key"), F.col(vec).cast("array<double>").alias("vec")).mapInArrow(assign, "key long, vec array<double>, leaf long")
+    extra = [f"x_{c}" for c in carry]
+    rows = points.select(F.col(key).cast("long").alias("key"), F.col(vec).cast("array<double>").alias("vec"), *[F.col(c).cast("double").alias(x) for c, x in zip(carry, extra)])
+    placed = rows.mapInArrow(assign, "key long, vec array<double>, " + "".join(f"{x} double, " for x in extra) + "leaf long")
     placed = materialize(placed, "placed")
     # one row a leaf, at most as many as the sample has points
     parts = placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block_size).alias("parts"))
@@ -120,10 +124,11 @@ def compact_blocks(points: DataFrame, key: str, vec: str, block_size: int) -> Bl
         keys = group.column("key").to_numpy()[order]
         x = (_vectors(group.column("vec").combine_chunks(), dims) if dims else np.zeros((len(keys), 0)))[order]
         blk = group.column("leaf")[0].as_py() * (1 << 32) + group.column("part")[0].as_py()
-        return pa.table({"blk": [blk], "keys": [keys.tobytes()], "xs": [x.tobytes()], "lo": [x.min(axis=0).tolist()], "hi": [x.max(axis=0).tolist()]},
-                        pa.schema([("blk", pa.int64()), ("keys", pa.binary()), ("xs", pa.binary()), ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64()))]))
+        others = {c: [group.column(e).to_numpy()[order].tobytes()] for c, e in zip(carry, extra)}
+        kind = [("blk", pa.int64()), ("keys", pa.binary()), ("xs", pa.binary()), *[(c, pa.binary()) for c in carry], ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64()))]
+        return pa.table({"blk": [blk], "keys": [keys.tobytes()], "xs": [x.tobytes()], **others, "lo": [x.min(axis=0).tolist()], "hi": [x.max(axis=0).tolist()]}, pa.schema(kind))
 
-    packed = split.groupBy("leaf", "part").applyInArrow(pack, "blk long, keys binary, xs binary, lo array<double>, hi array<double>")
+    packed = split.groupBy("leaf", "part").applyInArrow(pack, "blk long, keys binary, xs binary, " + "".join(f"{c} binary, " for c in carry) + "lo array<double>, hi array<double>")
     packed = materialize(packed, "blocks")
     boxes = packed.select("blk", "lo", "hi").toArrow()  # MAX_BLOCKS rows, about, at most
     held = (boxes.column("blk").to_numpy(), *(_vectors(boxes.column(c).combine_chunks(), dims) if len(boxes) else np.zeros((0, dims)) for c in ("lo", "hi")))

@@ -14,11 +14,11 @@ import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paramo.functions import round_half_up
-from paramo.operators.pairwise import block_pairs
+from paramo.operators.blocks import alone, compact_blocks, matrix, met, visits
 from paramo.operators.ranking import global_rank
 from paramo.plans.materialize import materialize
 from paramo.sources.normals import KEY
@@ -84,8 +84,8 @@ def silhouette_sq(df: DataFrame, label: str, vec: str = "x") -> DataFrame:
 
 # ------------------------------------------------------------------ Ward
 
-#: Clusters from which on a single task finishes the merging (the result is the same either way).
-TAIL = 2000
+#: Clusters from which on a single task finishes the merging, in some seconds (the result is the same either way).
+TAIL = 8192
 _CLUSTER = "cid long, n double, c array<double>, h double, born_round int, born_cid long"
 _MERGE = "lo long, hi long, height double, size double, round int, lo_round int, lo_cid long, hi_round int, hi_cid long"
 
@@ -122,91 +122,157 @@ def _best_partner(ids, c, n, other_ids, oc, on, chunk: int = 512):
 
 
 def _finish(pdf: pd.DataFrame, start: int) -> pd.DataFrame:
-    """All merges of the given clusters, by nearest-neighbour chains; numbered on from round ``start``."""
-    m = len(pdf)
+    """All merges of the given clusters, by nearest-neighbour chains; numbered on from round ``start``.
+
+    Distances of one cluster to all come from a matrix product; those that
+    rounding leaves in doubt are decided by direct differences.  Merged
+    clusters are left out of the arrays once they are half of them."""
     ids, n, h = pdf["cid"].to_numpy().copy(), pdf["n"].to_numpy(float).copy(), pdf["h"].to_numpy(float).copy()
     c = np.stack(pdf["c"].to_numpy()).astype(float)
+    square = (c * c).sum(1)
     born = list(zip(pdf["born_round"].tolist(), pdf["born_cid"].tolist()))
-    alive, chain, out = np.ones(m, bool), [], []
-    while len(out) < m - 1:
+    alive, chain, out, left = np.ones(len(ids), bool), [], [], len(ids)
+    while left > 1:
+        if 2 * left < len(ids):
+            keep = np.flatnonzero(alive)
+            place = {int(k): i for i, k in enumerate(keep)}
+            ids, n, h, c, square, born, chain = ids[keep], n[keep], h[keep], c[keep], square[keep], [born[k] for k in keep], [place[x] for x in chain]
+            alive = np.ones(left, bool)
         if not chain:
             chain.append(int(np.flatnonzero(alive)[0]))
         a = chain[-1]
-        d = _heights(c, n, c[a], n[a])
-        d[~alive] = np.inf
-        d[a] = np.inf
-        b = int(np.lexsort((ids, d))[0])
-        if len(chain) > 1 and d[chain[-2]] <= d[b]:
-            b = chain[-2]
+        near = square + square[a] - 2.0 * (c @ c[a])
+        slack = 1e-9 * (square + square[a] + 1.0)
+        coef = 2.0 * n * n[a] / (n + n[a])
+        low, high = coef * (near - slack), coef * (near + slack)
+        low[~alive] = high[~alive] = np.inf
+        low[a] = high[a] = np.inf
+        some = np.flatnonzero(low <= high.min())
+        d = _heights(c[some], n[some], c[a], n[a])
+        best = np.lexsort((ids[some], d))[0]
+        b, dist = int(some[best]), d[best]
+        if len(chain) > 1 and (back := _heights(c[chain[-2]], n[chain[-2]], c[a], n[a])) <= dist:
+            b, dist = chain[-2], back
             chain = chain[:-2]
             lo, hi = (a, b) if ids[a] < ids[b] else (b, a)
-            top = max(d[b], h[lo], h[hi])
+            top = max(dist, h[lo], h[hi])
             out.append((ids[lo], ids[hi], top, n[lo] + n[hi], start + len(out), *born[lo], *born[hi]))
             c[lo] = (n[lo] * c[lo] + n[hi] * c[hi]) / (n[lo] + n[hi])
+            square[lo] = c[lo] @ c[lo]
             n[lo] += n[hi]
             h[lo], alive[hi] = top, False
             born[lo] = (out[-1][4], int(ids[lo]))
+            left -= 1
         else:
             chain.append(b)
     return pd.DataFrame(out, columns=["lo", "hi", "height", "size", "round", "lo_round", "lo_cid", "hi_round", "hi_cid"])
 
 
-def ward_merges(points: DataFrame, features: Sequence[str], key: str = KEY, tail: int = TAIL, block_size: int = 2000) -> DataFrame:
-    """The exact Ward merges of all rows, one row each, in rounds.
+def _nearest_clusters(clusters: DataFrame, least: float, block_size: int) -> DataFrame:
+    """``(cid, height, lo, hi)`` for every cluster of ``clusters(cid, n, c, stale)`` that is stale: the smallest such pair it is part of.
+
+    In compact blocks: the nearest one of the own block first; then a block
+    is visited only if a cluster of the ``least`` size at the edge of its box
+    would be near enough.  Ward's height of a pair is its distance times a
+    factor that grows with either size, so that bounds the distance."""
+    blocks = compact_blocks(clusters, "cid", "c", block_size, carry=("n", "stale"))
+    dims = blocks.dims
+
+    def numbers(record, name):
+        return np.frombuffer(record[name], np.float64)
+
+    def own(record):
+        rows = np.flatnonzero(numbers(record, "stale"))
+        x, ids, n = matrix(record["xs"], dims), np.frombuffer(record["keys"], np.int64), numbers(record, "n")
+        to, h = _best_partner(ids[rows], x[rows], n[rows], ids, x, n)
+        return [[record["blk"]], [record["keys"]], [record["xs"]], [record["n"]], [rows.tobytes()], [to.tobytes()], [h.tobytes()]]
+
+    near = materialize(alone(blocks.df, own, "blk long, keys binary, xs binary, n binary, rows binary, to binary, height binary"), "ward_own")
+
+    def asks(record):
+        rows, n = np.frombuffer(record["rows"], np.int64), numbers(record, "n")
+        own_n = n[rows]
+        return rows, numbers(record, "height") / np.sqrt(2.0 * own_n * least / (own_n + least)), own_n
+
+    def search(visit, record):
+        ids = np.frombuffer(visit["keys"], np.int64)
+        to, h = _best_partner(ids, matrix(visit["xs"], dims), numbers(visit, "extra"), np.frombuffer(record["keys"], np.int64), matrix(record["xs"], dims), numbers(record, "n"))
+        return [ids, to, h]
+
+    def told(record):
+        to = np.frombuffer(record["to"], np.int64)
+        some = to >= 0
+        return [np.frombuffer(record["keys"], np.int64)[np.frombuffer(record["rows"], np.int64)][some], to[some], numbers(record, "height")[some]]
 
-    In a round every cluster finds its nearest one by blocks of pairs
-    (:func:`paramo.operators.pairwise.block_pairs`), and all pairs that are
+    schema = "cid long, to long, height double"
+    found = alone(near.select("keys", "rows", "to", "height"), told, schema).unionByName(met(visits(near, blocks, asks), blocks.df, search, schema))
+    order = F.struct("height", F.least("cid", "to").alias("lo"), F.greatest("cid", "to").alias("hi"))
+    return found.groupBy("cid").agg(F.min(order).alias("found"))
+
+
+def ward_leaves(points: DataFrame, features: Sequence[str], key: str = KEY) -> DataFrame:
+    """``(key, c, cid)``: the rows as leaves, numbered 0.. by key."""
+    rows = points.select(key, F.array(*[F.col(f).cast("double") for f in features]).alias("c")).withColumn("_g", F.lit(0))
+    return materialize(global_rank(rows, ["_g"], [key], "cid").drop("_g"), "ward_leaves")
+
+
+def ward_merges(leaves: DataFrame, tail: int = TAIL, block_size: int = 2000) -> DataFrame:
+    """The exact Ward merges of all leaves, one row each, in rounds.
+
+    Every cluster keeps its nearest one.  In a round all pairs that are
     nearest to each other merge; Ward's distance never shrinks by a merge, so
-    this gives the tree that merging one pair at a time gives.  Rows with
-    equal features are merged first, without looking at pairs.  When at most
-    ``tail`` clusters are left, one task merges those.  The work is that of
-    all pairs in the first round and shrinks with the clusters."""
-    leaves = materialize(global_rank(points.select(key, F.array(*[F.col(f).cast("double") for f in features]).alias("c")).withColumn("_g", F.lit(0)),
-                                     ["_g"], [key], "cid").drop("_g"), "ward_leaves")
-    # equal rows: the lowest leaf takes the others in turn, at height 0
-    copies = global_rank(leaves.select("c", "cid"), ["c"], ["cid"], "at")
+    this gives the tree that merging one pair at a time gives, and a cluster
+    whose nearest one did not merge keeps it.  Only new clusters and those
+    whose nearest one merged look again, in compact blocks of which they skip
+    what is too far (:func:`_nearest_clusters`); of equally near ones the pair
+    with the lowest numbers is taken, which a new cluster offers to the one it
+    found.  Rows with equal features are merged first, without looking at
+    pairs.  When at most ``tail`` clusters are left, one task merges those."""
     first = leaves.groupBy("c").agg(F.min("cid").alias("lo"), F.count(F.lit(1)).alias("n"))
-    zero = copies.where("at > 0").join(first, "c").select(
-        "lo", F.col("cid").alias("hi"), F.lit(0.0).alias("height"), (F.col("at") + 1).cast("double").alias("size"), F.col("at").cast("int").alias("round"),
-        F.when(F.col("at") > 1, F.col("at") - 1).otherwise(-1).cast("int").alias("lo_round"), "lo", F.lit(-1).alias("hi_round"), F.col("cid").alias("hi_cid"))
-    merges = [materialize(zero.toDF(*[f.split()[0] for f in _MERGE.split(", ")]), "ward_merges")]
     clusters = materialize(first.select(F.col("lo").alias("cid"), F.col("n").cast("double").alias("n"), "c", F.lit(0.0).alias("h"),
                                         F.when(F.col("n") > 1, F.col("n") - 1).otherwise(-1).cast("int").alias("born_round"), F.col("lo").alias("born_cid")), "ward_clusters")
-    rounds = int(first.agg(F.max("n")).first()[0] or 1)
-    while (left := clusters.count()) > max(tail, 1):
-        def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
-            parts = [pdf] if pdf["_diag"].iloc[0] else [pdf[pdf["_side"] == 0], pdf[pdf["_side"] == 1]]
-            out = []
-            for a, b in ((parts[0], parts[-1]), (parts[-1], parts[0]))[: len(parts)]:
-                if len(a) and len(b):
-                    arrays = [(x["cid"].to_numpy(), np.stack(x["c"].to_numpy()).astype(float), x["n"].to_numpy(float)) for x in (a, b)]
-                    to, h = _best_partner(*arrays[0], *arrays[1])
-                    found = to >= 0
-                    out.append(pd.DataFrame({"cid": arrays[0][0][found], "to": to[found], "height": h[found]}))
-            return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"cid": np.empty(0, np.int64), "to": np.empty(0, np.int64), "height": np.empty(0)})
-
-        found = block_pairs(clusters.select("cid", "n", "c"), "cid", block_size).groupBy("_pair").applyInPandas(nearest, "cid long, to long, height double")
-        order = F.struct("height", F.least("cid", "to").alias("lo"), F.greatest("cid", "to").alias("hi"))
-        best = materialize(found.groupBy("cid").agg(F.min(order).alias("b")).select("cid", "b.*"), "ward_nearest")
+    told = clusters.agg(F.count(F.lit(1)).alias("left"), F.max("n").alias("most")).first()
+    left, rounds, merges = told["left"], int(told["most"] or 1), []
+    if rounds > 1:
+        # equal rows: the lowest leaf takes the others in turn, at height 0
+        copies = global_rank(leaves.select("c", "cid"), ["c"], ["cid"], "at")
+        zero = copies.where("at > 0").join(first, "c").select(
+            "lo", F.col("cid").alias("hi"), F.lit(0.0).alias("height"), (F.col("at") + 1).cast("double").alias("size"), F.col("at").cast("int").alias("round"),
+            F.when(F.col("at") > 1, F.col("at") - 1).otherwise(-1).cast("int").alias("lo_round"), F.col("lo").alias("lo_cid"), F.lit(-1).alias("hi_round"), F.col("cid").alias("hi_cid"))
+        merges.append(materialize(zero, "ward_merges"))
+    kept = "struct<height: double, lo: bigint, hi: bigint>"
+    plain = clusters.columns
+    clusters = clusters.withColumns({"best": F.lit(None).cast(kept), "stale": F.lit(1.0)})
+    while left > max(tail, 1):
+        least = float(clusters.agg(F.min("n")).first()[0])
+        found = materialize(_nearest_clusters(clusters.select("cid", "n", "c", "stale"), least, block_size), "ward_nearest")
+        partner = F.when(F.col("found.lo") == F.col("cid"), F.col("found.hi")).otherwise(F.col("found.lo"))
+        offers = found.groupBy(partner.alias("cid")).agg(F.min("found").alias("offer"))
+        now = clusters.join(found, "cid", "left").join(offers, "cid", "left")
+        now = materialize(now.withColumn("best", F.least(F.when(F.col("stale") > 0, F.col("found")).otherwise(F.col("best")), F.col("offer"))).drop("found", "offer"), "ward_kept")
         # a pair that both its clusters chose
-        pairs = materialize(best.groupBy("lo", "hi").agg(F.count(F.lit(1)).alias("votes"), F.first("height").alias("d")).where("votes = 2").drop("votes"), "ward_pairs")
-        low, high = (clusters.toDF(*[f"{side}_{c}" for c in clusters.columns]) for side in ("l", "r"))
+        pairs = now.groupBy("best.lo", "best.hi").agg(F.count(F.lit(1)).alias("votes"), F.first("best.height").alias("d")).where("votes = 2").drop("votes")
+        low, high = (now.select(*plain).toDF(*[f"{side}_{c}" for c in plain]) for side in ("l", "r"))
         merged = (pairs.join(low, pairs["lo"] == low["l_cid"]).join(high, pairs["hi"] == high["r_cid"])
                   .withColumns({"height": F.greatest("d", "l_h", "r_h"), "size": F.col("l_n") + F.col("r_n"), "round": F.lit(rounds)}))
         merged = materialize(merged, "ward_round")
         merges.append(merged.select("lo", "hi", "height", "size", "round", F.col("l_born_round").alias("lo_round"), F.col("l_born_cid").alias("lo_cid"),
                                     F.col("r_born_round").alias("hi_round"), F.col("r_born_cid").alias("hi_cid")))
         mean = F.zip_with(F.col("l_c"), F.col("r_c"), lambda x, y: (F.col("l_n") * x + F.col("r_n") * y) / (F.col("l_n") + F.col("r_n")))
-        new = merged.select(F.col("lo").alias("cid"), F.col("size").alias("n"), mean.alias("c"), F.col("height").alias("h"), F.col("round").alias("born_round"), F.col("lo").alias("born_cid"))
-        gone = pairs.select(F.explode(F.array("lo", "hi")).alias("cid"))
-        clusters = materialize(clusters.join(gone, "cid", "left_anti").unionByName(new), "ward_clusters")
-        rounds += 1
+        new = merged.select(F.col("lo").alias("cid"), F.col("size").alias("n"), mean.alias("c"), F.col("height").alias("h"), F.col("round").alias("born_round"), F.col("lo").alias("born_cid"),
+                            F.lit(None).cast(kept).alias("best"), F.lit(1.0).alias("stale"))
+        gone = merged.select(F.explode(F.array("lo", "hi")).alias("cid"))
+        rest = now.join(gone, "cid", "left_anti").withColumn("to", F.when(F.col("best.lo") == F.col("cid"), F.col("best.hi")).otherwise(F.col("best.lo")))
+        rest = rest.join(gone.select(F.col("cid").alias("to"), F.lit(1.0).alias("lost")), "to", "left")
+        rest = rest.select(*plain, F.when(F.col("lost").isNull(), F.col("best")).alias("best"), F.coalesce("lost", F.lit(0.0)).alias("stale"))
+        clusters = materialize(rest.unionByName(new), "ward_clusters")
+        left, rounds = clusters.count(), rounds + 1
     if left > 1:
         # at most ``tail`` clusters: bounded whatever the rows
-        rest = clusters.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(lambda pdf: _finish(pdf.sort_values("cid").reset_index(drop=True), rounds), _MERGE)
+        rest = clusters.select(*plain).withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(lambda pdf: _finish(pdf.sort_values("cid").reset_index(drop=True), rounds), _MERGE)
         merges.append(materialize(rest, "ward_merges"))
-    out = merges[0]
-    for more in merges[1:]:
+    out = leaves.sparkSession.createDataFrame([], _MERGE)
+    for more in merges:
         out = out.unionByName(more)
     return out
 
@@ -218,29 +284,36 @@ def ward(points: DataFrame, features: Sequence[str], k: int, key: str = KEY, tai
 
     Leaves are numbered 0.. by key, the cluster made in step s is n + s - 1;
     steps go by height.  Labels are numbered by each cluster's lowest leaf."""
-    merges = materialize(global_rank(ward_merges(points, features, key, tail, block_size).withColumn("_g", F.lit(0)), ["_g"], ["height", "round", "lo"], "at").drop("_g"), "ward_tree")
-    n = points.count()
+    leaves = ward_leaves(points, features, key)
+    merges = materialize(global_rank(ward_merges(leaves, tail, block_size).withColumn("_g", F.lit(0)), ["_g"], ["height", "round", "lo"], "at").drop("_g"), "ward_tree")
+    n = leaves.count()
     made = merges.select(F.col("round").alias("r"), F.col("lo").alias("c"), (F.col("at") + n).alias("node"))
     named = (merges.join(made.toDF("lo_round", "lo_cid", "lo_node"), ["lo_round", "lo_cid"], "left")
              .join(made.toDF("hi_round", "hi_cid", "hi_node"), ["hi_round", "hi_cid"], "left")
              .withColumns({"lo_node": F.coalesce("lo_node", "lo_cid"), "hi_node": F.coalesce("hi_node", "hi_cid")}))
     table = named.select((F.col("at") + 1).cast("int").alias("step"), F.least("lo_node", "hi_node").alias("left"), F.greatest("lo_node", "hi_node").alias("right"),
                          "height", F.col("size").cast("long").alias("size"))
-    # every merge but the last k - 1 points its higher leaf at its lower one: jump until nothing moves
-    up = materialize(merges.where(F.col("at") < n - k).select(F.col("hi").alias("leaf"), F.col("lo").alias("to")), "ward_up")
+    # every merge but the last k - 1 points its higher leaf at its lower one: jump, twice between writes, until nothing moves
+    up = merges.where(F.col("at") < n - k).select(F.col("hi").alias("leaf"), F.col("lo").alias("to"))
     while True:
-        onward = up.select(F.col("leaf").alias("to"), F.col("to").alias("end"))
-        jumped = materialize(up.join(onward, "to", "left").select("leaf", F.coalesce("end", "to").alias("to"), F.col("end").isNotNull().alias("moved")), "ward_up")
-        up = jumped.select("leaf", "to")
-        if jumped.where("moved").isEmpty():
+        once = _jumped(up)
+        twice = materialize(_jumped(once.select("leaf", "to")), "ward_up")
+        up = twice.select("leaf", "to")
+        if twice.where("moved").isEmpty():
             break
-    leaves = global_rank(points.select(key).withColumn("_g", F.lit(0)), ["_g"], [key], "leaf").drop("_g")
-    rooted = materialize(leaves.join(up, "leaf", "left").select(key, F.coalesce("to", "leaf").alias("root")), "ward_roots")
-    numbers = global_rank(rooted.select("root").distinct().withColumn("_g", F.lit(0)), ["_g"], ["root"], "cluster_jerarquico").drop("_g")
+    rooted = materialize(leaves.select(key, F.col("cid").alias("leaf")).join(up, "leaf", "left").select(key, F.coalesce("to", "leaf").alias("root")), "ward_roots")
+    # k roots
+    numbers = rooted.select("root").distinct().withColumn("cluster_jerarquico", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("root")) - 1)
     labels = rooted.join(numbers, "root").select(key, F.col("cluster_jerarquico").cast("int").alias("cluster_jerarquico"))
     return labels, table
 
 
+def _jumped(up: DataFrame) -> DataFrame:
+    """Pointers ``(leaf, to)`` followed once more, and whether that moved them."""
+    onward = up.select(F.col("leaf").alias("to"), F.col("to").alias("end"))
+    return up.join(onward, "to", "left").select("leaf", F.coalesce("end", "to").alias("to"), F.col("end").isNotNull().alias("moved"))
+
+
 def ward_summary(labels: DataFrame, k: int, silhouette: DataFrame, n_linked: int) -> DataFrame:
     """K, linkage, silhouette (round 4) and the number of linked units."""
     return silhouette.select(F.lit(int(k)).alias("n_clusters"), F.lit("ward").alias("linkage"),
