@@ -84,6 +84,9 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         weights: Sequence[int] = (5, 2, 1), share: float = 1.0, most: int = 3, seed: str = SEED) -> DataFrame:
     """The mixed corpus: each row of ``docs`` as often as the mix takes it, columns as they are.
 
+    Repeated rows are taken equally often; rows without words as their source
+    is, at no cost to its target; a source without words is not taken; an
+    empty table stays empty.
     Only the table of sources (one row each) meets the documents; it is
     written first, so the planner broadcasts it if it is small and else
     shuffles, where AQE splits a hot source."""

@@ -101,7 +101,10 @@ def assign_shards(docs: DataFrame, shards: Sequence[str], key: str = "doc_id", t
 
 def with_shard(docs: DataFrame, shards: Sequence[str], key: str = "doc_id", text: str | None = "text",
                slots: int | None = None, name: str = "shard") -> DataFrame:
-    """All columns of ``docs`` and the shard; a column of ``docs`` called ``name`` gives way to it."""
+    """All columns of ``docs`` and the shard; a column of ``docs`` called ``name`` gives way to it.
+
+    Rows go where :func:`assign_shards` sends them, repeated ones to one
+    shard; an empty table stays empty."""
     m = slots or next_prime(100 * max(1, len(shards)))
     table = lookup_table(docs.sparkSession, shards, m)
     rows, _ = numbered(docs, **{"id": key} | ({"txt": text} if text else {}))

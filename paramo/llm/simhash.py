@@ -181,7 +181,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     """One row of ``docs`` for each group of near-duplicates, columns as they are: the one whose key names the component.
 
     Of several rows with that key the one with the smallest text stays (of
-    equal texts any one); a component without any key leaves one row likewise."""
+    equal texts any one); a component without any key leaves one row likewise.
+    So one of repeated rows stays; null and blank texts are one group; an empty
+    table stays empty."""
     found = near_duplicates(docs, key, text, shingle, radius).toDF("id", "fp", "component_id", "root")
     own = store(found.where("id = component_id").groupBy("id").agg(F.count(F.lit(1)).alias("rows")).withColumnRenamed("id", "own"), "simhash-stay")
     rows, plain = numbered(docs, id=key, txt=text)

@@ -67,3 +67,29 @@ def test_query_without_a_labelled_page(spark, tmp_path):
         got = queries.op8_url_filter(spark, f"{tmp_path}/{name}").collect()
         assert [(r["host"], r["path"], r["rule"], r["verdict"], r["p_block"]) for r in got] == [("a.example.net", "/x", None, "allow", None)] * n
     assert queries.op8_url_filter(spark, f"{tmp_path}/other").schema == queries.op8_url_filter(spark, SMALL).schema
+
+
+def test_verdicts_of_the_model_against_a_plain_sum(spark):
+    """Every page that no rule judges: the logistic function of the weights of its distinct n-grams, added up one by one."""
+    import math
+
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    model = U.fit(queries.labelled_urls(pages))
+    hashing, weights, start = model.stages[0], model.stages[1].coefficients, model.stages[1].intercept
+    for r in U.judge(pages, model, queries.URL_RULES).join(pages.select("page_id", "url"), "page_id").limit(120).collect():
+        host, path, _, ruled = plain(r["url"])
+        own = {m + s[i : i + n] for m, s in (("h", f"^{host}$"), ("p", f"^{path}$")) for n in U.GRAMS for i in range(max(1, len(s) - n + 1))}
+        p = 1 / (1 + math.exp(-start - sum(weights[i] for i in {hashing.indexOf(g) for g in own})))
+        assert r["p_block"] == pytest.approx(p, abs=1e-9)
+        assert r["verdict"] == (ruled or ("block" if p > 0.5 else "allow"))
+
+
+def test_repeated_rows_and_clashing_names(spark):
+    rows = [(i % 7 if i % 5 else None, URLS[i % len(URLS)], "x") for i in range(40)] + [(1, URLS[0], "x")] * 2
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for extra in ("id", "host", "path", "grams", "features", "probability", "fit", "rule", "c0", "a.b", "URL_", "p_block"):
+        frame = frame.withColumn(extra, F.lit(1))
+    model = U.fit(queries.labelled_urls(spark.read.parquet(f"{SMALL}/pages.parquet")))
+    got = U.judge(frame, model, queries.URL_RULES).collect()
+    assert sorted((str(r["page_id"]), r["host"], r["path"], str(r["rule"])) for r in got) == sorted((str(i), *plain(u)[:2], str(plain(u)[2])) for i, u, _ in rows)
+    assert len({(r["host"], r["path"], r["verdict"], r["p_block"]) for r in got}) == len({plain(u)[:2] for _, u, _ in rows})
