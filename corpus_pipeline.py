@@ -1,5 +1,8 @@
 """The corpus pipeline: STAGES applied in turn to ``documents``.
 
+Nulls, empty texts, ties and repeated rows are treated as the operators'
+docstrings tell; extra columns pass through; every stage leaves an empty table empty.
+
 Each stage takes (spark, docs, sf_dir) and returns the rows that go on, with
 the columns of ``documents`` (the last one adds the shard).  ``run`` writes
 each stage's rows as parquet in the shared folder and rereads them for the
