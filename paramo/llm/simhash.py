@@ -32,6 +32,8 @@ from paramo.llm.components import components
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Fingerprints of one key that a single task takes.
 CROWD = 20_000
+#: Of so many fingerprints one is in the sample that tells crowded keys beforehand.
+SAMPLED = 64
 MASK_SEED = 42
 
 
@@ -142,10 +144,14 @@ def links(distinct: DataFrame, radius: int = 4, crowd: int = CROWD) -> DataFrame
         if (out := done(*held)) is not None:
             yield out
 
-    dealt = keyed.repartition("tab", "k").sortWithinPartitions("tab", "k").select("tab", "k", "fp")
+    # keys that a sample shows to be crowded are not scanned in one task; a crowd that it misses is found by the scan
+    some = keyed.where(F.pmod(F.xxhash64("fp"), F.lit(SAMPLED)) == 0).groupBy("tab", "k").agg(F.count(F.lit(1)).alias("n"))
+    known = store(some.where(F.col("n") > max(crowd // SAMPLED, 1)).select("tab", "k"), "simhash-crowds")  # SAMPLED * keys / crowd rows at most
+    scanned = keyed if known.isEmpty() else keyed.join(known, ["tab", "k"], "left_anti").select(*keyed.columns)
+    dealt = scanned.repartition("tab", "k").sortWithinPartitions("tab", "k").select("tab", "k", "fp")
     found = store(dealt.select(F.col("tab").cast("long"), "k", "fp").mapInArrow(scan, "a long, b long, crowd boolean"), "simhash-links")
     edges = found.where("NOT crowd").select("a", "b")
-    crowds = found.where("crowd").select(F.col("a").cast("int").alias("tab"), F.col("b").alias("k"))
+    crowds = found.where("crowd").select(F.col("a").cast("int").alias("tab"), F.col("b").alias("k")).union(known.select("tab", "k"))
     if crowds.isEmpty():
         return edges
     members = keyed.join(crowds, ["tab", "k"])

@@ -96,3 +96,22 @@ def test_one_of_each_group_stays(spark):
     assert len(ids) == len({r["root"] for r in rows})
     assert set(ids) == {r["component_id"] for r in rows} and ids.count(1) == 1
     assert S.keep_one(empty(spark)).collect() == []
+
+
+def test_crowds_that_a_sample_tells_are_not_scanned(spark, monkeypatch):
+    """A third of all fingerprints under a few keys; components do not depend on how crowds are found."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from paramo.llm.components import components
+
+    rng = np.random.default_rng(11)
+    # half of them differ in the top 14 bits only, so they share the keys whose masks leave those out
+    prints = np.unique(np.concatenate([rng.integers(0, 2**63, 400), (rng.integers(0, 2**14, 500) << 49) | 12345]))
+    frame = spark.createDataFrame([(int(x),) for x in prints], "fp long")
+    want = None
+    for sampled, crowd in ((64, 10_000), (2, 20), (1, 20), (64, 20)):
+        monkeypatch.setattr(S, "SAMPLED", sampled)
+        roots = {r["node"]: r["root"] for r in components(S.links(frame, 4, crowd)).collect()}
+        want = want or roots
+        assert roots == want and len(set(roots.values())) < len(roots)
