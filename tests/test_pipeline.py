@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from paramo.plans.analysis import run_analysis, wide_table
+from paramo.plans.analysis import result_bundle, run_analysis, wide_table
 from paramo.sources.sinks import write_bundle, write_labels
 
 from .conftest import SF_SMALL
@@ -40,3 +40,13 @@ def test_run_analysis_and_sinks(spark):
     assert spark.read.json(os.path.join(tmp, "bundle", "dbscan")).count() == 1
     write_bundle({"nulls": spark.sql("SELECT 1 AS a, CAST(NULL AS INT) AS num_mes")}, os.path.join(tmp, "nulls"))
     assert "num_mes" in spark.read.json(os.path.join(tmp, "nulls", "nulls")).columns
+    bundle = result_bundle(out)
+    assert {"tabla_metricas", "cluster_info", "cluster_stats", "analiticas", "eda", "pca", "dbscan", "jerarquico", "anomalias", "random_forest", "perfiles", "comparativa_clustering"} <= set(bundle)
+    names = write_bundle({k: v for k, v in bundle.items() if not k.startswith(("grafico", "etiquetas"))}, os.path.join(tmp, "report"))
+    one = {k: spark.read.json(os.path.join(tmp, "report", k)).collect() for k in names}
+    eda, pca, an, rf, ana = (one[k][0].asDict(recursive=True) for k in ("eda", "pca", "anomalias", "random_forest", "analiticas"))
+    assert len(eda["estadisticas"]) == 16 and eda["n_features"] == 16 and len(eda["top_correlaciones"]) <= 10
+    assert len(pca["varianza_explicada"]) == len(pca["varianza_acumulada"]) == 8 and 1 <= pca["componentes_80pct"] <= 8 and len(pca["loadings"]) == 15
+    assert an["isolation_forest"].keys() == {"n_anomalias", "pct", "contamination"} and an["lof"].keys() == {"n_anomalias", "pct", "n_neighbors"} and "detectadas_por_ambos" in an
+    assert len(rf["cv_scores"]) == min(5, summary["mejor_k"]) and rf["feature_importance"][0]["feature"] == rf["top_feature"]
+    assert ana.keys() == {"indicadores", "zonas", "top_departamentos"} and sum(c["registros"] for c in one["dbscan"][0]["cluster_counts"]) == wide.count()
