@@ -189,21 +189,24 @@ SELECT d.doc_id, d.slot, ((p.turn - 1) % 64)::INT AS shard FROM placed d JOIN pi
 """
 
 OP10 = r"""
-WITH sized AS (
+WITH RECURSIVE sized AS (
   SELECT doc_id, text, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 per AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
-laddered AS (
-  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM per),
 weighed AS (
-  SELECT *, [5, 2, 1][((place - 1) % 3 + 1)::INT] AS weight, source_size * 3 AS lim FROM laddered),
-leveled AS (
-  SELECT *, ((SELECT sum(source_size) FROM per)::DOUBLE
-             - coalesce(sum(lim) OVER (ORDER BY lim::DOUBLE / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
-            / sum(weight) OVER (ORDER BY lim::DOUBLE / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS lev
-  FROM weighed),
+  SELECT source, source_size, 3 * source_size AS lim, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight FROM per),
+-- in each round the sources that the shared level would lift above their limit stop at it, and the others share what is left
+rounds AS (
+  SELECT source, source_size, lim, weight, false AS stopped, true AS moved FROM weighed
+  UNION ALL
+  SELECT source, source_size, lim, weight, now, bool_or(now <> stopped) OVER () FROM (
+    SELECT *, stopped OR coalesce(weight * ((SELECT sum(source_size) FROM per)::DOUBLE - (sum(CASE WHEN stopped THEN lim ELSE 0 END) OVER ())::DOUBLE)
+                                  / nullif(sum(CASE WHEN stopped THEN 0 ELSE weight END) OVER (), 0)::DOUBLE > lim::DOUBLE, false) AS now
+    FROM rounds WHERE moved) t),
+settled AS (SELECT * FROM rounds WHERE NOT moved),
 goal AS (
-  SELECT source, source_size, least(lim::DOUBLE, coalesce(weight * (SELECT max(lev) FROM leveled WHERE lim::DOUBLE / weight >= lev), lim::DOUBLE)) AS target
-  FROM leveled),
+  SELECT source, source_size, CASE WHEN stopped THEN lim::DOUBLE ELSE weight * (
+    ((SELECT sum(source_size) FROM per)::DOUBLE - coalesce((SELECT sum(lim) FROM settled WHERE stopped), 0)::DOUBLE) / (SELECT sum(weight) FROM settled WHERE NOT stopped)::DOUBLE) END AS target
+  FROM settled),
 rated AS (
   SELECT s.doc_id, s.size, g.source_size, g.target,
          CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0::DOUBLE END AS rate,
