@@ -141,6 +141,11 @@ def box_distance(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.sqrt(np.einsum("...i,...i->...", gap, gap)) * (1 - SLACK)
 
 
+def _spread(records: DataFrame) -> DataFrame:
+    """Records over all cores: a stored table of few bytes is read by few tasks, but a record is much work."""
+    return records.repartition(2 * records.sparkSession.sparkContext.defaultParallelism)
+
+
 def visits(records: DataFrame, blocks: Blocks, asks: Callable, upward: bool = False) -> DataFrame:
     """``(frm, to, keys, xs, extra)``: the points of each record that have to look at another block.
 
@@ -169,7 +174,7 @@ def visits(records: DataFrame, blocks: Blocks, asks: Callable, upward: bool = Fa
                             (record["blk"], pa.int64()), (int(ids[at]), pa.int64()), (keys[some].tobytes(), pa.binary()), (x[some].tobytes(), pa.binary()), (extra[some].tobytes(), pa.binary()))],
                             ["frm", "to", "keys", "xs", "extra"])
 
-    return records.mapInArrow(run, "frm long, to long, keys binary, xs binary, extra binary")
+    return _spread(records).mapInArrow(run, "frm long, to long, keys binary, xs binary, extra binary")
 
 
 def met(asked: DataFrame, records: DataFrame, meet: Callable, schema: str) -> DataFrame:
@@ -178,7 +183,7 @@ def met(asked: DataFrame, records: DataFrame, meet: Callable, schema: str) -> Da
     A join of records on the block: a block that many visit is one row on
     its side, and the visits to it are split by the adaptive skew join."""
     there = records.toDF(*[f"r_{c}" for c in records.columns])
-    joined = asked.join(there, asked["to"] == there["r_blk"])
+    joined = _spread(asked).join(there, asked["to"] == there["r_blk"])
     names, fields = joined.columns, [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,4 +208,4 @@ def alone(records: DataFrame, work: Callable, schema: str) -> DataFrame:
                 if found is not None and len(found[0]):
                     yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in found], fields)
 
-    return records.mapInArrow(run, schema)
+    return _spread(records).mapInArrow(run, schema)
