@@ -1,9 +1,11 @@
 """Groups of rows and blocks: what is shuffled does not grow with the number of blocks, and nothing is lost."""
 
 import numpy as np
+import pandas as pd
 
 from paramo.operators import blocks as B
 from paramo.operators import clustering as K
+from paramo.operators import pairwise as P
 from tests.test_properties import _frame
 
 
@@ -28,6 +30,26 @@ def test_close_pairs_miss_none():
     assert want <= got and len(got) < 1.1 * len(want)
 
 
+def test_silhouette_of_many_clusters(spark, monkeypatch):
+    """Clusters that lie in several groups, one with half of the rows, copies and single rows."""
+    monkeypatch.setattr(P, "_TILE", 50)
+    rng = np.random.default_rng(7)
+    n = 600
+    lab = np.where(rng.random(n) < 0.5, 0, rng.integers(1, 90, n))
+    x = rng.normal(size=(n, 4)) + lab[:, None] % 5
+    x[10:20] = x[0]
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    sums = np.stack([d[:, lab == c].sum(1) for c in np.unique(lab)], axis=1)
+    size, own = np.bincount(np.unique(lab, return_inverse=True)[1]), np.unique(lab, return_inverse=True)[1]
+    mean = sums / size
+    mean[np.arange(n), own] = np.inf
+    inner, outer = sums[np.arange(n), own] / np.maximum(size[own] - 1, 1), mean.min(1)
+    want = np.where(size[own] > 1, (outer - inner) / np.maximum(inner, outer), 0.0)
+    frame = spark.createDataFrame(pd.DataFrame({"id_fila": np.arange(n), "x": x.tolist(), "lab": lab}))
+    summed = {r["id_fila"]: r["s"] for r in P.silhouette_samples(frame, "lab").collect()}
+    np.testing.assert_allclose([summed[i] for i in range(n)], want, rtol=1e-9, atol=1e-12)
+
+
 def test_nearest_cluster_up_to_a_known_height():
     rng = np.random.default_rng(8)
     c, n = rng.normal(size=(400, 3)), rng.integers(1, 30, 400).astype(float)
