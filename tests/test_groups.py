@@ -1,5 +1,7 @@
 """Groups of rows and blocks: what is shuffled does not grow with the number of blocks, and nothing is lost."""
 
+import threading
+
 import numpy as np
 import pandas as pd
 
@@ -61,3 +63,13 @@ def test_nearest_cluster_up_to_a_known_height():
     low = np.median(height)
     to, height = K._best_partner(ids, c, n, ids, c, n, np.full(400, low))
     assert ((to >= 0) == (h.min(1) <= low)).all() and (to[to >= 0] == h.argmin(1)[to >= 0]).all()
+
+
+def test_fits_run_at_a_time(spark, monkeypatch):
+    """A fit waits for another one to have begun."""
+    both, fit = threading.Barrier(2, timeout=60), K.KMeans.fit
+    monkeypatch.setattr(K.KMeans, "fit", lambda self, df: (both.wait(), fit(self, df))[1])
+    df = spark.createDataFrame(pd.DataFrame({"id_fila": range(60), "a": [float(i % 7) for i in range(60)], "b": [float(i % 5) for i in range(60)]}))
+    from paramo.operators.features import standardize_sample
+    sweep, models = K.kmeans_sweep(standardize_sample(df, ["a", "b"]), 2, 3)
+    assert [r["k"] for r in sweep.orderBy("k").collect()] == [2, 3] and sorted(models) == [2, 3]
