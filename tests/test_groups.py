@@ -63,6 +63,8 @@ def test_nearest_cluster_up_to_a_known_height():
     low = np.median(height)
     to, height = K._best_partner(ids, c, n, ids, c, n, np.full(400, low))
     assert ((to >= 0) == (h.min(1) <= low)).all() and (to[to >= 0] == h.argmin(1)[to >= 0]).all()
+    to, _ = K._best_partner(ids, c, n, ids, c, n, np.where(ids % 2 == 0, np.inf, low))  # alone in its block: nothing known yet
+    assert (to[::2] == h.argmin(1)[::2]).all()
 
 
 def test_fits_run_at_a_time(spark, monkeypatch):
