@@ -1,6 +1,7 @@
 """Supervised model on the clustering labels.
 
-Random forest is Spark ML (trees grown in parallel on executors).  Folds are
+The random forest is :mod:`paramo.operators.forest` (trees grown and applied
+across the cluster; only their upper levels reach the driver).  Folds are
 exactly stratified without gathering a class in one task: rows are ranked
 within their class by a seeded hash through the range-partitioned global
 rank, and ``fold = rank mod n``.  Scores are computed from a confusion table
@@ -12,25 +13,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paramo.functions import round_half_up
+from paramo.operators import forest
 from paramo.operators.ranking import global_rank
 from paramo.plans.materialize import materialize
 from paramo.sources.normals import KEY
 
 
 def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="_fv", handleInvalid="skip").transform(df)
-
-
-def _forest(n_trees: int, seed: int, max_depth: int) -> RandomForestClassifier:
-    return RandomForestClassifier(featuresCol="_fv", labelCol="_y", predictionCol="_yhat",
-                                  numTrees=n_trees, featureSubsetStrategy="sqrt", seed=seed,
-                                  maxDepth=max_depth, impurity="gini")
+    """Rows with every feature, as numbers; ``_y`` is the label."""
+    rows = VectorAssembler(inputCols=list(features), outputCol="_fv", handleInvalid="skip").transform(df)
+    return rows.drop("_fv").withColumns({f: F.col(f).cast("double") for f in features})
 
 
 def training_rows(df: DataFrame, anomaly: str | None = "is_anomaly_if", min_rows: int = 50) -> DataFrame:
@@ -48,10 +45,17 @@ def train_rf(df: DataFrame, features: Sequence[str], label: str, n_trees: int =
     Returns ``(model, predictions(key, y, yhat))``.
     """
     data = _assemble(df.withColumn("_y", F.col(label).cast("double")), features)
-    model = _forest(n_trees, seed, max_depth).fit(training_rows(data, anomaly))
-    pred = model.transform(data).select(key, F.col("_y").cast("int").alias("y"),
-                                        F.col("_yhat").cast("int").alias("yhat"))
-    return model, pred
+    learned = training_rows(data, anomaly)
+    left_out = F.lit(-1) if learned is data else F.when(F.coalesce(F.col(anomaly), F.lit(False)), 0).otherwise(-1)
+    rows = forest.prepare(data.select(F.col(key).alias("_key"), "_y", left_out.alias("_out"), F.lit(0).alias("_by"), *features), seed)
+    model, binned = forest.fit(rows, features, n_trees, seed, max_depth)
+    return model, _predicted(model, binned, rows).select(F.col("_key").alias(key), "y", "yhat")
+
+
+def _predicted(model: forest.Forest, binned: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows with ``y`` and ``yhat``."""
+    return rows.join(model.predict(binned), "_row", "left").withColumns(
+        {"y": F.col("_y").cast("int"), "yhat": F.coalesce(F.col("_yhat"), F.lit(0)).cast("int")})
 
 
 def stratified_folds(df: DataFrame, label: str, n_splits: int, seed: int = 42, key: str = KEY) -> DataFrame:
@@ -93,20 +97,15 @@ def fold_predictions(df: DataFrame, features: Sequence[str], label: str, n_trees
                      max_depth: int = 30, key: str = KEY) -> DataFrame:
     """``(key, fold, y, yhat)``: every row predicted once, by the forest of its fold.
 
-    One prepared table with the fold of every row is written; the forest of
-    a fold is fitted to it with weight 1 for the rows of other folds and 0
-    for its own, which then counts for no split, and predicts its own."""
+    One prepared table with the fold of every row is written; the forests of
+    all folds are grown in the same passes, each from the rows of the other
+    folds, and each predicts its own."""
     n_splits = _splits(df, label)
     folds = stratified_folds(df, label, n_splits, seed, key).select(key, "fold")
-    rows = df.join(folds, key).select(key, "fold", F.col(label).cast("double").alias("_y"), *features)
-    data = materialize(_assemble(rows, features).select(key, "fold", "_y", "_fv"), "folds")
-    out = None
-    for f in range(n_splits):
-        weighted = data.withColumn("_w", F.when(F.col("fold") == f, 0.0).otherwise(1.0))
-        model = _forest(n_trees, seed, max_depth).setWeightCol("_w").fit(weighted)
-        pred = model.transform(data.where(F.col("fold") == f)).select(
-            key, "fold", F.col("_y").cast("int").alias("y"), F.col("_yhat").cast("int").alias("yhat"))
-        out = pred if out is None else out.unionByName(pred)
+    data = _assemble(df.join(folds, key).select(key, "fold", F.col(label).cast("double").alias("_y"), *features), features)
+    rows = forest.prepare(data.select(F.col(key).alias("_key"), "_y", F.col("fold").alias("_out"), F.col("fold").alias("_by"), *features), seed)
+    model, binned = forest.fit(rows, features, n_trees, seed, max_depth, n_splits)
+    out = _predicted(model, binned, rows).select(F.col("_key").alias(key), F.col("_by").alias("fold"), "y", "yhat")
     return materialize(out, "fold_predictions")
 
 
@@ -128,7 +127,7 @@ def _all():
 
 def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
     """Impurity importance per feature (round 4), descending."""
-    imp = model.featureImportances.toArray()
+    imp = model.importances()
     rows = [(f, float(imp[i]) if i < len(imp) else 0.0) for i, f in enumerate(features)]
     return (spark.createDataFrame(rows, "feature STRING, imp DOUBLE")
             .select("feature", round_half_up("imp", 4).alias("importance"))
