@@ -171,7 +171,8 @@ def _runs(node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def cut_points(rows: DataFrame, features: Sequence[str]) -> list[np.ndarray]:
     """Per feature at most 31 values, ascending; bin i holds values up to the i-th.
 
-    Quantiles of all rows, or, where there are at most 32 different values, the middles between them."""
+    The values are quantiles of all rows, or, where there are at most 32, all that occur; a cut is
+    the middle between one and the next one that occurs."""
     d = len(features)
     asked = [i / BINS for i in range(1, BINS)]
     told = rows.agg(*[F.percentile_approx(f, asked, 2_000).alias(f"q{i}") for i, f in enumerate(features)],
@@ -186,13 +187,24 @@ def cut_points(rows: DataFrame, features: Sequence[str]) -> list[np.ndarray]:
     cuts = []
     for i in range(d):
         v = np.unique(np.array(values.get(i, []), float))
-        if 0 < len(v) <= BINS:
-            with np.errstate(invalid="ignore"):
-                middle = v[:-1] + (v[1:] - v[:-1]) / 2
-            cuts.append(np.where(np.isfinite(middle), middle, v[:-1]))
-        else:
-            cuts.append(np.unique(np.array(told[f"q{i}"], float)))
-    return cuts
+        cuts.append(v[:-1] if 0 < len(v) <= BINS else np.unique(np.array(told[f"q{i}"], float)))
+
+    def lowest(frames):
+        least = np.full((d, BINS), np.inf)
+        for pdf in frames:
+            for i, f in enumerate(features):
+                v = pdf[f].to_numpy(float)
+                np.minimum.at(least[i], np.searchsorted(cuts[i], v, side="left"), v)
+        i, b = np.nonzero(np.isfinite(least))
+        yield pd.DataFrame({"i": i, "b": b, "v": least[i, b]})
+
+    # a cut is the middle between its value and the next one that occurs
+    middles = [c.copy() for c in cuts]
+    for r in rows.select(*features).mapInPandas(lowest, "i INT, b INT, v DOUBLE").groupBy("i", "b").agg(F.min("v").alias("v")).where("b > 0").collect():
+        low = cuts[r["i"]][r["b"] - 1]
+        if np.isfinite(low) and np.isfinite(r["v"]):
+            middles[r["i"]][r["b"] - 1] = low + (r["v"] - low) / 2
+    return middles
 
 
 class Forest:

@@ -97,6 +97,13 @@ def test_best_split_is_that_of_a_plain_loop():
     assert gain[0] == pytest.approx(max(plain.values())) == pytest.approx(plain[slot[0], cut[0]])
 
 
+def test_cuts_are_middles_between_values_that_occur(spark):
+    pdf = pd.DataFrame({"a": np.arange(1000) * 2.0, "b": np.arange(1000) % 5 * 10.0, "c": 7.0})
+    a, b, c = forest.cut_points(spark.createDataFrame(pdf), ["a", "b", "c"])
+    assert len(a) == 31 and (a % 2 == 1).all() and abs(np.diff(np.append(a, 2000)) - 62.5).max() < 5
+    assert b.tolist() == [5, 15, 25, 35] and c.tolist() == []
+
+
 def test_a_fold_does_not_learn_from_its_own_rows(spark):
     """One feature tells the class but for one fold's rows, where it tells the wrong one."""
     rng = np.random.default_rng(5)
