@@ -52,6 +52,36 @@ def test_silhouette_of_many_clusters(spark, monkeypatch):
     np.testing.assert_allclose([summed[i] for i in range(n)], want, rtol=1e-9, atol=1e-12)
 
 
+def test_a_distance_counts_for_both_its_rows(monkeypatch):
+    """Two groups that share a cluster: every pair is made once, and both sides get their sums."""
+    monkeypatch.setattr(P, "_TILE", 50)
+    made, segment_sums = [], P._segment_sums
+    monkeypatch.setattr(P, "_segment_sums", lambda d, cuts, axis: (made.append(d.size if axis else 0), segment_sums(d, cuts, axis))[1])
+    rng = np.random.default_rng(9)
+    lab = np.sort(np.concatenate([np.full(300, 3), np.full(30, 4), rng.integers(0, 40, 700)]))
+    x = rng.normal(size=(len(lab), 4)) + lab[:, None] % 5
+    x[5:15] = x[600]
+    size = np.bincount(lab, minlength=40)
+    a, b = np.arange(450), np.arange(450, len(lab))
+    assert lab[449] == lab[450]
+    got = {}
+    for (of_a, rows), c, s in P._label_sums(x[a], lab[a], size[lab[a]], x[b], lab[b], size[lab[b]], False):
+        got.update({(int((a if of_a else b)[r]), int(k)): v for r, k, v in zip(rows, c, s)})
+    assert sum(made) == len(a) * len(b)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    for side, other in ((a, b), (b, a)):
+        sums = np.stack([d[side][:, other][:, lab[other] == c].sum(1) for c in range(40)], axis=1)
+        held = np.bincount(lab[other], minlength=40)
+        whole = (held == size) & (held > 0)
+        assert whole.sum() > 5
+        near = np.where(whole, sums / np.maximum(size, 1), np.inf).argmin(1)
+        for i, row in enumerate(side):
+            told = {c: got.pop((row, c)) for c in range(40) if (row, c) in got}
+            assert set(told) == {near[i], *np.flatnonzero((held > 0) & ~whole)}
+            np.testing.assert_allclose(list(told.values()), sums[i, list(told)], rtol=1e-9)
+    assert not got
+
+
 def test_nearest_cluster_up_to_a_known_height():
     rng = np.random.default_rng(8)
     c, n = rng.normal(size=(400, 3)), rng.integers(1, 30, 400).astype(float)
