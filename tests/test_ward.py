@@ -49,3 +49,20 @@ def test_ties_and_one_row(spark):
     _tree(z, 49)
     labels, merges = K.ward(_frame(spark, grid[:1]), ["f0", "f1"], 2)
     assert merges.count() == 0 and [r[1] for r in labels.collect()] == [0]
+
+
+@pytest.mark.parametrize("in_a_task", [60, 0])
+def test_rounds_in_a_task_are_those_of_the_cluster(spark, monkeypatch, in_a_task):
+    """Merge by merge, ties and copies included, wherever the rounds of one task begin."""
+    rng = np.random.default_rng(11)
+    x = np.vstack([rng.normal(size=(110, 3)) + rng.integers(0, 3, (110, 1)) * 4, rng.integers(0, 4, (90, 3))])
+    x[20:30] = x[0]
+    leaves = K.ward_leaves(_frame(spark, x), ["f0", "f1", "f2"])
+    in_one = [tuple(r) for r in K.ward_merges(leaves, 20, 40).orderBy("round", "lo").collect()]
+    calls, nearest = [], K._nearest_clusters
+    monkeypatch.setattr(K, "_nearest_clusters", lambda *args: (calls.append(1), nearest(*args))[1])
+    assert len(in_one) == len(x) - 1 and not calls
+    monkeypatch.setattr(K, "ROUNDS_IN_A_TASK", in_a_task)
+    over_all = [tuple(r) for r in K.ward_merges(leaves, 20, 40).orderBy("round", "lo").collect()]
+    assert calls and [r[:2] + r[3:] for r in in_one] == [r[:2] + r[3:] for r in over_all]
+    np.testing.assert_allclose([r[2] for r in in_one], [r[2] for r in over_all], rtol=1e-12)
